@@ -69,44 +69,32 @@ def document_view(events: DataFrame) -> DataFrame:
     """One nested document per event, forecasting the hours of ``LEAD_HOURS``.
 
     Temperatures rise by half a degree from one lead hour to the next. A document is
-    built from its own row alone, so nothing is grouped.
+    built from its own row alone, so nothing is grouped. Hours also carry their date,
+    which the declared schema does not read.
     """
-    base = forecast_view(events)
-    hours = F.array(
-        *[
+    condition = F.struct(F.col("condition").alias("text"))
+    readings = [condition.alias("condition"), F.col("wind_speed").alias("wind_kph"), "humidity"]
+    hours = []
+    for position, lead in enumerate(LEAD_HOURS):
+        time = F.col("forecast_time") + F.expr(f"INTERVAL {lead} HOURS")
+        hours.append(
             F.struct(
-                F.lit(position).alias("position"),
-                (F.col("forecast_time") + F.expr(f"INTERVAL {lead} HOURS")).alias("at"),
+                time.cast("date").cast("string").alias("date"),
+                F.date_format(time, "yyyy-MM-dd HH:mm").alias("time"),
+                (F.col("temp") + F.lit(0.5 * position)).alias("temp_c"),
+                *readings,
+                "event_id",
             )
-            for position, lead in enumerate(LEAD_HOURS)
-        ]
-    )
-    readings = {
-        "condition": F.struct(F.col("condition").alias("text")),
-        "wind_kph": F.col("wind_speed"),
-        "humidity": F.col("humidity"),
-    }
-
-    def hour(slot: Column) -> Column:
-        return F.struct(
-            F.date_format(slot["at"], "yyyy-MM-dd HH:mm").alias("time"),
-            (F.col("temp") + slot["position"] * F.lit(0.5)).alias("temp_c"),
-            *[c.alias(n) for n, c in readings.items()],
-            F.col("event_id"),
         )
 
     def day(date: Column) -> Column:
-        of_day = F.filter("hours", lambda h: F.date_format(h["at"], "yyyy-MM-dd") == date)
-        return F.struct(date.alias("date"), F.transform(of_day, hour).alias("hour"))
+        of_day = F.filter("hours", lambda hour: hour["date"] == date)
+        return F.struct(date.alias("date"), of_day.alias("hour"))
 
-    days = F.array_distinct(
-        F.transform("hours", lambda h: F.date_format(h["at"], "yyyy-MM-dd"))
-    )
-    return base.withColumn("hours", hours).select(
+    days = F.transform(F.array_distinct("hours.date"), day)
+    return forecast_view(events).withColumn("hours", F.array(*hours)).select(
         F.struct("name").alias("location"),
-        F.struct(
-            F.col("temp").alias("temp_c"), *[c.alias(n) for n, c in readings.items()]
-        ).alias("current"),
-        F.struct(F.transform(days, day).alias("forecastday")).alias("forecast"),
+        F.struct(F.col("temp").alias("temp_c"), *readings).alias("current"),
+        F.struct(days.alias("forecastday")).alias("forecast"),
         F.date_format("fetch_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetch_timestamp"),
     )
