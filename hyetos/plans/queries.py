@@ -515,3 +515,14 @@ def snapshot_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{work_dir(spark, 'snapshot_json')}/trends"
     snapshots.export_records(trends.trend(_forecast(spark, sf_dir), TREND), path)
     return _plain_times(snapshots.read_trend_records(spark, path))
+
+
+# Queries that run a stream or write tables before they return.
+STREAM_KEYS = {
+    "stream_flatten",
+    "stream_trend",
+    "stream_trend_bounded",
+    "stream_alerts",
+    "latest_snapshot",
+    "snapshot_json_roundtrip",
+}

@@ -68,7 +68,7 @@ def work_dir(spark: SparkSession, label: str) -> str:
     It lies under ``spark.checkpoint.dir``, the folder all executors share. Only a
     local session that names none falls back to a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")

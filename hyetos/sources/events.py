@@ -48,7 +48,7 @@ def forecast_view(events: DataFrame) -> DataFrame:
         "event_id",
         F.concat(F.lit("CITY_"), (F.col("user_id") % 7).cast("string")).alias("name"),
         F.col("ts").alias("fetch_time"),
-        F.date_format("ts", "yyyy-MM-dd").alias("forecast_date"),
+        F.col("ts").cast("date").cast("string").alias("forecast_date"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("forecast_time"),
         (F.col("value") - 10.0).alias("temp"),
         F.col("k").cast("int").alias("humidity"),

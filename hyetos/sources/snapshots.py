@@ -56,7 +56,8 @@ def read_manifest(spark: SparkSession, root: str, kind: str) -> DataFrame:
     path = manifest_path(root, kind)
     if not path_exists(spark, path):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
-    return spark.read.schema(MANIFEST_SCHEMA).json(path)
+    entries = spark.read.schema(MANIFEST_SCHEMA).json(path)
+    return entries.select("batch_id", "query_id", "n_rows")
 
 
 def latest_entry(spark: SparkSession, root: str, kind: str) -> Row | None:
@@ -88,7 +89,7 @@ def read_history(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 
 def as_records(df: DataFrame) -> DataFrame:
-    """Timestamps as ISO text and the window as the array ``[start, end]``."""
+    """Timestamps as ISO text, the window as the array ``[start, end]``, NaN as NULL."""
     columns = []
     for field in df.schema.fields:
         column = F.col(field.name)
@@ -97,12 +98,14 @@ def as_records(df: DataFrame) -> DataFrame:
             column = F.array(iso_text(column.start), iso_text(column.end)).alias("window")
         elif kind.startswith("timestamp"):
             column = iso_text(column).alias(field.name)
+        elif kind in ("float", "double"):
+            column = F.when(~F.isnan(column), column).alias(field.name)
         columns.append(column)
     return df.select(*columns)
 
 
 def export_records(df: DataFrame, path: str) -> None:
-    """Write JSON records for clients; NULL fields are left out, never written as NaN."""
+    """Write JSON records for clients; fields that are NULL are left out."""
     as_records(df).write.mode("overwrite").json(path)
 
 

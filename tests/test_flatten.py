@@ -1,0 +1,88 @@
+import random
+from datetime import datetime
+
+from helpers import BASE, at, document, land, rows
+
+from hyetos.operators.flatten import current_conditions, flatten
+from hyetos.schemas import FORECAST
+from hyetos.sources.documents import land_documents, read_documents
+
+
+def test_flat_rows_and_schema(spark, tmp_path):
+    land(tmp_path, "a", [document("A", at(0.5), [(at(0), 28.0, 50, 5.0, "Sunny"), (at(25), 1.5, 60, 7.0, "Fog")])])
+    flat = flatten(read_documents(spark, str(tmp_path)))
+    assert flat.schema == spark.createDataFrame([], FORECAST).schema
+    assert rows(flat) == [
+        ("A", at(0.5), "2024-06-01", at(0), 28.0, 50, 5.0, "Sunny"),
+        ("A", at(0.5), "2024-06-02", at(25), 1.5, 60, 7.0, "Fog"),
+    ]
+
+
+def test_overlapping_fetches_keep_every_revision(spark, tmp_path):
+    for n in range(2):
+        land(tmp_path, f"f{n}", [document("A", at(n), [(at(h), 20.0 + n, 50, 5.0, "Sunny") for h in range(3)])])
+    assert flatten(read_documents(spark, str(tmp_path))).count() == 6
+
+
+def test_missing_parts_give_no_rows(spark, tmp_path):
+    whole = document("A", BASE, [(at(0), 1.0, 2, 3.0, "x")])
+    no_forecast = {**whole, "forecast": None}
+    no_days = {**whole, "forecast": {"forecastday": []}}
+    null_days = {**whole, "forecast": {"forecastday": None}}
+    no_hours = {**whole, "forecast": {"forecastday": [{"date": "2024-06-01", "hour": []}]}}
+    null_hours = {**whole, "forecast": {"forecastday": [{"date": "2024-06-01", "hour": None}]}}
+    land(tmp_path, "a", [no_forecast, no_days, null_days, no_hours, null_hours, whole])
+    docs = read_documents(spark, str(tmp_path))
+    assert docs.count() == 6
+    assert flatten(docs).count() == 1
+
+
+def test_bad_values_become_null_and_keep_the_row(spark, tmp_path):
+    doc = document("A", BASE, [(at(0), 1.0, 2, 3.0, "x")])
+    hour = doc["forecast"]["forecastday"][0]["hour"][0]
+    hour["humidity"] = 55.5
+    hour["time"] = "half past nine"
+    doc["fetch_timestamp"] = "soon"
+    land(tmp_path, "a", [doc])
+    assert rows(flatten(read_documents(spark, str(tmp_path)))) == [
+        ("A", None, "2024-06-01", None, 1.0, None, 3.0, "x")
+    ]
+
+
+def test_truncated_file_leaves_the_others(spark, tmp_path):
+    land(tmp_path, "good", [document("A", BASE, [(at(0), 1.0, 2, 3.0, "x")])])
+    text = (tmp_path / "good.json").read_text()
+    (tmp_path / "bad.json").write_text(text[: len(text) // 2])
+    assert flatten(read_documents(spark, str(tmp_path))).count() == 1
+
+
+def test_current_conditions(spark, tmp_path):
+    land(tmp_path, "a", [document("A", datetime(2024, 6, 1, 1, 2, 3, 500000), [])])
+    assert rows(current_conditions(read_documents(spark, str(tmp_path)))) == [
+        ("A", datetime(2024, 6, 1, 1, 2, 3, 500000), 28.0, 50, 5.0, "Sunny")
+    ]
+
+
+def test_flatten_undoes_nesting(spark, tmp_path):
+    rng = random.Random(7)
+    expected, docs = [], []
+    for n in range(40):
+        fetched = at(n)
+        hours = [
+            (at(n + h), rng.randint(-80, 160) / 4, rng.randint(0, 99), rng.randint(0, 200) / 4, rng.choice("xyz"))
+            for h in range(rng.randint(0, 60))
+        ]
+        docs.append(document(f"C{n % 3}", fetched, hours))
+        expected += [(f"C{n % 3}", fetched, t.strftime("%Y-%m-%d"), t, *rest) for t, *rest in hours]
+    land(tmp_path, "a", docs[:15])
+    land(tmp_path, "b", docs[15:])
+    assert rows(flatten(read_documents(spark, str(tmp_path)))) == sorted(expected, key=repr)
+
+
+def test_landed_documents_read_back(spark, tmp_path):
+    land(tmp_path / "in", "a", [document("A", BASE, [(at(h), 1.0, 2, 3.0, "x") for h in range(5)])])
+    docs = read_documents(spark, str(tmp_path / "in"))
+    land_documents(docs, str(tmp_path / "out"))
+    land_documents(docs, str(tmp_path / "out"))
+    again = read_documents(spark, str(tmp_path / "out"), multi_line=False)
+    assert rows(flatten(again)) == sorted(rows(flatten(docs)) * 2, key=repr)
