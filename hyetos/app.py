@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from hyetos.operators.cities import city_timeline, hourly_slice
-from hyetos.operators.daily import daily_forecast
+from hyetos.operators.daily import daily_forecast, display_days
 from hyetos.operators.flatten import flatten
 from hyetos.operators.trends import with_window_bounds
 from hyetos.params import SliceParams, Thresholds, TrendParams
@@ -53,11 +53,13 @@ def build_serving(spark: SparkSession, args: argparse.Namespace) -> None:
     trend = with_window_bounds(read_latest(spark, args.root, streams.TRENDS, TREND))
     alerts = read_latest(spark, args.root, streams.EXTREME, ALERT)
     as_of = datetime.fromisoformat(args.as_of) if args.as_of else datetime.now()
+    days = daily_forecast(trend)
     tables = {
         "city_card": city_card(trend, alerts),
         "city_timeline": city_timeline(trend),
         "hourly_slice": hourly_slice(trend, SliceParams(as_of)),
-        "daily_forecast": daily_forecast(trend),
+        "daily_forecast": days,
+        "daily_display": display_days(days),
     }
     for name, table in tables.items():
         table.write.mode("overwrite").format(args.format).save(f"{args.out}/{name}")

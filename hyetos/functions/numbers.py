@@ -15,6 +15,12 @@ def half_even(value: Column, digits: int) -> Column:
     return F.rint(value * F.lit(scale)) / F.lit(scale)
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """Text with a fixed number of decimals, ties to even on the exact value of the double."""
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", value.cast("double"), F.lit(pattern))
+
+
 def partial_sum(value: Column, name: str, decimals: int | None = None) -> list[Column]:
     """First-level aggregates from which :func:`merged_mean` makes a mean.
 

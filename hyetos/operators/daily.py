@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hyetos.functions.conditions import condition_text, with_condition_class
-from hyetos.functions.numbers import merged_mean, modal, partial_sum
+from hyetos.functions.numbers import fixed_text, merged_mean, modal, partial_sum
 from hyetos.functions.timestamps import day_label
 
 DAY = ("name", "date_str")
@@ -97,3 +97,21 @@ def daily_forecast(trends: DataFrame) -> DataFrame:
     else:
         daily = daily_rollup(trends)
     return label_days(daily)
+
+
+# Unit shown after each measure.
+UNITS = {"max_temp": "°C", "min_temp": "°C", "avg_wind_speed": "Km/h", "avg_humidity": "%"}
+
+
+def display_days(daily: DataFrame) -> DataFrame:
+    """The daily table as shown: label, condition and each measure as text with its unit."""
+    return daily.select(
+        *DAY,
+        "day_label",
+        "condition_text",
+        "condition_glyph",
+        *[
+            F.concat(fixed_text(F.col(measure), 1), F.lit(unit)).alias(f"{measure}_text")
+            for measure, unit in UNITS.items()
+        ],
+    )

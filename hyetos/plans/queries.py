@@ -394,12 +394,12 @@ last_rows as (
   select * exclude (r), {_class_sql('common_condition')} as condition_class from (
     select *, row_number() over (partition by name order by window_start desc) as r from trend)
   where r = 1)
-select last_rows.name, window_start,
-       round_even(avg_temp * 10.0::double, 0) / 10.0::double as temperature_c,
-       round_even(avg_humidity, 0) as humidity_pct,
+select last_rows.name, window_start, avg_temp, avg_humidity,
+       printf('%.1f°C', avg_temp) as temperature_text,
+       concat(printf('%.0f', avg_humidity), '%') as humidity_text,
        condition_class, {_glyph_sql('condition_class')} as condition_glyph,
-       alert_time, alert_type,
-       round_even(alert_value * 10.0::double, 0) / 10.0::double as alert_value, alert_unit
+       alert_time, alert_type, alert_value, alert_unit,
+       printf('%.1f', alert_value) || alert_unit as alert_text
 from last_rows left join first_alert on last_rows.name = first_alert.name""",
 )
 def city_card(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,15 +437,18 @@ def daily_last_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.daily_last_condition(_trend(spark, sf_dir), "common_condition")
 
 
-DAILY_FORECAST_SQL = f"""with {TREND_SQL}, {DAILY_SQL},
+_DAILY_FORECAST_CTE = f"""{TREND_SQL}, {DAILY_SQL},
 joined as (
   select r.name, r.date_str, max_temp, min_temp, avg_wind_speed, avg_humidity, common_condition
   from rollup_rows as r left join day_mode as m on r.name = m.name and r.date_str = m.date_str),
-classed as (select *, {_class_sql('common_condition')} as condition_class from joined)
-select *, {_glyph_sql('condition_class')} as condition_glyph,
-       coalesce(nullif(common_condition, ''), 'Unknown') as condition_text,
-       strftime(cast(date_str as date), '%a %d') as day_label
-from classed"""
+classed as (select *, {_class_sql('common_condition')} as condition_class from joined),
+labelled as (
+  select *, {_glyph_sql('condition_class')} as condition_glyph,
+         coalesce(nullif(common_condition, ''), 'Unknown') as condition_text,
+         strftime(cast(date_str as date), '%a %d') as day_label
+  from classed)"""
+
+DAILY_FORECAST_SQL = f"with {_DAILY_FORECAST_CTE} select * from labelled"
 
 
 @query("daily_forecast", DAILY_FORECAST_SQL)
@@ -461,6 +464,19 @@ def daily_forecast_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_means(daily.label_days(joined))
 
 
+@query(
+    "daily_display",
+    f"""with {_DAILY_FORECAST_CTE}
+select name, date_str, day_label, condition_text, condition_glyph,
+       printf('%.1f°C', max_temp) as max_temp_text, printf('%.1f°C', min_temp) as min_temp_text,
+       printf('%.1fKm/h', avg_wind_speed) as avg_wind_speed_text,
+       concat(printf('%.1f', avg_humidity), '%') as avg_humidity_text from labelled""",
+)
+def daily_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _rounded_means(daily.daily_forecast(_trend(spark, sf_dir)))
+    return daily.display_days(days)
+
+
 # Conditions
 
 # Texts that reach every branch: exact, part of a rule, first rule wins, no rule.

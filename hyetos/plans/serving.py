@@ -13,7 +13,7 @@ from hyetos.functions.conditions import (
     condition_text,
     with_condition_class,
 )
-from hyetos.functions.numbers import half_even
+from hyetos.functions.numbers import fixed_text
 from hyetos.functions.timestamps import wall_clock
 from hyetos.operators.alerts import first_alert
 from hyetos.operators.cities import hourly_slice, latest_per_city
@@ -35,13 +35,15 @@ def city_card(trends: DataFrame, alerts: DataFrame, as_of: datetime | None = Non
     cards = shown.select(
         "name",
         "window_start",
-        half_even(F.col("avg_temp"), 1).alias("temperature_c"),
-        half_even(F.col("avg_humidity"), 0).alias("humidity_pct"),
+        "avg_temp",
+        "avg_humidity",
+        F.concat(fixed_text(F.col("avg_temp"), 1), F.lit("°C")).alias("temperature_text"),
+        F.concat(fixed_text(F.col("avg_humidity"), 0), F.lit("%")).alias("humidity_text"),
         "condition_class",
         "condition_glyph",
     )
     alert = first_alert(alerts).withColumn(
-        "alert_value", half_even(F.col("alert_value").cast("double"), 1)
+        "alert_text", F.concat(fixed_text(F.col("alert_value"), 1), F.col("alert_unit"))
     )
     return cards.join(alert, "name", "left")
 

@@ -14,9 +14,9 @@ def test_stream_then_serve(spark, tmp_path, monkeypatch):
     def table(name):
         return spark.read.parquet(f"{out}/{name}")
 
-    assert rows(table("city_card"), "name", "temperature_c", "alert_type") == [
-        ("A", 49.0, "HIGH TEMPERATURE"),
-        ("B", 24.0, None),
+    assert rows(table("city_card"), "name", "temperature_text", "alert_type") == [
+        ("A", "49.0°C", "HIGH TEMPERATURE"),
+        ("B", "24.0°C", None),
     ]
     assert table("city_timeline").count() == 35
     assert table("hourly_slice").count() == 35

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from helpers import at, rows
 
-from hyetos.functions.numbers import half_even
+from hyetos.functions.numbers import fixed_text, half_even
 from hyetos.operators.cities import (
     city_timeline,
     distinct_cities,
@@ -65,3 +65,10 @@ def test_rounding_is_that_of_numpy(spark):
     frame = spark.createDataFrame([(float(v),) for v in values], "v double")
     found = [r[0] for r in frame.select(half_even(frame.v, 2)).collect()]
     assert found == [float(x) for x in np.round(np.array(values), 2)]
+
+
+def test_fixed_text_is_that_of_python(spark):
+    values = [0.05, 0.25, 0.35, -0.25, -0.04, 2.5, 1234.75, 0.0] + [n / 8 for n in range(-300, 300)]
+    frame = spark.createDataFrame([(float(v),) for v in values], "v double")
+    found = frame.select(fixed_text(frame.v, 1), fixed_text(frame.v, 0)).collect()
+    assert [tuple(r) for r in found] == [(f"{v:.1f}", f"{v:.0f}") for v in values]

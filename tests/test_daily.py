@@ -9,6 +9,7 @@ from hyetos.operators.daily import (
     daily_forecast,
     daily_last_condition,
     daily_rollup,
+    display_days,
     join_condition,
     rollup_with_condition,
 )
@@ -94,3 +95,9 @@ def test_forecast_with_each_kind_of_condition(trend):
     assert labelled.filter("condition_text != coalesce(last_condition, 'Unknown')").count() == 0
     bare = daily_forecast(trend.drop("common_condition"))
     assert {r.condition_text for r in bare.collect()} == {"Unknown"}
+
+
+def test_display(spark):
+    data = [(at(0), "A", 21.25, -3.75, 10.35, 60.0, "Fog")]
+    shown = display_days(daily_forecast(spark.createDataFrame(data, DDL))).first()
+    assert tuple(shown) == ("A", "2024-06-01", "Sat 01", "Fog", "🌫️", "21.2°C", "-3.8°C", "10.3Km/h", "60.0%")

@@ -21,11 +21,11 @@ def test_city_card(spark):
     )
     bounds = with_window_bounds(trend(frame))
     cards = city_card(bounds, extreme(frame))
-    columns = ("name", "temperature_c", "humidity_pct", "condition_class", "alert_type", "alert_value", "alert_unit")
+    columns = ("name", "temperature_text", "humidity_text", "condition_class", "alert_type", "alert_value", "alert_text")
     assert rows(cards, *columns) == [
-        ("A", 21.2, 61.0, "fog", "HIGH TEMPERATURE", 35.2, "°C"),
-        ("B", 10.0, 61.0, "unknown", None, None, None),
-        ("C", 10.0, 61.0, "other", "HIGH WIND", 30.1, "Km/h"),
+        ("A", "21.2°C", "61%", "fog", "HIGH TEMPERATURE", 35.25, "35.2°C"),
+        ("B", "10.0°C", "61%", "unknown", None, None, None),
+        ("C", "10.0°C", "61%", "other", "HIGH WIND", 30.125, "30.1Km/h"),
     ]
     early = city_card(bounds, extreme(frame), as_of=at(0))
     assert rows(early, "name", "condition_class") == [("A", "clear")]
