@@ -13,11 +13,11 @@ from pyspark.sql import SparkSession
 
 from hyetos.operators.cities import city_timeline, hourly_slice
 from hyetos.operators.daily import daily_forecast, display_days
-from hyetos.operators.flatten import flatten
+from hyetos.operators.flatten import ALERT_COLUMNS, flatten
 from hyetos.operators.trends import with_window_bounds
 from hyetos.params import SliceParams, Thresholds, TrendParams
 from hyetos.plans.serving import city_card
-from hyetos.schemas import ALERT, TREND
+from hyetos.schemas import ALERT, ALERT_DOCUMENT, DOCUMENT, TREND
 from hyetos.session import configure
 from hyetos.sources.documents import stream_documents
 from hyetos.sources.snapshots import read_latest
@@ -27,11 +27,9 @@ from hyetos.streaming import queries as streams
 def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
     """Trend and alerts as two independent queries over the same landing folder."""
 
-    def forecast():
-        return flatten(
-            stream_documents(
-                spark, args.landing, multi_line=not args.lines, max_files=args.max_files
-            )
+    def documents(schema: str):
+        return stream_documents(
+            spark, args.landing, schema, multi_line=not args.lines, max_files=args.max_files
         )
 
     options = {"once": args.once, "interval": args.interval, "console": args.console}
@@ -39,8 +37,13 @@ def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
     thresholds = Thresholds(args.high_temp, args.low_temp, args.high_wind)
     start_trend = streams.start_trend_bounded if args.bounded else streams.start_trend
     running = [
-        start_trend(forecast(), args.root, params, **options),
-        streams.start_alerts(forecast(), args.root, thresholds, **options),
+        start_trend(flatten(documents(DOCUMENT)), args.root, params, **options),
+        streams.start_alerts(
+            flatten(documents(ALERT_DOCUMENT), columns=ALERT_COLUMNS),
+            args.root,
+            thresholds,
+            **options,
+        ),
     ]
     if args.once:
         streams.await_all(running)

@@ -41,16 +41,29 @@ def explode_hours(days: DataFrame) -> DataFrame:
     )
 
 
-def flatten(documents: DataFrame, hour_extra: Sequence[str] = ()) -> DataFrame:
-    """The forecast fact table; ``hour_extra`` names further hour fields to keep."""
+def flatten(
+    documents: DataFrame, hour_extra: Sequence[str] = (), columns: Sequence[str] | None = None
+) -> DataFrame:
+    """The forecast fact table.
+
+    ``hour_extra`` names further hour fields to keep. ``columns`` limits the usual
+    columns, for documents that were read without the fields of the others.
+    """
+    usual = {
+        "name": F.col("name"),
+        "fetch_time": F.col("fetch_time"),
+        "forecast_date": F.col("forecast_date"),
+        "forecast_time": parse_timestamp(F.col("hour.time")),
+        "temp": F.col("hour.temp_c"),
+        "humidity": F.col("hour.humidity"),
+        "wind_speed": F.col("hour.wind_kph"),
+        "condition": F.col("hour.condition.text"),
+    }
     return explode_hours(explode_days(documents)).select(
-        "name",
-        "fetch_time",
-        "forecast_date",
-        parse_timestamp(F.col("hour.time")).alias("forecast_time"),
-        F.col("hour.temp_c").alias("temp"),
-        F.col("hour.humidity").alias("humidity"),
-        F.col("hour.wind_kph").alias("wind_speed"),
-        F.col("hour.condition.text").alias("condition"),
+        *[column.alias(c) for c, column in usual.items() if columns is None or c in columns],
         *[F.col(f"hour.{field}").alias(field) for field in hour_extra],
     )
+
+
+# Columns that alerts are made from.
+ALERT_COLUMNS = ("name", "forecast_time", "temp", "wind_speed")

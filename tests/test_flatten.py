@@ -3,8 +3,9 @@ from datetime import datetime
 
 from helpers import BASE, at, document, land, rows
 
-from hyetos.operators.flatten import current_conditions, flatten
-from hyetos.schemas import FORECAST
+from hyetos.operators.alerts import extreme
+from hyetos.operators.flatten import ALERT_COLUMNS, current_conditions, flatten
+from hyetos.schemas import ALERT_DOCUMENT, FORECAST
 from hyetos.sources.documents import land_documents, read_documents
 
 
@@ -86,3 +87,11 @@ def test_landed_documents_read_back(spark, tmp_path):
     land_documents(docs, str(tmp_path / "out"))
     again = read_documents(spark, str(tmp_path / "out"), multi_line=False)
     assert rows(flatten(again)) == sorted(rows(flatten(docs)) * 2, key=repr)
+
+
+def test_alerts_from_a_narrower_read(spark, tmp_path):
+    land(tmp_path, "a", [document("A", BASE, [(at(h), 10.0 + h, 2, 3.0, "x") for h in range(30)])])
+    narrow = flatten(read_documents(spark, str(tmp_path), ALERT_DOCUMENT), columns=ALERT_COLUMNS)
+    assert narrow.columns == list(ALERT_COLUMNS)
+    whole = extreme(flatten(read_documents(spark, str(tmp_path))))
+    assert rows(extreme(narrow)) == rows(whole) and whole.count() > 0
