@@ -76,40 +76,34 @@ GLYPHS: dict[str, str] = {
 }
 
 
-def _case(branches: list[tuple[Column, str]], otherwise: Column) -> Column:
-    chain = F.when(branches[0][0], F.lit(branches[0][1]))
-    for condition, value in branches[1:]:
-        chain = chain.when(condition, F.lit(value))
-    return chain.otherwise(otherwise)
+def _literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def _case(branches: Sequence[tuple[str, str]], otherwise: str) -> Column:
+    """One CASE expression, handed over as SQL text: long chains build slowly call by call."""
+    whens = " ".join(f"WHEN {test} THEN {_literal(value)}" for test, value in branches)
+    return F.expr(f"CASE {whens} ELSE {otherwise} END")
 
 
 def condition_class(
-    text: Column, rules: Sequence[tuple[str, str]] = RULES, lowered: Column | None = None
+    text: str, lowered: str, rules: Sequence[tuple[str, str]] = RULES
 ) -> Column:
-    """Class of a condition text.
+    """Class of the condition in column ``text``; column ``lowered`` is its lower case.
 
     Missing or empty text is ``unknown``. A text equal to a rule's pattern takes that
     rule's class; else the first rule whose pattern occurs in the text, ignoring
-    case; else ``other``. ``lowered`` is the lower-case text where it is at hand.
+    case; else ``other``.
     """
-    lowered = F.lower(text) if lowered is None else lowered
-    runs = [
-        (name, [pattern for pattern, _ in run])
-        for name, run in groupby(rules, key=itemgetter(1))
-    ]
-    contained = []
-    for name, patterns in runs:
-        hit = lowered.contains(patterns[0].lower())
-        for pattern in patterns[1:]:
-            hit = hit | lowered.contains(pattern.lower())
-        contained.append((hit, name))
-    exact = [(text.isin(patterns), name) for name, patterns in runs]
-    missing = text.isNull() | (text == "")
-    return _case([(missing, UNKNOWN)] + exact + contained, F.lit(OTHER))
-
-
-def condition_glyph(class_name: Column) -> Column:
-    return _case([(class_name == name, glyph) for name, glyph in GLYPHS.items()], F.lit(None))
+    exact, contained = [], []
+    for name, run in groupby(rules, key=itemgetter(1)):
+        patterns = [pattern for pattern, _ in run]
+        exact.append((f"`{text}` IN ({', '.join(map(_literal, patterns))})", name))
+        hits = [f"contains(`{lowered}`, {_literal(p.lower())})" for p in patterns]
+        contained.append((" OR ".join(hits), name))
+    missing = (f"`{text}` IS NULL OR `{text}` = ''", UNKNOWN)
+    return _case([missing, *exact, *contained], _literal(OTHER))
 
 
 def with_condition_class(
@@ -117,10 +111,11 @@ def with_condition_class(
 ) -> DataFrame:
     """Add ``condition_class`` and ``condition_glyph`` for the text column."""
     lowered = f"{text}__lower"
+    glyphs = [(f"condition_class = {_literal(name)}", glyph) for name, glyph in GLYPHS.items()]
     return (
         df.withColumn(lowered, F.lower(text))
-        .withColumn("condition_class", condition_class(F.col(text), rules, F.col(lowered)))
-        .withColumn("condition_glyph", condition_glyph(F.col("condition_class")))
+        .withColumn("condition_class", condition_class(text, lowered, rules))
+        .withColumn("condition_glyph", _case(glyphs, "NULL"))
         .drop(lowered)
     )
 

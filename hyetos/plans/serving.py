@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hyetos.functions.conditions import (
+    GLYPHS,
     OTHER,
-    condition_glyph,
     condition_text,
     with_condition_class,
 )
@@ -30,7 +30,7 @@ def city_card(trends: DataFrame, alerts: DataFrame, as_of: datetime | None = Non
         shown = with_condition_class(text, "condition_text")
     else:
         shown = latest.withColumn("condition_class", F.lit(OTHER)).withColumn(
-            "condition_glyph", condition_glyph(F.lit(OTHER))
+            "condition_glyph", F.lit(GLYPHS[OTHER])
         )
     cards = shown.select(
         "name",

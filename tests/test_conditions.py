@@ -42,3 +42,10 @@ def test_priorities(spark):
     }
     frame = spark.createDataFrame([(t,) for t in cases], "text string")
     assert {r.text: r.condition_class for r in with_condition_class(frame, "text").collect()} == cases
+
+
+def test_own_rules_with_quotes(spark):
+    rules = [("it's \\\\ hot", "clear"), ("cold", "snow")]
+    frame = spark.createDataFrame([("it's \\\\ hot",), ("so IT'S \\\\ HOT",), ("Cold one",)], "text string")
+    found = [r.condition_class for r in with_condition_class(frame, "text", rules).collect()]
+    assert found == ["clear", "clear", "snow"]
