@@ -11,7 +11,7 @@ from datetime import datetime
 
 from pyspark.sql import SparkSession
 
-from hyetos.operators.cities import city_timeline, hourly_slice
+from hyetos.operators.cities import city_timeline, hourly_slice, monitored
 from hyetos.operators.daily import daily_forecast, display_days
 from hyetos.operators.flatten import ALERT_COLUMNS, flatten
 from hyetos.operators.trends import with_window_bounds
@@ -32,14 +32,17 @@ def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, args.landing, schema, multi_line=not args.lines, max_files=args.max_files
         )
 
+    def of_cities(forecast):
+        return monitored(forecast, args.cities) if args.cities else forecast
+
     options = {"once": args.once, "interval": args.interval, "console": args.console}
     params = TrendParams(window=args.window)
     thresholds = Thresholds(args.high_temp, args.low_temp, args.high_wind)
     start_trend = streams.start_trend_bounded if args.bounded else streams.start_trend
     running = [
-        start_trend(flatten(documents(DOCUMENT)), args.root, params, **options),
+        start_trend(of_cities(flatten(documents(DOCUMENT))), args.root, params, **options),
         streams.start_alerts(
-            flatten(documents(ALERT_DOCUMENT), columns=ALERT_COLUMNS),
+            of_cities(flatten(documents(ALERT_DOCUMENT), columns=ALERT_COLUMNS)),
             args.root,
             thresholds,
             **options,
@@ -78,6 +81,7 @@ def parser() -> argparse.ArgumentParser:
     stream.add_argument("--root", required=True, help="folder for history and checkpoints")
     stream.add_argument("--lines", action="store_true", help="files hold one document per line")
     stream.add_argument("--max-files", type=int, help="files per batch at most")
+    stream.add_argument("--cities", nargs="+", help="keep these locations only")
     stream.add_argument("--window", default=TrendParams().window)
     stream.add_argument("--bounded", action="store_true", help="write each window once, closed")
     stream.add_argument("--high-temp", type=float, default=limits.high_temp)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +26,7 @@ def configure(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -76,7 +78,19 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _hadoop_path(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsc.hadoopConfiguration()
-    return hadoop_path.getFileSystem(conf).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    file_system, hadoop_path = _hadoop_path(spark, path)
+    return file_system.exists(hadoop_path)
+
+
+def names_descending(spark: SparkSession, pattern: str) -> Iterator[str]:
+    """Names of the paths that match ``pattern``, last in order first."""
+    file_system, hadoop_path = _hadoop_path(spark, pattern)
+    found = file_system.globStatus(hadoop_path) or []  # sorted by path
+    for position in reversed(range(len(found))):
+        yield found[position].getPath().getName()

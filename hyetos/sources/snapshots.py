@@ -14,10 +14,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hyetos.functions.timestamps import iso_text, parse_timestamp
 from hyetos.schemas import TREND_RECORD
-from hyetos.session import path_exists
+from hyetos.session import names_descending, path_exists
 
 MANIFEST_SCHEMA = "batch_id bigint, query_id string, n_rows bigint"
 
@@ -34,18 +35,22 @@ def checkpoint_path(root: str, kind: str) -> str:
     return f"{root}/{kind}/checkpoint"
 
 
+def batch_folder(batch_id: int) -> str:
+    """Padded, so that names sort like numbers."""
+    return f"batch_id={batch_id:012d}"
+
+
 def write_snapshot(
     df: DataFrame, batch_id: int, root: str, kind: str, query_id: str | None = None
 ) -> None:
     """Write one batch and then its manifest entry; does nothing if the entry exists."""
     spark = df.sparkSession
-    entry = f"{manifest_path(root, kind)}/batch_id={batch_id}"
+    entry = f"{manifest_path(root, kind)}/{batch_folder(batch_id)}"
     if path_exists(spark, f"{entry}/_SUCCESS"):
         return
-    target = f"{history_path(root, kind)}/batch_id={batch_id}"
-    df.write.mode("overwrite").parquet(target)
+    df.write.mode("overwrite").parquet(f"{history_path(root, kind)}/{batch_folder(batch_id)}")
     # Counting Parquet reads footers only, and counts what was really written.
-    written = spark.read.schema(df.schema).parquet(target).count()
+    written = read_batch(spark, root, kind, batch_id, df.schema).count()
     spark.range(0, 1, 1, 1).select(
         F.lit(query_id).alias("query_id"), F.lit(written).alias("n_rows")
     ).write.mode("overwrite").json(entry)
@@ -61,8 +66,16 @@ def read_manifest(spark: SparkSession, root: str, kind: str) -> DataFrame:
 
 
 def latest_entry(spark: SparkSession, root: str, kind: str) -> Row | None:
-    """Manifest entry of the newest complete batch."""
-    return read_manifest(spark, root, kind).orderBy(F.desc("batch_id")).first()
+    """Manifest entry of the newest complete batch.
+
+    Only folder names are listed, and only the newest entry is opened.
+    """
+    folder = manifest_path(root, kind)
+    for name in names_descending(spark, f"{folder}/batch_id=*"):
+        if path_exists(spark, f"{folder}/{name}/_SUCCESS"):
+            entry = spark.read.schema("query_id string, n_rows bigint").json(f"{folder}/{name}")
+            return Row(batch_id=int(name.split("=")[1]), **entry.first().asDict())
+    return None
 
 
 def read_latest(
@@ -75,8 +88,19 @@ def read_latest(
     entry = latest_entry(spark, root, kind)
     if entry is None:
         return None if schema is None else spark.createDataFrame([], schema)
+    return read_batch(spark, root, kind, entry.batch_id, schema)
+
+
+def read_batch(
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    batch_id: int,
+    schema: str | StructType | None = None,
+) -> DataFrame:
+    """Rows of one batch that is known to be complete."""
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(f"{history_path(root, kind)}/batch_id={entry.batch_id}")
+    return reader.parquet(f"{history_path(root, kind)}/{batch_folder(batch_id)}")
 
 
 def read_history(spark: SparkSession, root: str, kind: str) -> DataFrame:

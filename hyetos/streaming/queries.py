@@ -18,7 +18,12 @@ from hyetos.operators.revisions import latest_revision
 from hyetos.operators.trends import merge_trend, partial_trend
 from hyetos.params import Thresholds, TrendParams
 from hyetos.session import path_exists
-from hyetos.sources.snapshots import checkpoint_path, history_path, write_snapshot
+from hyetos.sources.snapshots import (
+    checkpoint_path,
+    history_path,
+    read_batch,
+    write_snapshot,
+)
 
 TRENDS = "trends"
 TRENDS_BOUNDED = "trends_bounded"
@@ -51,9 +56,9 @@ def _start(
         result = finish(batch)
         write_snapshot(result, batch_id, root, kind, query_id)
         if console:
-            written = f"{history_path(root, kind)}/batch_id={batch_id}"
             print(f"{kind} batch {batch_id}")
-            batch.sparkSession.read.schema(result.schema).parquet(written).show(truncate=False)
+            written = read_batch(batch.sparkSession, root, kind, batch_id, result.schema)
+            written.show(truncate=False)
 
     writer = (
         df.writeStream.queryName(kind)

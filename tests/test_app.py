@@ -1,6 +1,7 @@
 from helpers import at, document, land, rows
 
 from hyetos import app
+from hyetos.sources.snapshots import read_latest
 
 
 def test_stream_then_serve(spark, tmp_path, monkeypatch):
@@ -27,3 +28,12 @@ def test_serve_before_any_snapshot(spark, tmp_path):
     out = str(tmp_path / "out")
     app.main(["serve", "--root", str(tmp_path / "none"), "--out", out, "--format", "parquet"])
     assert spark.read.parquet(f"{out}/city_card").count() == 0
+
+
+def test_stream_of_some_cities(spark, tmp_path):
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "job")
+    documents = [document(name, at(0), [(at(0), 35.0, 50, 5.0, "Sunny")]) for name in "ABC"]
+    land(tmp_path / "landing", "a", documents)
+    app.main(["stream", "--landing", landing, "--root", root, "--once", "--cities", "A", "C"])
+    for kind in ("trends", "extreme"):
+        assert rows(read_latest(spark, root, kind), "name") == [("A",), ("C",)]

@@ -9,6 +9,7 @@ from hyetos.operators.alerts import extreme
 from hyetos.operators.trends import trend, with_window_bounds
 from hyetos.schemas import ALERT
 from hyetos.sources.snapshots import (
+    batch_folder,
     export_records,
     history_path,
     latest_entry,
@@ -56,7 +57,8 @@ def test_repeating_a_batch_changes_nothing(spark, frame, tmp_path):
 def test_a_batch_without_manifest_entry_is_not_seen(spark, frame, tmp_path):
     root = str(tmp_path)
     write_snapshot(frame, 0, root, "k")
-    frame.write.parquet(f"{history_path(root, 'k')}/batch_id=1")
+    frame.write.parquet(f"{history_path(root, 'k')}/{batch_folder(1)}")
+    (tmp_path / "k" / "manifest" / batch_folder(1) / "_temporary").mkdir(parents=True)
     assert read_history(spark, root, "k").count() == 5
     assert latest_entry(spark, root, "k").batch_id == 0
     write_snapshot(frame.filter("id = 0"), 1, root, "k")
