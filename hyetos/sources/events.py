@@ -33,26 +33,25 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
-def _reading() -> Column:
-    """``k`` of the JSON text ``props``; the usual form is matched, any other parsed."""
-    usual = F.regexp_extract("props", r'^\{"k": ?(\d{1,9})\}$', 1)
-    return F.coalesce(F.nullif(usual, F.lit("")), F.get_json_object("props", "$.k"))
+def _humidity() -> Column:
+    """``k`` of the JSON text ``props``: cut out of the usual form ``{"k": 12}``, else parsed."""
+    usual = F.col("props").startswith('{"k": ') & F.col("props").endswith("}")
+    cut = F.expr("try_cast(substr(props, 7, length(props) - 7) as int)")
+    parsed = F.get_json_object("props", "$.k").cast("int")
+    return F.coalesce(F.when(usual, cut), parsed)
 
 
 def forecast_view(events: DataFrame) -> DataFrame:
     """Events as the flat forecast table, with ``event_id``."""
-    readings = events.select(
-        "event_id", "ts", "user_id", "event_type", "value", _reading().alias("k")
-    )
-    return readings.select(
+    return events.withColumn("humidity", _humidity()).select(
         "event_id",
         F.concat(F.lit("CITY_"), (F.col("user_id") % 7).cast("string")).alias("name"),
         F.col("ts").alias("fetch_time"),
         F.col("ts").cast("date").cast("string").alias("forecast_date"),
         F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("forecast_time"),
         (F.col("value") - 10.0).alias("temp"),
-        F.col("k").cast("int").alias("humidity"),
-        (F.col("k").cast("double") * 0.25 + 6.5).alias("wind_speed"),
+        "humidity",
+        (F.col("humidity") * 0.25 + 6.5).alias("wind_speed"),
         F.col("event_type").alias("condition"),
     )
 
