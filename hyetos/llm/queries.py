@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.llm import url_filter
-from hyetos.llm.common import table
+from hyetos.llm import packing, tokens, url_filter, warc
+from hyetos.llm.common import stored, table
+from hyetos.session import work_dir
 
 #: The rules of the URL query (host, path, verdict).
 URL_RULES = [
@@ -20,6 +21,34 @@ URL_RULES = [
 ]
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "warc")
+    warc.write(warc.resolve(table(spark, sf_dir, "pages")), path)
+    headers = warc.read(spark, path).drop("payload")
+    return warc.with_originals(headers).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+WARC_SQL = """
+select page_id, payload_bytes, payload_digest,
+       case when revisits then 'revisit' else 'response' end record_type,
+       case when revisits then keeper end refers_to
+from (select *, payload_bytes >= 1000 and keeper is not null
+             and page_id is distinct from keeper revisits
+      from (select page_id, strlen(coalesce(html, ''))::bigint payload_bytes,
+                   sha1(coalesce(html, '')) payload_digest,
+                   max(page_id) over (partition by coalesce(html, '')) keeper
+            from pages))
+"""
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = stored(packing.token_pieces(docs, tokens.default_path()), "pieces")
+    return packing.pack(pieces)
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge(pages, url_filter.rules_frame(spark, URL_RULES))
@@ -48,6 +77,8 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_warc": op5_warc,
+    "op6_packing": op6_packing,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {"op10_url_filter": URL_SQL}
+ORACLES: dict[str, str] = {"op5_warc": WARC_SQL, "op10_url_filter": URL_SQL}
