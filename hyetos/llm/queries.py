@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.llm import packing, tokens, url_filter, warc
+from hyetos.llm import huffman, packing, tokens, url_filter, warc
 from hyetos.llm.common import stored, table
 from hyetos.session import work_dir
 
@@ -49,6 +49,11 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return huffman.round_trip(docs, tokens.default_path(), work_dir(spark, "token-files"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge(pages, url_filter.rules_frame(spark, URL_RULES))
@@ -79,6 +84,7 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
+    "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
 }
 ORACLES: dict[str, str] = {"op5_warc": WARC_SQL, "op10_url_filter": URL_SQL}
