@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.llm import huffman, packing, tokens, url_filter, warc
+from hyetos.llm import huffman, packing, tokens, toxicity, url_filter, warc
 from hyetos.llm.common import stored, table
 from hyetos.session import work_dir
 
@@ -49,6 +49,14 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold("doc_id", 5) != 0)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    held_out = (toxicity.fold("doc_id", 5) == 0).alias("held_out")
+    return scored.select("doc_id", held_out, "score", "predicted")
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return huffman.round_trip(docs, tokens.default_path(), work_dir(spark, "token-files"))
@@ -84,6 +92,7 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
+    "op7_toxicity": op7_toxicity,
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
 }
