@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.llm import huffman, packing, tokens, toxicity, url_filter, warc
+from hyetos.llm import huffman, language, packing, tokens, toxicity, url_filter, warc
 from hyetos.llm.common import stored, table
 from hyetos.session import work_dir
 
@@ -21,6 +21,15 @@ URL_RULES = [
 ]
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold("doc_id", 4) == 2
+    model = language.train(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "warc")
     warc.write(warc.resolve(table(spark, sf_dir, "pages")), path)
@@ -90,6 +99,7 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_language": op4_language,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
