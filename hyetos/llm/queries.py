@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.llm import huffman, language, packing, tokens, toxicity, url_filter, warc
+from hyetos.llm import decontamination, huffman, language, packing, tokens, toxicity, url_filter, warc
 from hyetos.llm.common import stored, table
 from hyetos.session import work_dir
 
@@ -21,6 +21,44 @@ URL_RULES = [
 ]
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
+CONTAMINATION_SQL = r"""
+with texts as (
+    select 'd' kind, doc_id id, text from documents
+    union all select 'i', item_id, text from benchmark),
+cut as (
+    select kind, id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w
+    from texts),
+windows as (
+    select distinct id item_id, array_to_string(w[s:s + 9], ' ') phrase, least(len(w), 10) n
+    from (select id, w, unnest(generate_series(1, greatest(len(w) - 9, 1))) s
+          from cut where kind = 'i' and len(w) > 0)),
+grams as (
+    select id doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') phrase
+    from (select id, w, n, unnest(generate_series(1, len(w) - n + 1)) s
+          from cut, (select distinct n from windows) where kind = 'd')),
+hits as (select doc_id, s, n, item_id from grams join windows using (n, phrase)),
+words as (
+    select doc_id, count(distinct p) n_hit
+    from (select doc_id, unnest(generate_series(s, s + n - 1)) p from (select distinct doc_id, s, n from hits))
+    group by 1),
+items as (
+    select doc_id, count(*) n_items, string_agg(i, ',' order by i) ids
+    from (select distinct doc_id, item_id::varchar i from hits) group by 1)
+select id doc_id, len(w)::bigint n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
+       sha256(coalesce(ids, '')) items_sha256, n_hit is not null contaminated
+from cut left join words on id = words.doc_id left join items on id = items.doc_id
+where kind = 'd'
+"""
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.fold("doc_id", 4) == 2
@@ -99,6 +137,7 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_decontamination": op2_decontamination,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
@@ -106,4 +145,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
 }
-ORACLES: dict[str, str] = {"op5_warc": WARC_SQL, "op10_url_filter": URL_SQL}
+ORACLES: dict[str, str] = {"op2_decontamination": CONTAMINATION_SQL, "op5_warc": WARC_SQL, "op10_url_filter": URL_SQL}
