@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.llm import decontamination, huffman, language, packing, tokens, toxicity, url_filter, warc
+from hyetos.llm import (
+    decontamination,
+    huffman,
+    language,
+    packing,
+    similarity_join,
+    tokens,
+    toxicity,
+    url_filter,
+    warc,
+)
 from hyetos.llm.common import stored, table
 from hyetos.session import work_dir
 
@@ -104,6 +114,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def op8_similarity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity_join.join(table(spark, sf_dir, "documents"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return huffman.round_trip(docs, tokens.default_path(), work_dir(spark, "token-files"))
@@ -142,6 +156,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
     "op7_toxicity": op7_toxicity,
+    "op8_similarity_join": op8_similarity_join,
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
 }
