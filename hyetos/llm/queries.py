@@ -11,6 +11,7 @@ from hyetos.llm import (
     decontamination,
     huffman,
     language,
+    line_dedup,
     packing,
     similarity_join,
     tokens,
@@ -31,6 +32,10 @@ URL_RULES = [
 ]
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -151,6 +156,7 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
