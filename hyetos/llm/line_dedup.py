@@ -123,10 +123,11 @@ def thinned(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 
 def shingle_set(text: str) -> Column:
     """The distinct shingle hashes of a column of normal lines."""
-    units = f"encode({text}, 'UTF-16BE')"
+    # the outer transform makes the units once for all places
     return F.expr(
-        f"array_distinct(transform(sequence(0, greatest(length({units}) div 2 - {SHINGLE}, 0)), "
-        f"i -> xxhash64(substring({units}, 2 * i + 1, {2 * SHINGLE}))))"
+        f"transform(array(encode({text}, 'UTF-16BE')), u -> array_distinct(transform("
+        f"sequence(0, greatest(length(u) div 2 - {SHINGLE}, 0)), "
+        f"i -> xxhash64(substring(u, 2 * i + 1, {2 * SHINGLE})))))[0]"
     )
 
 
@@ -137,10 +138,12 @@ def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .join(texts.select(F.col("node").alias("b"), F.col("normal").alias("line_b")), "b")
         .withColumn("set_a", shingle_set("line_a"))
         .withColumn("set_b", shingle_set("line_b"))
-        .select("a", "b", "set_a", "set_b", F.size(F.array_intersect("set_a", "set_b")).alias("shared"))
     )
-    union = F.size("set_a") + F.size("set_b") - F.col("shared")
-    return sets.select("a", "b", (F.col("shared") / union).alias("similarity"))
+    similarity = F.expr(
+        "transform(array(size(array_intersect(set_a, set_b))), "
+        "n -> n / (size(set_a) + size(set_b) - n))[0]"
+    )
+    return sets.select("a", "b", similarity.alias("similarity"))
 
 
 def candidate_buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
