@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hyetos.llm import (
     decontamination,
+    fingerprints,
     huffman,
     language,
     line_dedup,
@@ -74,6 +75,10 @@ where kind = 'd'
 """
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.fold("doc_id", 4) == 2
@@ -158,6 +163,7 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_fingerprints": op3_fingerprints,
     "op4_language": op4_language,
     "op5_warc": op5_warc,
     "op6_packing": op6_packing,
