@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 from hyetos.llm.common import slices
 
@@ -226,8 +227,8 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFra
                 arrays.append(pa.array(rows, span))
             yield pa.RecordBatch.from_arrays(arrays, names=[*kept, *added])
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept]
-    fields += ["lang_pred string", "score double"]
+    schema = StructType([docs.schema[c] for c in kept])
+    schema = schema.add("lang_pred", StringType()).add("score", DoubleType())
     if with_spans:
-        fields.append("spans array<struct<lang:string,first_word:long,words:long>>")
-    return docs.select(*kept).mapInArrow(apply, ", ".join(fields))
+        schema = schema.add("spans", "array<struct<lang:string,first_word:bigint,words:bigint>>")
+    return docs.mapInArrow(apply, schema)

@@ -252,7 +252,7 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     joined = docs.join(lost.withColumnRenamed("doc_id", "lost_doc"), F.col("doc_id").eqNullSafe(F.col("lost_doc")), "left")
     left = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains("lost", at))
     text = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    kept = joined.withColumn("text", text).where("lost is null or trim(text, '\n \t') <> ''")
+    kept = joined.withColumn("text", text).where("lost is null or btrim(text, '\n ') <> ''")
     if "n_chars" in docs.columns:
         counted = F.when(F.col("lost").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
         kept = kept.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))

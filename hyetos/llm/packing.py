@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructType
 
 from hyetos.llm import tokens
 from hyetos.llm.common import full_text, slices
@@ -168,8 +169,8 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
                 names=[*names, "sequence_id", "offset"],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(place, f"{fields}, sequence_id long, offset long")
+    schema = StructType(pieces.schema.fields).add("sequence_id", LongType()).add("offset", LongType())
+    return ranked.mapInArrow(place, schema)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

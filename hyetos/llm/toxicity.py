@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, IntegerType, StructType
 
 from hyetos.llm.common import full_text, slices, stored
 
@@ -234,13 +235,15 @@ def train(
     return Model(bias, {f: float(weights[i]) for f, i in numbers.items()})
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """Add ``score`` and ``predicted`` to every row; NULL texts count as empty.
+def score(
+    docs: DataFrame, model: Model, names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """Add a score from 0 to 1, and 1 where it is at least 0.5, to every row, under ``names``.
 
-    Columns of these names are replaced; all others stay.
+    NULL texts count as empty. Columns of these names are replaced; all others stay.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES weights
-    kept = [c for c in docs.columns if c not in ("score", "predicted")]
+    kept = [c for c in docs.columns if c not in names]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = shared.value.scorer()
@@ -251,13 +254,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             predicted = [int(s >= 0.5) for s in scores]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array(scores, pa.float64()), pa.array(predicted, pa.int32())],
-                names=[*kept, "score", "predicted"],
+                names=[*kept, *names],
             )
 
-    fields = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept
-    )
-    return docs.select(*kept).mapInArrow(apply, f"{fields}, score double, predicted int")
+    schema = StructType([docs.schema[c] for c in kept])
+    schema = schema.add(names[0], DoubleType()).add(names[1], IntegerType())
+    return docs.mapInArrow(apply, schema)
 
 
 def fold(doc_id: str, parts: int) -> Column:
