@@ -169,7 +169,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
                 names=[*names, "sequence_id", "offset"],
             )
 
-    schema = StructType(pieces.schema.fields).add("sequence_id", LongType()).add("offset", LongType())
+    schema = StructType([*pieces.schema.fields]).add("sequence_id", LongType()).add("offset", LongType())
     return ranked.mapInArrow(place, schema)
 
 
