@@ -247,13 +247,17 @@ def deduplicated(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     A document that loses all its lines that are not blank is left out; one without such
     lines stays as it is. ``n_chars``, where there is one, is counted anew.
     """
+    drop, owner = "lines that go", "document they go from"
     classes = line_classes(docs, threshold)
-    lost = classes.where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("lost"))
-    joined = docs.join(lost.withColumnRenamed("doc_id", "lost_doc"), F.col("doc_id").eqNullSafe(F.col("lost_doc")), "left")
-    left = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains("lost", at))
-    text = F.when(F.col("lost").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    kept = joined.withColumn("text", text).where("lost is null or btrim(text, '\n ') <> ''")
+    lost = classes.where("not kept").groupBy(F.col("doc_id").alias(owner)).agg(
+        F.collect_set("line_no").alias(drop)
+    )
+    joined = docs.join(lost, F.col("doc_id").eqNullSafe(F.col(owner)), "left")
+    left = F.filter(F.split("text", "\n"), lambda line, at: ~F.array_contains(drop, at))
+    whole = F.col(drop).isNull()
+    text = F.when(whole, F.col("text")).otherwise(F.array_join(left, "\n"))
+    kept = joined.withColumn("text", text).where(whole | (F.btrim("text", F.lit("\n ")) != ""))
     if "n_chars" in docs.columns:
-        counted = F.when(F.col("lost").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
+        counted = F.when(whole, F.col("n_chars")).otherwise(F.char_length("text"))
         kept = kept.withColumn("n_chars", counted.cast(docs.schema["n_chars"].dataType))
     return kept.select(*docs.columns)
