@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructType
 
 from hyetos.llm.common import slices
 
@@ -230,5 +230,6 @@ def identify(docs: DataFrame, model: Model, with_spans: bool = False) -> DataFra
     schema = StructType([docs.schema[c] for c in kept])
     schema = schema.add("lang_pred", StringType()).add("score", DoubleType())
     if with_spans:
-        schema = schema.add("spans", "array<struct<lang:string,first_word:bigint,words:bigint>>")
+        kind = StructType().add("lang", StringType()).add("first_word", LongType())
+        schema = schema.add("spans", ArrayType(kind.add("words", LongType())))
     return docs.mapInArrow(apply, schema)

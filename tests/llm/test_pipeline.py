@@ -1,0 +1,82 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__
+import corpus_pipeline
+from hyetos.llm import decontamination, similarity_join, tokens
+from tests.llm.conftest import DOC_DDL, invented
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """documents, labels and benchmark with planted cases; the ids of each kind."""
+    folder = tmp_path_factory.mktemp("tables")
+    source, rows, labels, kinds = random.Random(1), [], [], {}
+
+    def plant(kind, text, toxic=0):
+        kinds.setdefault(kind, []).append(len(rows))
+        labels.append((len(rows), 1, toxic))
+        rows.append((len(rows), text, "en", "s", len(text)))
+
+    def prose(seed, lines=4):
+        return "\n".join(" ".join(invented(seed * 10 + i, 25)) for i in range(lines))
+
+    passage = " ".join(invented(77_777, 30))
+    for i in range(200):
+        plant("clean", prose(i))
+        plant("toxic", prose(1000 + i) + " vileword " + " ".join(invented(9000 + i, 5)), 1)
+    for i in range(20):
+        plant("leak", prose(2000 + i) + " " + passage + " " + str(i))
+        plant("copy", rows[kinds["clean"][i]][1])
+        words = rows[kinds["clean"][40 + i]][1].split(" ")
+        words[source.randrange(len(words))] = "changed"
+        plant("near", " ".join(words))
+    rows += [(None, "words without id", None, None, None), (900, None, "en", "s", None), (901, "", "", "", 0)]
+    spark.createDataFrame(rows, DOC_DDL).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    spark.createDataFrame([(1, passage)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return str(folder), kinds
+
+
+def test_each_stage_decides_on_what_it_gets(spark, tables):
+    folder, kinds = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns, kept = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = corpus_pipeline.stored(stage(spark, docs, folder), "stage").cache()
+        assert docs.columns == columns
+        kept[name] = {r.doc_id for r in docs.collect()}
+    assert not kept["toxicity"] & set(kinds["toxic"])
+    for name in kept:
+        assert set(kinds["clean"]) | {None, 900, 901} <= kept[name]
+    assert not kept["line dedup"] & set(kinds["copy"])
+    assert not kept["benchmark decontamination"] & set(kinds["leak"])
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, folder).collect()
+    coder = tokens.coder(tokens.default_path())
+    for row in docs.collect():
+        total = sum(p.length for p in packed if p.doc_id == row.doc_id)
+        assert total == len(coder.encode([row.text or ""])[0]) // 4 + 1
+    assert len({p.sequence_id for p in packed}) <= 1.1 * sum(p.length for p in packed) / 2048 + 1
+
+
+def test_near_copies_and_leaks_by_themselves(spark, tables):
+    folder, kinds = tables
+    docs = spark.read.parquet(f"{folder}/documents.parquet").withColumn("class_id", F.lit("clash"))
+    left = {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, folder).collect()}
+    pairs = list(zip(kinds["clean"], kinds["copy"])) + list(zip(kinds["clean"][40:], kinds["near"]))
+    sets = {r.doc_id: set(similarity_join.shingles(r.text).tolist()) for r in docs.collect()}
+    for first, second in pairs:
+        alike = len(sets[first] & sets[second]) >= 0.8 * len(sets[first] | sets[second])
+        assert first in left and (second in left) != alike
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    found = decontamination.contamination(docs, items).where("contaminated").collect()
+    assert {r.doc_id for r in found} == set(kinds["leak"])
+
+
+def test_registered(spark, tables):
+    folder, _ = tables
+    names = __spark_entry__.queries()
+    assert {f"op{n}" for n in range(1, 11)} <= {k.split("_")[0] for k in names}
+    assert names["pipeline"](spark, folder).columns[:3] == ["doc_id", "piece", "start"]
