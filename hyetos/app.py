@@ -1,13 +1,13 @@
 """Command line: run the streams over a landing folder, or build the serving tables.
 
     python -m hyetos.app stream --landing PATH --root PATH [--once]
-    python -m hyetos.app serve --root PATH --out PATH [--as-of 2024-01-15T12:00]
+    python -m hyetos.app serve --root PATH --out PATH [--bounded] [--as-of 2024-01-15T12:00]
 """
 
 from __future__ import annotations
 
 import argparse
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import SparkSession
 
@@ -20,7 +20,7 @@ from hyetos.plans.serving import city_card
 from hyetos.schemas import ALERT, ALERT_DOCUMENT, DOCUMENT, TREND
 from hyetos.session import configure
 from hyetos.sources.documents import stream_documents
-from hyetos.sources.snapshots import read_latest
+from hyetos.sources.snapshots import export_records, latest_entry, read_history, read_latest
 from hyetos.streaming import queries as streams
 
 
@@ -29,7 +29,7 @@ def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
 
     def documents(schema: str):
         return stream_documents(
-            spark, args.landing, schema, multi_line=not args.lines, max_files=args.max_files
+            spark, args.landing, schema, arrays=args.arrays, max_files=args.max_files
         )
 
     def of_cities(forecast):
@@ -54,11 +54,38 @@ def run_streams(spark: SparkSession, args: argparse.Namespace) -> None:
         streams.await_any(spark)
 
 
+def moment(text: str | None) -> datetime:
+    """ISO text as UTC without zone, as sessions run in UTC; the present if there is none."""
+    given = datetime.fromisoformat(text) if text else datetime.now(UTC)
+    return given.astimezone(UTC).replace(tzinfo=None) if given.tzinfo else given
+
+
+def current_trend(spark: SparkSession, root: str, bounded: bool):
+    """The trend rows to serve: the newest snapshot, or every window closed so far.
+
+    Refuses to serve nothing when the streams wrote the other kind.
+    """
+    chosen, other = streams.TRENDS, streams.TRENDS_BOUNDED
+    if bounded:
+        chosen, other = other, chosen
+    if latest_entry(spark, root, chosen) is None and latest_entry(spark, root, other) is not None:
+        raise SystemExit(f"{root} holds {other} only: {'leave out' if bounded else 'add'} --bounded")
+    if bounded:
+        return read_history(spark, root, chosen, TREND).drop("batch_id")
+    return read_latest(spark, root, chosen, TREND)
+
+
+def export(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Trend and alert snapshots as JSON records for clients."""
+    export_records(current_trend(spark, args.root, args.bounded), f"{args.out}/trends")
+    export_records(read_latest(spark, args.root, streams.EXTREME, ALERT), f"{args.out}/alerts")
+
+
 def build_serving(spark: SparkSession, args: argparse.Namespace) -> None:
     """All serving tables of the latest snapshots, one folder each under ``--out``."""
-    trend = with_window_bounds(read_latest(spark, args.root, streams.TRENDS, TREND))
+    trend = with_window_bounds(current_trend(spark, args.root, args.bounded))
     alerts = read_latest(spark, args.root, streams.EXTREME, ALERT)
-    as_of = datetime.fromisoformat(args.as_of) if args.as_of else datetime.now()
+    as_of = moment(args.as_of)
     days = daily_forecast(trend)
     tables = {
         "city_card": city_card(trend, alerts),
@@ -79,7 +106,7 @@ def parser() -> argparse.ArgumentParser:
     stream = commands.add_parser("stream", help="run the trend and alert streams")
     stream.add_argument("--landing", required=True, help="folder the documents arrive in")
     stream.add_argument("--root", required=True, help="folder for history and checkpoints")
-    stream.add_argument("--lines", action="store_true", help="files hold one document per line")
+    stream.add_argument("--arrays", action="store_true", help="each file holds one JSON array")
     stream.add_argument("--max-files", type=int, help="files per batch at most")
     stream.add_argument("--cities", nargs="+", help="keep these locations only")
     stream.add_argument("--window", default=TrendParams().window)
@@ -95,9 +122,16 @@ def parser() -> argparse.ArgumentParser:
     serve = commands.add_parser("serve", help="build the serving tables")
     serve.add_argument("--root", required=True, help="folder the streams write to")
     serve.add_argument("--out", required=True)
+    serve.add_argument("--bounded", action="store_true", help="serve the bounded trend")
     serve.add_argument("--as-of", help="ISO time the hourly slice is taken around; now if left out")
     serve.add_argument("--format", default="parquet", choices=["parquet", "json"])
     serve.set_defaults(run=build_serving)
+
+    records = commands.add_parser("export", help="write the snapshots as JSON records")
+    records.add_argument("--root", required=True, help="folder the streams write to")
+    records.add_argument("--out", required=True)
+    records.add_argument("--bounded", action="store_true", help="export the bounded trend")
+    records.set_defaults(run=export)
     return top
 
 

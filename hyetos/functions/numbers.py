@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Doubles hold every whole number below this bound exactly.
 _WHOLE_LIMIT = float(2**53)
+# How far, of its own size, a value may lie from a whole number of units to count as one.
+_NOISE = 1e-12
 
 
 def half_even(value: Column, digits: int) -> Column:
@@ -24,14 +26,19 @@ def fixed_text(value: Column, digits: int) -> Column:
 def partial_sum(value: Column, name: str, decimals: int | None = None) -> list[Column]:
     """First-level aggregates from which :func:`merged_mean` makes a mean.
 
-    With ``decimals`` the sum is kept in whole units of 10**-decimals. Values the
-    unit cannot hold (NaN, infinities, very large ones) go into a double sum beside it.
+    With ``decimals`` the sum is kept in whole units of 10**-decimals. A value counts as
+    whole if it lies within ``_NOISE`` of it, as results of binary arithmetic do. All others
+    (more digits, NaN, infinities, very large ones, floats that widen to such) go unchanged
+    into a double sum beside it.
     """
     columns = [F.count(value).alias(f"{name}_n")]
     if decimals is None:
         return columns + [F.sum(value).alias(f"{name}_sum")]
-    scaled = F.rint(value.cast("double") * F.lit(float(10**decimals)))
-    fits = F.abs(scaled) < F.lit(_WHOLE_LIMIT)
+    scale = F.lit(float(10**decimals))
+    exact = value.cast("double") * scale
+    scaled = F.rint(exact)
+    near = F.abs(exact - scaled) <= F.lit(_NOISE) * F.greatest(F.lit(1.0), F.abs(scaled))
+    fits = (F.abs(scaled) < F.lit(_WHOLE_LIMIT)) & near
     units = F.when(fits, scaled).cast("bigint")
     rest = F.when(~fits, value.cast("double"))
     return columns + [

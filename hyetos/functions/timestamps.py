@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 
 def parse_timestamp(text: Column) -> Column:
-    """ISO-like text to timestamp; text that is no timestamp gives NULL, also in ANSI mode."""
-    return F.try_to_timestamp(text)
+    """ISO-like text to timestamp; text that is no timestamp gives NULL, also in ANSI mode.
+
+    A time without a date is none: Spark would complete it with the day of the run.
+    """
+    dated = text.rlike(r"^\s*[+-]?\d{4,7}(-|\s*$)")
+    return F.when(dated, F.try_to_timestamp(text))
 
 
 def wall_clock(moment: datetime) -> Column:

@@ -46,8 +46,14 @@ def extreme_latest(
     thresholds: Thresholds = Thresholds(),
     tiebreak: Sequence[str] = (),
 ) -> DataFrame:
-    """Alerts of the latest revision only, so an hour alerts at most once."""
-    return extreme(latest_revision(forecast, tiebreak), thresholds)
+    """Alerts of the latest revision only, so an hour alerts at most once.
+
+    Only the columns that alerts use are shuffled. Revisions that neither fetch time nor
+    ``tiebreak`` order are ordered by their readings.
+    """
+    used = ["name", "forecast_time", "fetch_time", "temp", "wind_speed"]
+    used += [c for c in tiebreak if c not in used]
+    return extreme(latest_revision(forecast.select(*used), tiebreak), thresholds)
 
 
 def alert_value() -> Column:

@@ -23,7 +23,7 @@ def daily_rollup(trends: DataFrame) -> DataFrame:
         F.min("min_temp").alias("min_temp"),
         F.avg("avg_wind_speed").alias("avg_wind_speed"),
         F.avg("avg_humidity").alias("avg_humidity"),
-    )
+    ).withColumn("date", F.to_date("date_str"))
 
 
 def daily_condition(trends: DataFrame) -> DataFrame:
@@ -74,6 +74,7 @@ def rollup_with_condition(trends: DataFrame) -> DataFrame:
         F.min("min_temp").alias("min_temp"),
         merged_mean("avg_wind_speed").alias("avg_wind_speed"),
         merged_mean("avg_humidity").alias("avg_humidity"),
+        F.min(F.to_date("date_str")).alias("date"),
         modal("common_condition", "n_windows").alias("common_condition"),
     )
 

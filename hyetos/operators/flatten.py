@@ -4,20 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hyetos.functions.timestamps import parse_timestamp
 
 
+def _known(reading: str) -> Column:
+    """A reading, NULL where it is NaN."""
+    return F.when(~F.isnan(reading), F.col(reading))
+
+
 def current_conditions(documents: DataFrame) -> DataFrame:
     """The readings at fetch time, one row per document."""
     return documents.select(
         F.col("location.name").alias("name"),
         parse_timestamp(F.col("fetch_timestamp")).alias("fetch_time"),
-        F.col("current.temp_c").alias("current_temp"),
+        _known("current.temp_c").alias("current_temp"),
         F.col("current.humidity").alias("current_humidity"),
-        F.col("current.wind_kph").alias("current_wind"),
+        _known("current.wind_kph").alias("current_wind"),
         F.col("current.condition.text").alias("current_condition"),
     )
 
@@ -49,14 +54,15 @@ def flatten(
     ``hour_extra`` names further hour fields to keep. ``columns`` limits the usual
     columns, for documents that were read without the fields of the others.
     """
+    # The names of the fact columns.
     usual = {
         "name": F.col("name"),
         "fetch_time": F.col("fetch_time"),
         "forecast_date": F.col("forecast_date"),
         "forecast_time": parse_timestamp(F.col("hour.time")),
-        "temp": F.col("hour.temp_c"),
+        "temp": _known("hour.temp_c"),
         "humidity": F.col("hour.humidity"),
-        "wind_speed": F.col("hour.wind_kph"),
+        "wind_speed": _known("hour.wind_kph"),
         "condition": F.col("hour.condition.text"),
     }
     return explode_hours(explode_days(documents)).select(

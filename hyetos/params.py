@@ -32,7 +32,9 @@ class TrendParams:
 
     ``decimals=None`` sums temperatures as doubles. With ``decimals=n`` values
     carrying at most n fractional digits are summed as whole units of 10**-n, so
-    the mean does not depend on the order in which rows and partitions arrive.
+    the mean does not depend on the order in which rows and partitions arrive. Other
+    values keep all their digits and are summed as doubles beside them; so are most
+    single-precision values, as they widen to doubles with more digits.
     """
 
     window: str = "10 minutes"

@@ -94,7 +94,7 @@ FIRST_ALERT_SQL = """first_alert as (
 
 DAILY_SQL = """days as (select strftime(window_start, '%Y-%m-%d') as date_str, * from trend),
 rollup_rows as (
-  select name, date_str, max(max_temp) as max_temp, min(min_temp) as min_temp,
+  select name, date_str, date_str as date, max(max_temp) as max_temp, min(min_temp) as min_temp,
          round(avg(avg_wind_speed), 9) as avg_wind_speed, round(avg(avg_humidity), 9) as avg_humidity
   from days group by name, date_str),
 day_mode as (
@@ -154,7 +154,8 @@ def _plain_times(df: DataFrame) -> DataFrame:
 def _rounded_means(daily_rows: DataFrame) -> DataFrame:
     """Means of means at nine digits, below which the order of summation shows."""
     means = ("avg_wind_speed", "avg_humidity")
-    return daily_rows.withColumns({c: F.round(c, 9) for c in means})
+    rounded = daily_rows.withColumns({c: F.round(c, 9) for c in means})
+    return rounded.withColumn("date", F.col("date").cast("string"))
 
 
 # Sources and flattening
@@ -189,11 +190,20 @@ def stream_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "stream_flatten")
     landing = f"{root}/landing"
     documents.land_documents(events.document_view(events.read_events(spark, sf_dir)), landing)
-    docs = documents.stream_documents(spark, landing, events.EVENT_DOCUMENT, multi_line=False)
+    docs = documents.stream_documents(spark, landing, events.EVENT_DOCUMENT)
     streams.await_all([streams.start_flatten(docs, root, hour_extra=("event_id",), once=True)])
     return _plain_times(snapshots.read_history(spark, root, streams.FORECAST).drop("batch_id"))
 
 
+@query("land_then_read", HOURS_SQL)
+def land_then_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents landed as JSON files and read back, both with their defaults."""
+    landing = f"{work_dir(spark, 'land_then_read')}/landing"
+    documents.land_documents(events.document_view(events.read_events(spark, sf_dir)), landing)
+    docs = documents.read_documents(spark, landing, events.EVENT_DOCUMENT)
+    return _plain_times(flatten.flatten(docs, hour_extra=("event_id",)))
+
+
 @query(
     "current_conditions",
     f"""with {FORECAST_SQL}
@@ -242,6 +252,16 @@ def trend_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.with_window_bounds(ordered)
 
 
+@query(
+    "trend_default",
+    f"""with {TREND_SQL} select * replace (round(avg_temp, 9) as avg_temp) from trend""",
+)
+def trend_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend with temperatures summed as doubles, at nine digits."""
+    found = trends.with_window_bounds(trends.trend(_forecast(spark, sf_dir)))
+    return found.withColumn("avg_temp", F.round("avg_temp", 9))
+
+
 @query(
     "mode_condition",
     f"""with {FORECAST_SQL}
@@ -280,6 +300,68 @@ def stream_trend_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(trends.with_window_bounds(closed))
 
 
+@query(
+    "serve_bounded",
+    f"""with {TREND_SQL.replace("trend as (", "all_trend as (")},
+trend as (select * from all_trend
+          where window_end <= (select max(forecast_time) from forecast) - interval '8 days'),
+{DAILY_SQL}
+select * from rollup_rows""",
+)
+def serve_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows of a bounded stream through to the daily table."""
+    root = work_dir(spark, "serve_bounded")
+    forecast = events.forecast_view(events.stream_events(spark, sf_dir))
+    streams.await_all([streams.start_trend_bounded(forecast, root, TREND, once=True)])
+    closed = snapshots.read_history(spark, root, streams.TRENDS_BOUNDED).drop("batch_id")
+    return _rounded_means(daily.daily_rollup(trends.with_window_bounds(closed)))
+
+
+# The main path: array files landed, several batches, both streams side by side
+
+PIPELINE_SQL = f"with {FORECAST_SQL}, {_lead_sql()}"
+PIPELINE_TREND_SQL = f"with {TREND_SQL}".replace(
+    "bucketed as (", f"{_lead_sql()},\nbucketed as (", 1
+).replace("from forecast where forecast_time", "from hours where forecast_time", 1)
+
+
+def _run_pipeline(spark: SparkSession, sf_dir: str, label: str) -> str:
+    root = work_dir(spark, label)
+    landing = f"{root}/landing"
+    docs = events.document_view(events.read_events(spark, sf_dir))
+    documents.land_arrays(docs, landing, F.crc32("fetch_timestamp") % 200)
+
+    def forecast() -> DataFrame:
+        read = documents.stream_documents(
+            spark, landing, events.EVENT_DOCUMENT, arrays=True, max_files=80
+        )
+        return flatten.flatten(read)
+
+    streams.await_all(
+        [
+            streams.start_trend(forecast(), root, TREND, once=True),
+            streams.start_alerts(forecast(), root, once=True),
+        ]
+    )
+    return root
+
+
+@query("pipeline_trend", f"{PIPELINE_TREND_SQL} select * from trend")
+def pipeline_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Array files landed, then trend and alerts as two streams; the latest trend."""
+    root = _run_pipeline(spark, sf_dir, "pipeline_trend")
+    return _plain_times(
+        trends.with_window_bounds(snapshots.read_latest(spark, root, streams.TRENDS))
+    )
+
+
+@query("pipeline_alerts", f"{PIPELINE_SQL} {_alert_sql('hours')}")
+def pipeline_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two streams; the alerts of all batches."""
+    root = _run_pipeline(spark, sf_dir, "pipeline_alerts")
+    return _plain_times(snapshots.read_history(spark, root, streams.EXTREME).drop("batch_id"))
+
+
 # Revisions
 
 
@@ -383,7 +465,8 @@ select name, window_start, strftime(window_start, '%m-%d %H:%M') as display_time
 from trend where window_start between timestamp '{SLICE.start}' and timestamp '{SLICE.end}'""",
 )
 def hourly_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    near = events.events_between(events.read_events(spark, sf_dir), SLICE.start, SLICE.end)
+    table = events.read_events(spark, sf_dir)
+    near = events.events_between(table, SLICE.start, SLICE.end, TREND.window)
     return serving.slice_from_forecast(events.forecast_view(near), SLICE, TREND)
 
 
@@ -439,7 +522,7 @@ def daily_last_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _DAILY_FORECAST_CTE = f"""{TREND_SQL}, {DAILY_SQL},
 joined as (
-  select r.name, r.date_str, max_temp, min_temp, avg_wind_speed, avg_humidity, common_condition
+  select r.name, r.date_str, r.date, max_temp, min_temp, avg_wind_speed, avg_humidity, common_condition
   from rollup_rows as r left join day_mode as m on r.name = m.name and r.date_str = m.date_str),
 classed as (select *, {_class_sql('common_condition')} as condition_class from joined),
 labelled as (
@@ -535,6 +618,10 @@ def snapshot_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Queries that run a stream or write tables before they return.
 STREAM_KEYS = {
+    "land_then_read",
+    "serve_bounded",
+    "pipeline_trend",
+    "pipeline_alerts",
     "stream_flatten",
     "stream_trend",
     "stream_trend_bounded",

@@ -1,37 +1,91 @@
-"""Forecast documents as JSON files, read in batch or as a stream."""
+"""Forecast documents as JSON files, read in batch or as a stream.
+
+A file holds one document per line, as :func:`land_documents` writes them, and large files
+are split. Files that hold one JSON array each must be asked for (``arrays``); one task
+reads such a file. Either way, input of the other form and damaged input is an error, not
+a shorter result, unless ``skip_damaged`` is set.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from hyetos.schemas import DOCUMENT
 
+_CORRUPT = "_corrupt_record"
+
+
+def _checked(rows: DataFrame, damaged: Column, text: Column, skip_damaged: bool) -> DataFrame:
+    if skip_damaged:
+        return rows.where(~damaged)
+    said = F.concat(F.lit("damaged input, or another form of file: "), F.left(text, F.lit(200)))
+    return rows.where(F.when(damaged, F.raise_error(said).cast("boolean")).otherwise(True))
+
+
+def _from_lines(reader, path: str, schema: str, skip_damaged: bool) -> DataFrame:
+    """Rows that gave no field at all are damaged; a field of another type is NULL."""
+    fields = StructType.fromDDL(schema)
+    reader = reader.schema(StructType([*fields.fields]).add(_CORRUPT, "string"))
+    rows = reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path)
+    damaged = F.col(_CORRUPT).isNotNull()
+    for name in fields.names:
+        damaged &= F.col(name).isNull()
+    return _checked(rows, damaged, F.col(_CORRUPT), skip_damaged).select(*fields.names)
+
+
+def _from_arrays(reader, path: str, schema: str, skip_damaged: bool) -> DataFrame:
+    """Files that are not one array, from the first character to the last, are damaged."""
+    whole = reader.option("wholetext", True).text(path).where("trim(value) <> ''")
+    kind = ArrayType(StructType.fromDDL(schema))
+    rows = whole.select("value", F.from_json("value", kind).alias("documents"))
+    shape = F.col("value").rlike(r"(?s)\A\s*\[.*\]\s*\z")
+    damaged = F.col("documents").isNull() | ~shape
+    checked = _checked(rows, damaged, F.col("value"), skip_damaged)
+    return checked.select(F.inline("documents"))
+
 
 def read_documents(
-    spark: SparkSession, path: str, schema: str = DOCUMENT, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: str = DOCUMENT,
+    arrays: bool = False,
+    skip_damaged: bool = False,
 ) -> DataFrame:
-    """Documents under ``path``.
-
-    With ``multi_line`` a file holds one JSON array of documents and is read by one
-    task. Without it a file holds one document per line and large files are split.
-    """
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    """Documents under ``path``, one per line or, with ``arrays``, one array per file."""
+    read = _from_arrays if arrays else _from_lines
+    return read(spark.read, path, schema, skip_damaged)
 
 
 def stream_documents(
     spark: SparkSession,
     path: str,
     schema: str = DOCUMENT,
-    multi_line: bool = True,
+    arrays: bool = False,
     max_files: int | None = None,
+    skip_damaged: bool = False,
 ) -> DataFrame:
     """Documents of every file that appears under ``path``, at most ``max_files`` per batch."""
-    reader = spark.readStream.schema(schema).option("multiLine", multi_line)
+    reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    read = _from_arrays if arrays else _from_lines
+    return read(reader, path, schema, skip_damaged)
 
 
 def land_documents(documents: DataFrame, path: str) -> None:
-    """Append documents to the landing folder, one per line; read with ``multi_line=False``."""
+    """Append documents to the landing folder, one per line."""
     documents.write.mode("append").json(path)
+
+
+def land_arrays(documents: DataFrame, path: str, group: Column) -> None:
+    """Append one file per value of ``group``, holding an array of its documents.
+
+    A file is built by one task, so choose groups of moderate size.
+    """
+    arrays = documents.groupBy(group.alias("group")).agg(
+        F.to_json(F.collect_list(F.struct(*documents.columns))).alias("value")
+    )
+    writer = arrays.select("value").write.mode("append")
+    writer.option("maxRecordsPerFile", 1).text(path)

@@ -24,21 +24,20 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_events(spark: SparkSession, sf_dir: str, max_files: int = 100) -> DataFrame:
     """The table as a stream, whether it is one Parquet file or a folder of them.
 
     A streaming source does not take the path of a single file, but it takes a pattern.
+    A batch takes at most ``max_files`` files.
     """
     schema = read_events(spark, sf_dir).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{sf_dir}/event[s].parquet")
 
 
 def _humidity() -> Column:
-    """``k`` of the JSON text ``props``: cut out of the usual form ``{"k": 12}``, else parsed."""
-    usual = F.col("props").startswith('{"k": ') & F.col("props").endswith("}")
-    cut = F.expr("try_cast(substr(props, 7, length(props) - 7) as int)")
-    parsed = F.get_json_object("props", "$.k").cast("int")
-    return F.coalesce(F.when(usual, cut), parsed)
+    """``k`` of the JSON text ``props``; NULL if it is no whole number."""
+    return F.get_json_object("props", "$.k").try_cast("int")
 
 
 def forecast_view(events: DataFrame) -> DataFrame:
@@ -56,12 +55,15 @@ def forecast_view(events: DataFrame) -> DataFrame:
     )
 
 
-def events_between(events: DataFrame, start: datetime, end: datetime) -> DataFrame:
-    """Events whose forecast hour can lie in ``[start, end]``; the scan prunes on ``ts``."""
-    hour = timedelta(hours=1)
-    return events.filter(
-        (F.col("ts") >= wall_clock(start)) & (F.col("ts") < wall_clock(end + hour))
-    )
+def events_between(
+    events: DataFrame, start: datetime, end: datetime, window: str = "0 seconds"
+) -> DataFrame:
+    """Events whose forecast hour can lie in a window that starts in ``[start, end]``.
+
+    The scan prunes on ``ts``; an event belongs to the hour that contains it.
+    """
+    beyond = wall_clock(end + timedelta(hours=1)) + F.expr(f"INTERVAL {window}")
+    return events.filter((F.col("ts") >= wall_clock(start)) & (F.col("ts") < beyond))
 
 
 def document_view(events: DataFrame) -> DataFrame:

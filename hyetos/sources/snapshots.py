@@ -46,7 +46,7 @@ def write_snapshot(
     """Write one batch and then its manifest entry; does nothing if the entry exists."""
     spark = df.sparkSession
     entry = f"{manifest_path(root, kind)}/{batch_folder(batch_id)}"
-    if path_exists(spark, f"{entry}/_SUCCESS"):
+    if path_exists(spark, entry) and _entry_row(spark, entry) is not None:
         return
     df.write.mode("overwrite").parquet(f"{history_path(root, kind)}/{batch_folder(batch_id)}")
     # Counting Parquet reads footers only, and counts what was really written.
@@ -65,6 +65,11 @@ def read_manifest(spark: SparkSession, root: str, kind: str) -> DataFrame:
     return entries.select("batch_id", "query_id", "n_rows")
 
 
+def _entry_row(spark: SparkSession, entry: str) -> Row | None:
+    """What an entry says; None while it is being written. No marker file is looked at."""
+    return spark.read.schema("query_id string, n_rows bigint").json(entry).first()
+
+
 def latest_entry(spark: SparkSession, root: str, kind: str) -> Row | None:
     """Manifest entry of the newest complete batch.
 
@@ -72,9 +77,9 @@ def latest_entry(spark: SparkSession, root: str, kind: str) -> Row | None:
     """
     folder = manifest_path(root, kind)
     for name in names_descending(spark, f"{folder}/batch_id=*"):
-        if path_exists(spark, f"{folder}/{name}/_SUCCESS"):
-            entry = spark.read.schema("query_id string, n_rows bigint").json(f"{folder}/{name}")
-            return Row(batch_id=int(name.split("=")[1]), **entry.first().asDict())
+        row = _entry_row(spark, f"{folder}/{name}")
+        if row is not None:
+            return Row(batch_id=int(name.split("=")[1]), **row.asDict())
     return None
 
 
@@ -103,9 +108,16 @@ def read_batch(
     return reader.parquet(f"{history_path(root, kind)}/{batch_folder(batch_id)}")
 
 
-def read_history(spark: SparkSession, root: str, kind: str) -> DataFrame:
-    """Rows of every complete batch, with ``batch_id``."""
+def read_history(
+    spark: SparkSession, root: str, kind: str, schema: str | None = None
+) -> DataFrame:
+    """Rows of every complete batch, with ``batch_id``.
+
+    Before the first batch this is an empty frame if there is a ``schema``, else an error.
+    """
     complete = read_manifest(spark, root, kind).select("batch_id")
+    if schema is not None and not path_exists(spark, history_path(root, kind)):
+        return spark.createDataFrame([], f"batch_id bigint, {schema}")
     history = spark.read.parquet(history_path(root, kind)).withColumn(
         "batch_id", F.col("batch_id").cast("bigint")
     )

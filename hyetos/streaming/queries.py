@@ -152,17 +152,28 @@ def start_alerts_once_per_hour(
 
 
 def start_revisions(
-    forecast: DataFrame, root: str, tiebreak: Sequence[str] = (), **options
+    forecast: DataFrame,
+    root: str,
+    tiebreak: Sequence[str] = (),
+    delay: str = HORIZON,
+    **options,
 ) -> StreamingQuery:
-    """The newest revision of every hour that a batch changed (update mode)."""
-    return _start(latest_revision(forecast, tiebreak), root, REVISIONS, "update", **options)
+    """The newest revision of every hour that a batch changed (update mode).
+
+    An hour leaves the state, and later revisions of it are dropped, once the watermark on
+    the forecast hour passes it; ``delay`` must cover the forecast horizon.
+    """
+    hour = F.col("forecast_time").cast("timestamp")
+    timed = forecast.withColumn("forecast_time", hour).withWatermark("forecast_time", delay)
+    return _start(latest_revision(timed, tiebreak), root, REVISIONS, "update", **options)
 
 
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait for queries that end by themselves; a failure is raised, the others stopped."""
+    waiting = list(queries)
     try:
-        for query in queries:
-            query.awaitTermination()
+        while waiting:  # a turn each, so that the failure of any is seen soon
+            waiting = [query for query in waiting if not query.awaitTermination(0.2)]
     finally:
         for query in queries:
             query.stop()

@@ -1,4 +1,6 @@
+import json
 import random
+import pytest
 from datetime import datetime
 
 from helpers import BASE, at, document, land, rows
@@ -11,7 +13,7 @@ from hyetos.sources.documents import land_documents, read_documents
 
 def test_flat_rows_and_schema(spark, tmp_path):
     land(tmp_path, "a", [document("A", at(0.5), [(at(0), 28.0, 50, 5.0, "Sunny"), (at(25), 1.5, 60, 7.0, "Fog")])])
-    flat = flatten(read_documents(spark, str(tmp_path)))
+    flat = flatten(read_documents(spark, str(tmp_path), arrays=True))
     assert flat.schema == spark.createDataFrame([], FORECAST).schema
     assert rows(flat) == [
         ("A", at(0.5), "2024-06-01", at(0), 28.0, 50, 5.0, "Sunny"),
@@ -22,7 +24,7 @@ def test_flat_rows_and_schema(spark, tmp_path):
 def test_overlapping_fetches_keep_every_revision(spark, tmp_path):
     for n in range(2):
         land(tmp_path, f"f{n}", [document("A", at(n), [(at(h), 20.0 + n, 50, 5.0, "Sunny") for h in range(3)])])
-    assert flatten(read_documents(spark, str(tmp_path))).count() == 6
+    assert flatten(read_documents(spark, str(tmp_path), arrays=True)).count() == 6
 
 
 def test_missing_parts_give_no_rows(spark, tmp_path):
@@ -33,7 +35,7 @@ def test_missing_parts_give_no_rows(spark, tmp_path):
     no_hours = {**whole, "forecast": {"forecastday": [{"date": "2024-06-01", "hour": []}]}}
     null_hours = {**whole, "forecast": {"forecastday": [{"date": "2024-06-01", "hour": None}]}}
     land(tmp_path, "a", [no_forecast, no_days, null_days, no_hours, null_hours, whole])
-    docs = read_documents(spark, str(tmp_path))
+    docs = read_documents(spark, str(tmp_path), arrays=True)
     assert docs.count() == 6
     assert flatten(docs).count() == 1
 
@@ -45,21 +47,36 @@ def test_bad_values_become_null_and_keep_the_row(spark, tmp_path):
     hour["time"] = "half past nine"
     doc["fetch_timestamp"] = "soon"
     land(tmp_path, "a", [doc])
-    assert rows(flatten(read_documents(spark, str(tmp_path)))) == [
+    assert rows(flatten(read_documents(spark, str(tmp_path), arrays=True))) == [
         ("A", None, "2024-06-01", None, 1.0, None, 3.0, "x")
     ]
 
 
-def test_truncated_file_leaves_the_others(spark, tmp_path):
-    land(tmp_path, "good", [document("A", BASE, [(at(0), 1.0, 2, 3.0, "x")])])
+def test_damaged_arrays_are_seen(spark, tmp_path):
+    land(tmp_path, "good", [document("A", BASE, [(at(0), 1.0, 2, 3.0, "x")])] * 2)
     text = (tmp_path / "good.json").read_text()
     (tmp_path / "bad.json").write_text(text[: len(text) // 2])
-    assert flatten(read_documents(spark, str(tmp_path))).count() == 1
+    with pytest.raises(Exception, match="damaged input"):
+        read_documents(spark, str(tmp_path), arrays=True).count()
+    assert flatten(read_documents(spark, str(tmp_path), arrays=True, skip_damaged=True)).count() == 2
+
+
+def test_the_other_form_is_refused(spark, tmp_path):
+    docs = [document("A", BASE, [(at(0), 1.0, 2, 3.0, "x")])] * 3
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text("\n".join(map(json.dumps, docs)))
+    assert flatten(read_documents(spark, str(tmp_path / "lines"))).count() == 3
+    with pytest.raises(Exception, match="damaged input"):
+        read_documents(spark, str(tmp_path / "lines"), arrays=True).count()
+    (tmp_path / "arrays").mkdir()
+    (tmp_path / "arrays" / "a.json").write_text(json.dumps(docs, indent=1))
+    with pytest.raises(Exception, match="damaged input"):
+        read_documents(spark, str(tmp_path / "arrays")).count()
 
 
 def test_current_conditions(spark, tmp_path):
     land(tmp_path, "a", [document("A", datetime(2024, 6, 1, 1, 2, 3, 500000), [])])
-    assert rows(current_conditions(read_documents(spark, str(tmp_path)))) == [
+    assert rows(current_conditions(read_documents(spark, str(tmp_path), arrays=True))) == [
         ("A", datetime(2024, 6, 1, 1, 2, 3, 500000), 28.0, 50, 5.0, "Sunny")
     ]
 
@@ -77,21 +94,21 @@ def test_flatten_undoes_nesting(spark, tmp_path):
         expected += [(f"C{n % 3}", fetched, t.strftime("%Y-%m-%d"), t, *rest) for t, *rest in hours]
     land(tmp_path, "a", docs[:15])
     land(tmp_path, "b", docs[15:])
-    assert rows(flatten(read_documents(spark, str(tmp_path)))) == sorted(expected, key=repr)
+    assert rows(flatten(read_documents(spark, str(tmp_path), arrays=True))) == sorted(expected, key=repr)
 
 
 def test_landed_documents_read_back(spark, tmp_path):
     land(tmp_path / "in", "a", [document("A", BASE, [(at(h), 1.0, 2, 3.0, "x") for h in range(5)])])
-    docs = read_documents(spark, str(tmp_path / "in"))
+    docs = read_documents(spark, str(tmp_path / "in"), arrays=True)
     land_documents(docs, str(tmp_path / "out"))
     land_documents(docs, str(tmp_path / "out"))
-    again = read_documents(spark, str(tmp_path / "out"), multi_line=False)
+    again = read_documents(spark, str(tmp_path / "out"))
     assert rows(flatten(again)) == sorted(rows(flatten(docs)) * 2, key=repr)
 
 
 def test_alerts_from_a_narrower_read(spark, tmp_path):
     land(tmp_path, "a", [document("A", BASE, [(at(h), 10.0 + h, 2, 3.0, "x") for h in range(30)])])
-    narrow = flatten(read_documents(spark, str(tmp_path), ALERT_DOCUMENT), columns=ALERT_COLUMNS)
+    narrow = flatten(read_documents(spark, str(tmp_path), ALERT_DOCUMENT, arrays=True), columns=ALERT_COLUMNS)
     assert narrow.columns == list(ALERT_COLUMNS)
-    whole = extreme(flatten(read_documents(spark, str(tmp_path))))
+    whole = extreme(flatten(read_documents(spark, str(tmp_path), arrays=True)))
     assert rows(extreme(narrow)) == rows(whole) and whole.count() > 0

@@ -4,11 +4,10 @@ import os
 
 import pytest
 
-import __spark_entry__ as entry
 from hyetos.operators.revisions import latest_revision
 from hyetos.operators.trends import trend
 from hyetos.params import TrendParams
-from hyetos.plans.queries import STREAM_KEYS
+from hyetos.plans.queries import QUERIES, STREAM_KEYS
 from hyetos.sources.events import forecast_view, read_events
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -20,9 +19,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAM_KEYS))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAM_KEYS))
 def test_no_python_no_cross_join_no_window_over_a_group(spark, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     for operator in ("Python", "NestedLoop", "CartesianProduct", "WindowExec", "collect_list"):
         assert operator not in text
     # Only a set-returning sort or aggregate may gather, never into one partition.
@@ -51,5 +50,5 @@ def test_slice_reaches_the_scan(spark):
 
 def test_scans_read_only_what_is_used(spark):
     for name, columns in {"distinct_cities": "user_id:bigint", "timestamp_parse": "event_id:bigint,ts:timestamp_ntz,event_type:string"}.items():
-        text = plan(entry.queries()[name](spark, SF_DIR))
+        text = plan(QUERIES[name](spark, SF_DIR))
         assert text.split("ReadSchema: struct<")[1].split(">")[0] == columns

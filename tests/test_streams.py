@@ -35,11 +35,11 @@ def landing(tmp_path):
 
 
 def stream(spark, landing, **options):
-    return flatten(stream_documents(spark, str(landing), **options))
+    return flatten(stream_documents(spark, str(landing), arrays=True, **options))
 
 
 def batch(spark, landing):
-    return flatten(read_documents(spark, str(landing)))
+    return flatten(read_documents(spark, str(landing), arrays=True))
 
 
 def run(query):

@@ -66,7 +66,12 @@ def test_float_readings_average_as_widened_doubles(spark):
     frame = forecast_frame(spark, [("A", at(0), 30.1, 1, 1.0, "x")])
     widened = struct.unpack("f", struct.pack("f", 30.1))[0]
     assert trend(frame).first().avg_temp == widened
-    assert trend(frame, EXACT).first().avg_temp == 30.1
+    assert trend(frame, EXACT).first().avg_temp == widened
+
+
+def test_more_digits_than_the_unit_are_kept(spark):
+    frame = forecast_frame(spark, [("A", at(0), 1.004, 1, 1.0, "x")] * 2, real="double")
+    assert trend(frame, EXACT).first().avg_temp == 1.004
 
 
 @pytest.mark.parametrize("odd", [math.nan, math.inf, -math.inf, 1e300])
