@@ -8,11 +8,12 @@ are combined before their shuffle, together with the repeated lines. Bands of
 ``ROWS`` minima find candidates; exact Jaccard similarities of the shingle sets decide; the
 components of the links are the groups.
 
-Inside a band's bucket no pairs are listed. All its lines are compared with its most
-frequent line, the pivot. As Jaccard distance is a metric, a line beyond twice the allowed
+In a band's bucket of at most ``SMALL`` lines all pairs are compared. In larger ones no
+pairs are listed: all lines are compared with the most frequent line, the pivot. As Jaccard distance is a metric, a line beyond twice the allowed
 distance from the pivot has no link to a line within it; the few in between are compared
-with those that their distances leave possible, and the lines far away form a new bucket
-with a pivot of their own.
+with those that their distances leave possible. The lines far away form a bucket of their
+own; if it is still large it is parted by further minima, two ways for each line, and its
+parts get pivots of their own.
 
 Nodes are 64-bit hashes: among n different lines two share one with a chance of about
 n² / 2^65. Bit maps of bounded size (``MOST_BITS``) are broadcast to thin out the rows of
@@ -34,6 +35,7 @@ HASHES = 32
 ROWS = 4
 BANDS = 12
 STRIDE = 4
+SMALL = 12
 MOST_BITS = 1 << 26
 
 
@@ -146,8 +148,14 @@ def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return sets.select("a", "b", similarity.alias("similarity"))
 
 
+def _listed(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) within the small buckets of (band, node)."""
+    one, two = rows.select("band", F.col("node").alias("a")), rows.select("band", F.col("node").alias("b"))
+    return one.join(two, "band").where("a < b").select("a", "b").distinct()
+
+
 def candidate_buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b) of the buckets of two, and the rows (band, node, copies) of larger ones."""
+    """Pairs (a, b) of the small buckets, and the rows (band, node, copies) of larger ones."""
     rows = signed.select(F.explode("bands").alias("band"), "node", "copies")
     groups = stored(
         rows.groupBy("band")
@@ -155,13 +163,19 @@ def candidate_buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
         .where("size > 1"),
         "line-buckets",
     )
-    pairs = groups.where("size = 2").select("a", "b").distinct()
-    large = groups.where("size > 2").select("band")
-    return pairs, thinned(rows, "band", large).join(large, "band")
+    more = groups.where("size > 2").select("band", "size")
+    members = stored(thinned(rows, "band", more).join(more, "band"), "line-bucket-rows")
+    pairs = groups.where("size = 2").select("a", "b").union(
+        _listed(members.where(F.col("size") <= SMALL))
+    )
+    return pairs.distinct(), members.where(F.col("size") > SMALL).drop("size")
 
 
-def links(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
-    """Links (a, b) of nodes with the similarity, enough to connect each group whole."""
+def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
+    """``node`` and ``root`` of every node that has a link of at least the similarity.
+
+    Pairs in between are compared only if the other links have not connected them yet.
+    """
     pairs, large = candidate_buckets(signed)
     pairs, large = stored(pairs, "line-pairs"), stored(large, "line-members")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
@@ -177,7 +191,7 @@ def links(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
         "line-texts",
     )
     found = similarities(pairs, texts).where(F.col("similarity") >= threshold).select("a", "b")
-    reach = 1 - threshold
+    reach, turn, open_pairs = 1 - threshold, 0, None
     while not large.isEmpty():
         pivots = large.groupBy("band").agg(F.max(F.struct("copies", "node")).alias("top"))
         starred = large.join(pivots.select("band", F.col("top.node").alias("pivot")), "band")
@@ -200,12 +214,52 @@ def links(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
             .distinct()
         )
-        more = similarities(possible, texts).where(F.col("similarity") >= threshold)
-        found = found.union(stored(more.select("a", "b"), "line-links"))
+        possible = stored(possible, "line-open-pairs")
+        open_pairs = possible if open_pairs is None else open_pairs.union(possible)
         far = members.where(F.col("similarity") < 1 - 2 * reach - 1e-9)
-        alone = far.groupBy("band").count().where("count > 1").select("band")
-        large = stored(far.drop("similarity").join(alone, "band"), "line-members")
-    return found
+        few, large = _settled(far.drop("similarity"), texts, threshold)
+        found = found.union(few)
+        if not large.isEmpty():
+            turn += 1
+            few, large = _settled(_parted(large, texts, turn), texts, threshold)
+            found = found.union(few)
+    found = stored(found.distinct(), "line-links")
+    roots = components(found)
+    if open_pairs is None:
+        return roots
+    at_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    at_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    left = open_pairs.distinct().join(at_a, "a", "left").join(at_b, "b", "left").where(apart)
+    more = similarities(left.select("a", "b"), texts).where(F.col("similarity") >= threshold)
+    more = stored(more.select("a", "b"), "line-links")
+    return roots if more.isEmpty() else components(found.union(more))
+
+
+def _settled(rows: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """Links within the small buckets of (band, node, copies), and the rows of larger ones."""
+    sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    sized = stored(rows.join(sizes, "band"), "line-members")
+    few = similarities(_listed(sized.where(F.col("size") <= SMALL)), texts)
+    few = few.where(F.col("similarity") >= threshold).select("a", "b")
+    return stored(few, "line-links"), sized.where(F.col("size") > SMALL).drop("size")
+
+
+def _parted(rows: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
+    """The rows in two finer buckets each, by one more minimum of the line's shingles.
+
+    Lines of the similarity s stay together in one of them with the chance 1 - (1 - s)²,
+    so the many that only resemble each other part, and near-equal ones rarely do.
+    """
+    source = random.Random(1000 + turn)
+    marks = []
+    for _ in range(2):
+        constant = source.randrange(1 << 64) - (1 << 63)
+        marks.append(f"xxhash64(band, {turn}, {len(marks)}, array_min(transform(pieces, h -> h ^ {constant}L)))")
+    nodes_in = rows.select("node").distinct().join(texts, "node")
+    pieces = stored(nodes_in.select("node", shingle_set("normal").alias("pieces")), "line-pieces")
+    finer = F.expr(f"explode(array({', '.join(marks)}))")
+    return rows.join(pieces, "node").select(finer.alias("finer"), "node", "copies").withColumnRenamed("finer", "band")
 
 
 def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -220,7 +274,7 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """
     lines = split_lines(docs.select("doc_id", "text"))
     signed = stored(signatures(lines), "line-signatures")
-    roots = components(links(signed, lines, threshold))
+    roots = connected(signed, lines, threshold)
     rooted = signed.select("node", "first_doc").join(roots, "node")
     firsts = rooted.groupBy("root").agg(F.min("first_doc").alias("class_doc"))
     grouped = stored(rooted.join(firsts, "root").select("node", "root", "class_doc"), "line-roots")
