@@ -112,17 +112,14 @@ def set_rows(docs: DataFrame, size: int = 5) -> DataFrame:
 
 
 def _children(parents: DataFrame) -> DataFrame:
-    """One row per branch: node, key, n, parent, parent_size."""
+    """Add ``children``, the nodes that a set goes to from its node, one per branch."""
     first = F.pmod(F.xxhash64("node", F.lit(0)), F.lit(COORDINATES))
     spots = [first]
     for j in range(1, BRANCHES):
         step = F.pmod(F.xxhash64("node", F.lit(j)), F.lit(COORDINATES - 1)) + 1
         spots.append(F.pmod(first + step, F.lit(COORDINATES)))
     children = [F.xxhash64("node", s, F.element_at("embedding", s.cast("int") + 1)) for s in spots]
-    return parents.select(
-        F.explode(F.array(*children)).alias("child"), "key", "n",
-        F.col("node").alias("parent"), F.col("size").alias("parent_size"),
-    ).withColumnRenamed("child", "node")
+    return parents.withColumn("children", F.array(*children)).drop("embedding")
 
 
 def leaves(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
@@ -135,33 +132,23 @@ def leaves(sets: DataFrame, threshold: float, recall: float) -> DataFrame:
         for r in range(runs)
         for j in range(BRANCHES)
     ]
-    rows = sets.select(
-        F.explode(F.array(*tops)).alias("node"), "key", "n",
-        F.lit(0).cast("long").alias("parent"), F.lit(None).cast("long").alias("parent_size"),
-    )
-    found, big = [], None
+    rows = sets.select(F.explode(F.array(*tops)).alias("node"), "key", "n")
+    found = []
     for depth in range(MAX_DEPTH + 1):
-        sizes = rows.groupBy("node", "parent", "parent_size").agg(
-            F.count("*").alias("size"), F.sum("n").alias("total")
-        )
-        sizes = stored(sizes.where("size > 1"), "nodes")
-        whole = None
-        if big is not None:  # parents that hardly shrink are leaves themselves
-            dense = sizes.where("size * 2 >= parent_size").select(F.col("parent").alias("node"))
-            dense = dense.distinct()
-            whole = big.join(dense, "node")
-            sizes = sizes.join(dense, sizes.parent == dense.node, "left_anti")
-            found.append(whole.select("node", "key", "size", "total"))
-        kept = rows.drop("parent", "parent_size").join(
-            sizes.select("node", "size", "total"), "node"
-        )
-        kept = stored(kept, "paths")
-        small = kept if depth == MAX_DEPTH else kept.where(F.col("size") <= SMALL)
-        found.append(small.select("node", "key", "size", "total"))
+        sizes = rows.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
+        kept = stored(rows.join(sizes.where("size > 1"), "node"), "paths")
+        ends = depth == MAX_DEPTH
+        found.append(kept if ends else kept.where(F.col("size") <= SMALL))
         big = kept.where(F.col("size") > SMALL)
-        if depth == MAX_DEPTH or big.isEmpty():
+        if ends or big.isEmpty():
             break
-        rows = _children(big.join(sets.select("key", "embedding"), "key"))
+        parents = stored(_children(big.join(sets.select("key", "embedding"), "key")), "parents")
+        branch = parents.groupBy("node", "size", F.col("children")[0]).count()
+        dense = branch.where("count * 2 >= size").select("node").distinct()
+        dense = stored(dense, "dense")  # sets much alike: not split, a leaf as it is
+        found.append(parents.join(dense, "node").drop("children"))
+        split = parents.join(dense, "node", "left_anti")
+        rows = split.select(F.explode("children").alias("node"), "key", "n")
     result = found[0]
     for more in found[1:]:
         result = result.unionByName(more)
