@@ -2,7 +2,8 @@
 
 Features are the words of a text and the five-letter pieces inside them, hashed; a text
 has a feature or has it not. From a bounded sample of labelled texts the features whose
-share of toxic texts stands out are chosen, then a logistic regression is fitted. For
+share of toxic texts stands out are chosen, at least the ``LEAST_FEATURES`` best however
+few texts there are, then a logistic regression is fitted. For
 each sample text with identity terms a copy is made with every term swapped for another
 of its group, and the squared change of the raw score is part of the loss: a neutral
 mention of a group then moves no score, whichever labels the mentions happened to have.
@@ -28,8 +29,9 @@ from hyetos.llm.common import full_text, slices, stored
 
 SAMPLE_ROWS = 20_000
 MAX_FEATURES = 4_000
-LEAST_TEXTS = 8
-LEAST_Z = 5.0
+LEAST_Z = 3.0
+#: So many of the best features are chosen even if they do not reach ``LEAST_Z``.
+LEAST_FEATURES = 200
 BUCKETS = 1 << 20
 GRAM = 5
 MAX_CACHED = 400_000
@@ -143,6 +145,11 @@ def fit(
     return float(theta[-1]), theta[:-1]
 
 
+def least_texts(toxic_texts: int) -> int:
+    """Texts a feature must be in: one in 50 of the toxic ones, from 2 to 8."""
+    return min(8, max(2, -(-toxic_texts // 50)))
+
+
 def sample_of(labels: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` labelled rows, surely at most a quarter more, chosen by hash of doc_id."""
     known = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic")
@@ -162,6 +169,7 @@ def train(
 
     Without labelled texts, or with one class only, the model is a constant near the share
     of toxic texts, and near 0.05 if there are none. NULL labels and doc_ids teach nothing.
+    Two classes whose texts share no feature are an error.
     """
     chosen = F.broadcast(sample_of(labels, rows))  # at most 1.25 x ``rows`` rows
     sample = stored(
@@ -194,18 +202,20 @@ def train(
     share = toxic_texts / n
     texts = F.col("clean") + F.col("toxic")
     z = (F.col("toxic") - texts * share) / F.sqrt(texts * share * (1 - share))
-    picked = (
+    ranked = (
         sample.coalesce(8).mapInArrow(count, "feature long, clean long, toxic long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where((texts >= LEAST_TEXTS) & (F.abs(z) >= LEAST_Z))
-        .orderBy(F.abs(z).desc(), "feature")
+        .where(texts >= least_texts(toxic_texts))
+        .select("feature", F.abs(z).alias("z"))
+        .orderBy(F.desc("z"), "feature")
         .limit(MAX_FEATURES)
         .collect()
     )
-    numbers = {r.feature: i for i, r in enumerate(picked)}
+    picked = [r.feature for i, r in enumerate(ranked) if i < LEAST_FEATURES or r.z >= LEAST_Z]
+    numbers = {feature: i for i, feature in enumerate(picked)}
     if not numbers:
-        return constant
+        raise ValueError("toxic and other texts are labelled, but no word or piece is in two of them")
     swap = swaps(groups)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

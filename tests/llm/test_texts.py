@@ -153,3 +153,19 @@ def test_held_out_accuracy(spark, name, least):
         right = F.col("toxic") == F.col("predicted")
     share = found.join(truth.drop("score"), "doc_id").agg(F.avg(right.cast("int"))).first()[0]
     assert share >= least
+
+
+@pytest.mark.parametrize("size, learned, held_out", [("sf0.001", 1.0, 1.0), ("sf0.01", 0.9, 0.6)])
+def test_toxic_documents_are_found_at_small_sizes(spark, size, learned, held_out):
+    sf_dir = f"/root/testdata/{size}"
+    truth = spark.read.parquet(f"{sf_dir}/labels.parquet").where("toxic = 1").select("doc_id")
+    found = QUERIES["op7_toxicity"](spark, sf_dir).join(truth, "doc_id")
+    recall = {r.held_out: r.recall for r in found.groupBy("held_out").agg(F.avg("predicted").alias("recall")).collect()}
+    assert recall[False] >= learned and recall[True] >= held_out
+
+
+def test_two_classes_without_a_shared_feature_are_an_error(spark):
+    docs = spark.createDataFrame([(1, "abc"), (2, "xyz"), (3, "")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
+    with pytest.raises(ValueError):
+        toxicity.train(docs, labels)
