@@ -329,7 +329,7 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, label: str) -> str:
     root = work_dir(spark, label)
     landing = f"{root}/landing"
     docs = events.document_view(events.read_events(spark, sf_dir))
-    documents.land_arrays(docs, landing, F.crc32("fetch_timestamp") % 200)
+    documents.land_arrays(docs, landing, least_files=200)
 
     def forecast() -> DataFrame:
         read = documents.stream_documents(

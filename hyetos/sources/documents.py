@@ -15,6 +15,7 @@ from pyspark.sql.types import ArrayType, StructType
 from hyetos.schemas import DOCUMENT
 
 _CORRUPT = "_corrupt_record"
+MOST_DOCUMENTS = 2_000
 
 
 def _checked(rows: DataFrame, damaged: Column, text: Column, skip_damaged: bool) -> DataFrame:
@@ -79,13 +80,19 @@ def land_documents(documents: DataFrame, path: str) -> None:
     documents.write.mode("append").json(path)
 
 
-def land_arrays(documents: DataFrame, path: str, group: Column) -> None:
-    """Append one file per value of ``group``, holding an array of its documents.
+def land_arrays(documents: DataFrame, path: str, least_files: int = 1) -> None:
+    """Append the documents as files that hold an array each, of at most ``MOST_DOCUMENTS``.
 
-    A file is built by one task, so choose groups of moderate size.
+    The number of files grows with the documents and is at least about ``least_files``. A
+    file takes documents that follow each other in one partition, so no value is hot.
     """
-    arrays = documents.groupBy(group.alias("group")).agg(
-        F.to_json(F.collect_list(F.struct(*documents.columns))).alias("value")
+    most = max(1, min(MOST_DOCUMENTS, -(-documents.count() // least_files)))
+    number = F.monotonically_increasing_id()  # the partition, then 33 bits for the row in it
+    place = [F.shiftright(number, 33).alias("part"), number.bitwiseAND((1 << 33) - 1).alias("row")]
+    arrays = (
+        documents.select(*place, F.struct(*documents.columns).alias("document"))
+        .groupBy("part", F.expr(f"row div {most}").alias("file"))
+        .agg(F.to_json(F.collect_list("document")).alias("value"))
     )
     writer = arrays.select("value").write.mode("append")
     writer.option("maxRecordsPerFile", 1).text(path)

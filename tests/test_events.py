@@ -1,10 +1,14 @@
+import json
 from datetime import datetime
+from pathlib import Path
 
 from helpers import rows
 from pyspark.sql import functions as F
 
 from hyetos.operators.flatten import current_conditions, flatten
-from hyetos.sources.events import LEAD_HOURS, document_view, forecast_view
+from hyetos.plans import queries
+from hyetos.sources import documents
+from hyetos.sources.events import EVENT_DOCUMENT, LEAD_HOURS, document_view, forecast_view
 
 DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -32,3 +36,22 @@ def test_documents_forecast_the_lead_hours(spark):
     now = current_conditions(document_view(one)).first()
     assert (now.name, now.current_temp, now.current_humidity) == ("CITY_1", 2.5, 4)
     assert now.fetch_time == datetime(2024, 1, 1, 20, 30, 0, 5)
+
+
+def lengths(folder):
+    return [len(json.loads(f.read_text())) for f in Path(folder.removeprefix("file:")).glob("part-*")]
+
+
+def test_hot_timestamp_lands_in_bounded_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "MOST_DOCUMENTS", 100, raising=False)
+    hot = events(spark, [f'{{"k": {i % 90}}}' for i in range(450)]).coalesce(1)
+    hot.write.parquet(f"{tmp_path}/events.parquet")
+    root = queries._run_pipeline(spark, str(tmp_path), "hot")
+    sizes = lengths(f"{root}/landing")
+    assert sum(sizes) == 450 and max(sizes) <= 100
+    docs = document_view(spark.read.parquet(f"{tmp_path}/events.parquet"))
+    documents.land_arrays(docs, f"{tmp_path}/landing")
+    assert sorted(lengths(f"{tmp_path}/landing")) == [50, 100, 100, 100, 100]
+    found = documents.read_documents(spark, f"{tmp_path}/landing", EVENT_DOCUMENT, arrays=True)
+    flat = lambda rows: sorted(map(repr, flatten(rows, hour_extra=("event_id",)).collect()))
+    assert flat(found) == flat(docs)
