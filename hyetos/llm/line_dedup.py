@@ -12,8 +12,8 @@ In a band's bucket of at most ``SMALL`` lines all pairs are compared. In larger
 pairs are listed: all lines are compared with the most frequent line, the pivot. As Jaccard distance is a metric, a line beyond twice the allowed
 distance from the pivot has no link to a line within it; the few in between are compared
 with those that their distances leave possible. The lines far away form a bucket of their
-own; if it is still large it is parted by further minima, two ways for each line, and its
-parts get pivots of their own.
+own; if it is still large it is parted by its lines' rarest shingles, so many of each line
+that no pair at the threshold is parted, and its parts get pivots of their own.
 
 Nodes are 64-bit hashes: among n different lines two share one with a chance of about
 n² / 2^65. Bit maps of bounded size (``MOST_BITS``) are broadcast to thin out the rows of
@@ -191,7 +191,7 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         "line-texts",
     )
     found = similarities(pairs, texts).where(F.col("similarity") >= threshold).select("a", "b")
-    reach, turn, open_pairs = 1 - threshold, 0, None
+    reach, open_pairs = 1 - threshold, None
     while not large.isEmpty():
         pivots = large.groupBy("band").agg(F.max(F.struct("copies", "node")).alias("top"))
         starred = large.join(pivots.select("band", F.col("top.node").alias("pivot")), "band")
@@ -220,8 +220,7 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         few, large = _settled(far.drop("similarity"), texts, threshold)
         found = found.union(few)
         if not large.isEmpty():
-            turn += 1
-            few, large = _settled(_parted(large, texts, turn), texts, threshold)
+            few, large = _settled(_parted(large, texts, threshold), texts, threshold)
             found = found.union(few)
     found = stored(found.distinct(), "line-links")
     roots = components(found)
@@ -237,29 +236,39 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
 
 
 def _settled(rows: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Links within the small buckets of (band, node, copies), and the rows of larger ones."""
-    sizes = rows.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    """Links within the small buckets of (band, node, copies), and the rows of larger ones.
+
+    Of buckets with the same members one is taken.
+    """
+    members = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"mark{i}") for i in range(2)]
+    sizes = rows.groupBy("band").agg(F.count("*").alias("size"), *members).where("size > 1")
+    sizes = sizes.groupBy("size", "mark0", "mark1").agg(F.min("band").alias("band")).select("band", "size")
     sized = stored(rows.join(sizes, "band"), "line-members")
     few = similarities(_listed(sized.where(F.col("size") <= SMALL)), texts)
     few = few.where(F.col("similarity") >= threshold).select("a", "b")
     return stored(few, "line-links"), sized.where(F.col("size") > SMALL).drop("size")
 
 
-def _parted(rows: DataFrame, texts: DataFrame, turn: int) -> DataFrame:
-    """The rows in two finer buckets each, by one more minimum of the line's shingles.
+def _parted(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """The rows in finer buckets, so that every pair at the threshold still shares one.
 
-    Lines of the similarity s stay together in one of them with the chance 1 - (1 - s)²,
-    so the many that only resemble each other part, and near-equal ones rarely do.
+    Two lines at the threshold t share at least t of the pieces of each. With the pieces of
+    a bucket in one order, the first shared one is therefore among the first
+    n - ceil(t n) + 1 of the n pieces of either line. The order starts with the pieces that
+    the fewest lines of the bucket have; each of those first pieces is a finer bucket.
     """
-    source = random.Random(1000 + turn)
-    marks = []
-    for _ in range(2):
-        constant = source.randrange(1 << 64) - (1 << 63)
-        marks.append(f"xxhash64(band, {turn}, {len(marks)}, array_min(transform(pieces, h -> h ^ {constant}L)))")
     nodes_in = rows.select("node").distinct().join(texts, "node")
     pieces = stored(nodes_in.select("node", shingle_set("normal").alias("pieces")), "line-pieces")
-    finer = F.expr(f"explode(array({', '.join(marks)}))")
-    return rows.join(pieces, "node").select(finer.alias("finer"), "node", "copies").withColumnRenamed("finer", "band")
+    spread = rows.join(pieces, "node").select("band", "node", "copies", F.explode("pieces").alias("piece"))
+    shared = spread.groupBy("band", "piece").agg(F.count("*").alias("lines")).where("lines > 1")
+    ranked = (
+        spread.join(shared, ["band", "piece"], "left")
+        .groupBy("band", "node", "copies")
+        .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("lines", F.lit(1)).alias("lines"), "piece"))).alias("order"))
+    )
+    first = F.expr(f"slice(order, 1, int(size(order) - ceil({threshold} * size(order) - 1e-6D) + 1))")
+    finer = ranked.select("band", "node", "copies", F.explode(first).alias("at")).where("at.lines > 1")
+    return finer.select(F.xxhash64("band", "at.piece").alias("band"), "node", "copies")
 
 
 def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:

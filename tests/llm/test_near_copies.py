@@ -133,6 +133,21 @@ def test_pivots_lose_no_link_far_from_the_top(spark):
     assert sorted(found) == sorted(line_expectation(rows, 0.6))
 
 
+def test_far_lines_of_one_bucket_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_bands", lambda columns: F.array(F.lit(1)))  # one bucket for all
+    source, lines = random.Random(11), []
+    text = lambda n: "".join(source.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    template = text(40)
+    for _ in range(200):
+        own = text(100)
+        lines += [template + own, template + own[:-12] + text(12)]
+    rows = list(enumerate(lines))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in line_dedup.line_classes(docs).collect()]
+    assert sorted(found) == sorted(line_expectation(rows))
+    assert sum(r[-1] for r in found) == 200
+
+
 def test_documents_without_repeated_lines(spark, no_docs):
     rows = [(1, "One line of text here\n\nanother line", 9, "x"), (2, "ONE line of text here ", 9, "y"),
             (3, "fresh words\none line of text here", 9, None), (4, None, 9, "n"), (5, "", 9, ""),
