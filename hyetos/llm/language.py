@@ -148,11 +148,14 @@ class Model:
         scores = scores.astype(np.float64)
         best = int(scores.sum(axis=0).argmax())
         # A stretch in another language must gain more than the switch into it costs. If no
-        # stretch of any single language does, the path stays in one language throughout.
-        gains = np.cumsum(scores - scores[:, [best]], axis=0)
+        # stretch of any single language does, a path with a stretch in the best one gains
+        # nothing; one without any gains at most ``away``, less one switch.
+        gains = scores - scores[:, [best]]
+        away = np.delete(gains, best, axis=1).max(axis=1, initial=-np.inf).sum()
+        gains = np.cumsum(gains, axis=0)
         lows = np.minimum(0, np.minimum.accumulate(gains, axis=0))
         lows = np.vstack([np.zeros(scores.shape[1]), lows[:-1]])
-        if (gains - lows).max(initial=0) <= self.penalty:
+        if max(away, (gains - lows).max(initial=0)) <= self.penalty:
             return np.full(len(scores), best)
         back, totals = [], [0.0] * len(self.languages)
         for row in scores.tolist():

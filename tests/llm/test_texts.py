@@ -169,3 +169,16 @@ def test_two_classes_without_a_shared_feature_are_an_error(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0)], "doc_id long, toxic int")
     with pytest.raises(ValueError):
         toxicity.train(docs, labels)
+
+
+def test_two_stretches_that_gain_only_together():
+    model = language.Model(["a", "b", "c"], np.zeros((1, 3)), np.ones((1, 3), bool), 12.0)
+    assert model.label(np.array([[-10, -2, -20], [-10, -20, -2]])).tolist() == [1, 2]
+    assert model.label(np.array([[-10, -2, -20], [-2, -20, -20]])).tolist() == [0, 0]
+    assert language.Model(["a"], np.zeros((1, 1)), np.ones((1, 1), bool), 12.0).label(np.zeros((2, 1))).tolist() == [0, 0]
+    source = np.random.default_rng(9)
+    for _ in range(300):
+        scores = source.normal(0, 8, (4, 3))
+        paths = np.array(np.meshgrid(*[range(3)] * 4)).reshape(4, -1).T
+        value = lambda p: scores[range(4), p].sum() - 12 * (np.diff(p) != 0).sum()
+        assert abs(value(model.label(scores)) - max(map(value, paths))) < 1e-9
