@@ -182,3 +182,13 @@ def test_two_stretches_that_gain_only_together():
         paths = np.array(np.meshgrid(*[range(3)] * 4)).reshape(4, -1).T
         value = lambda p: scores[range(4), p].sum() - 12 * (np.diff(p) != 0).sum()
         assert abs(value(model.label(scores)) - max(map(value, paths))) < 1e-9
+
+
+def test_default_penalty_lowers_neutral_mentions(spark):
+    docs, labels = labelled(spark)
+    neutral = spark.createDataFrame([(1, "Muslim people came"), (2, "Hindu people came")], "doc_id long, text string")
+    gap = {}
+    for name, options in (("none", {"penalty": 0.0}), ("default", {})):
+        one, two = toxicity.score(neutral, toxicity.train(docs, labels, **options)).orderBy("doc_id").collect()
+        gap[name] = abs(one.score - two.score)
+    assert gap["default"] < gap["none"] / 2
