@@ -15,6 +15,7 @@ from hyetos.llm import (
     line_dedup,
     merkle,
     packing,
+    quality,
     similarity_join,
     tokens,
     toxicity,
@@ -162,6 +163,13 @@ from parts p left join fitting f on p.host = f.host and p.path = f.path and f.pl
 """
 
 
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold("doc_id", 5) != 0)
+    found = quality.classify(table(spark, sf_dir, "documents"), labels)
+    held_out = (toxicity.fold("doc_id", 5) == 0).alias("held_out")
+    return found.select("doc_id", held_out, "score", "predicted")
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
@@ -240,6 +248,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_similarity_join": op8_similarity_join,
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
+    "op11_quality": op11_quality,
     "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {

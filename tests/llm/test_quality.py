@@ -1,0 +1,93 @@
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from hyetos.llm import quality
+from hyetos.llm.queries import QUERIES
+from tests.llm.conftest import invented
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+
+
+def prose(seed):
+    return " ".join(invented(seed, 60)) + ".\n" + " ".join(invented(seed + 10_000, 30)) + "."
+
+
+@pytest.fixture(scope="module")
+def labelled(spark, make_docs):
+    texts = [prose(i) if i % 3 else prose(i).replace(" ", "$$ ").upper() for i in range(150)]
+    labels = [(i, int(i % 3 > 0)) for i in range(150)] + [(1, None), (2, 7), (None, 1), (999, 0)]
+    return make_docs(texts), spark.createDataFrame(labels, "doc_id long, quality int")
+
+
+def density(x, mean, covariance):
+    left = x - mean
+    distance = left @ np.linalg.inv(covariance) @ left
+    return -0.5 * (distance + np.linalg.slogdet(covariance)[1])
+
+
+def test_like_plain_densities(labelled):
+    docs, labels = labelled
+    found = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
+    rows = {r.doc_id: np.array(quality.statistics(r.text)) for r in docs.collect()}
+    classes = [np.array([x for i, x in rows.items() if (i % 3 > 0) == k]) for k in (False, True)]
+    scatter = [np.cov(c.T, bias=True) * len(c) for c in classes]
+    d, models = len(quality.STATISTICS), []
+    for c, own in zip(classes, scatter):
+        pooled = (1 - quality.POOL) * own + quality.POOL * sum(scatter)
+        pooled = pooled / ((1 - quality.POOL) * len(c) + quality.POOL * len(rows))
+        round_ = quality.ROUND * np.trace(pooled) / d + quality.LEAST_VARIANCE
+        models.append((c.mean(axis=0), (1 - quality.ROUND) * pooled + round_ * np.eye(d)))
+    odds = np.log((len(classes[1]) + 1) / (len(classes[0]) + 1))
+    for i, x in rows.items():
+        raw = odds + density(x, *models[1]) - density(x, *models[0])
+        assert found[i].score == pytest.approx(1 / (1 + np.exp(-np.clip(raw, -30, 30))), abs=1e-6)
+        assert found[i].predicted == int(found[i].score >= 0.3) == int(i % 3 > 0)
+
+
+def test_statistics_of_whole_texts():
+    named = dict(zip(quality.STATISTICS, quality.statistics("One TWO 3!\nOne é😀")))
+    odds = lambda part, whole: np.log((part + 0.5) / (whole - part + 0.5))
+    assert named["characters"] == np.log1p(17) and named["words"] == np.log1p(5)
+    assert named["letters"] == odds(11, 17) and named["capitals among letters"] == odds(5, 11)
+    assert named["digits"] == odds(1, 17) and named["marks"] == odds(1, 17) and named["spaces"] == odds(4, 17)
+    assert named["different words"] == odds(4, 5) and named["most frequent word"] == odds(2, 5)
+    long_text = prose(1) * 2000
+    assert quality.statistics(long_text)[0] == np.log1p(len(long_text))
+    assert quality.statistics(long_text + "$" * len(long_text))[8] > quality.statistics(long_text)[8] + 3
+
+
+def test_odd_rows_clashing_names_and_ties(labelled, odd_docs):
+    docs, labels = labelled
+    odd = odd_docs.withColumn("score", F.lit("clash")).withColumn("statistics", F.lit(1))
+    vectors = quality.described(odd)
+    assert vectors.columns == ["doc_id", "lang", "source", "n_chars", "score", "statistics"]
+    rows = quality.score(vectors, quality.train(quality.described(docs), labels)).collect()
+    assert len(rows) == odd_docs.count() and all(0 <= r.score <= 1 for r in rows)
+    empty = {r.score for r in rows if r.n_chars in (0, None) and r.doc_id in (1, None) and r.source != "x"}
+    assert len({r.score for r in rows if r.doc_id in (3, 4)}) == 1 and empty
+
+
+def test_too_few_labels_and_no_rows(spark, labelled, no_docs):
+    docs, labels = labelled
+    for chosen in (labels.where("quality = 1"), labels.where("false")):
+        model = quality.train(quality.described(docs), chosen)
+        assert model.means == [] and np.isfinite(model.odds)
+        assert len({r.score for r in quality.classify(docs, chosen).collect()}) == 1
+    assert quality.classify(no_docs, labels).collect() == []
+
+
+def test_factors_serve_many_rows_and_sums_do_not_depend_on_partitions(labelled):
+    docs, labels = labelled
+    one, many = (quality.train(quality.described(docs.repartition(n)), labels) for n in (1, 7))
+    x = np.array([quality.statistics(prose(i)) for i in range(20)])
+    assert np.allclose(one.scores(x), many.scores(x), atol=1e-9)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+def test_held_out_labels(spark):
+    found = QUERIES["op11_quality"](spark, SF_DIR).where("held_out")
+    rows = found.join(spark.read.parquet(f"{SF_DIR}/labels.parquet"), "doc_id").collect()
+    assert np.mean([r.predicted == r.quality for r in rows]) >= 0.95
