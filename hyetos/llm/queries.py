@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hyetos.llm import (
+    alignment,
     decontamination,
     fingerprints,
     huffman,
@@ -170,6 +171,13 @@ def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "score", "predicted")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = [public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    return alignment.align_documents(table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audit(table(spark, sf_dir, "documents"))
 
@@ -249,6 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_url_filter": op10_url_filter,
     "op11_quality": op11_quality,
+    "op12_alignment": op12_alignment,
     "op13_merkle": op13_merkle,
 }
 ORACLES: dict[str, str] = {
