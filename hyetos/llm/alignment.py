@@ -37,28 +37,32 @@ _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
 _coders: dict[tuple[str, str], Coders] = {}
 
 
-def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
-    """Runs (place in a, place in b, length) of equal ends and the ends of irregular groups.
+def align(a: list[int], b: list[int]) -> tuple[list[int], list[int], list[int], list[int]]:
+    """The irregular groups: first token and the place behind the last, in ``a`` and in ``b``.
 
-    ``a`` and ``b`` are rising and have the same last value. A run's tokens are groups of one
-    each; an irregular group is given by the places behind its last tokens.
+    ``a`` and ``b`` are rising and have the same last value. All tokens between irregular
+    groups are groups of one token each.
     """
-    runs, groups = [], []
+    a, b = [*a, -1], [*b, -2]  # unequal marks, so that no stretch runs over the end
+    from_a, to_a, from_b, to_b = [], [], [], []
     i = j = 0
-    n = len(a)
-    while i < n:
-        if a[i] == b[j]:
-            from_i, from_j, step = i, j, 1
-            while i < n and a[i : i + step] == b[j : j + step]:
-                i, j, step = i + step, j + step, step * 2
-            i, j = min(i, n), min(j, len(b))  # the last stretch may have been cut by the end
+    last = len(a) - 1
+    while i < last:
+        end_a, end_b = a[i], b[j]
+        if end_a == end_b:
+            step = 4
+            while a[i : i + step] == b[j : j + step]:
+                i += step
+                j += step
+                step += step
             while step > 1:
-                step //= 2
-                if i < n and a[i : i + step] == b[j : j + step]:
-                    i, j = min(i + step, n), min(j + step, len(b))
-            runs.append((from_i, from_j, i - from_i))
+                step >>= 1
+                if a[i : i + step] == b[j : j + step]:
+                    i += step
+                    j += step
         else:
-            end_a, end_b = a[i], b[j]
+            from_a.append(i)
+            from_b.append(j)
             while end_a != end_b:
                 if end_a < end_b:
                     i += 1
@@ -66,23 +70,24 @@ def align(a: list[int], b: list[int]) -> tuple[list[tuple[int, int, int]], list[
                 else:
                     j += 1
                     end_b = b[j]
-            i, j = i + 1, j + 1
-            groups.append((i, j))
-    return runs, groups
+            i += 1
+            j += 1
+            to_a.append(i)
+            to_b.append(j)
+    return from_a, to_a, from_b, to_b
+
+
+def _group_ends(n: int, starts: list[int], ends: list[int]) -> np.ndarray:
+    inner = np.zeros(n + 1, np.int8)  # 1 at tokens that their group goes on behind
+    inner[np.array(starts, np.int64)] += 1
+    inner[np.array(ends, np.int64) - 1] -= 1
+    return np.flatnonzero(np.cumsum(inner[:n], dtype=np.int8) == 0) + 1
 
 
 def group_ends(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For every group the places behind its last tokens in both arrays of ends."""
-    runs, groups = align(a.tolist(), b.tolist())
-    odd = np.array(groups, np.int64).reshape(-1, 2)
-    starts = np.array(runs, np.int64).reshape(-1, 3)
-    lengths = starts[:, 2]
-    inside = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1
-    in_a = np.concatenate([odd[:, 0], np.repeat(starts[:, 0], lengths) + inside])
-    in_b = np.concatenate([odd[:, 1], np.repeat(starts[:, 1], lengths) + inside])
-    in_a.sort()
-    in_b.sort()
-    return in_a, in_b
+    from_a, to_a, from_b, to_b = align(a.tolist(), b.tolist())
+    return _group_ends(len(a), from_a, to_a), _group_ends(len(b), from_b, to_b)
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +140,7 @@ class Coders:
             self.bytes_b.append(raw)
         if max(len(self.bytes_a), len(self.bytes_b)) > 1 << ID_BITS:
             raise ValueError(f"ids must fit in {ID_BITS} bits")
+        self.digits = _digits(max(len(self.bytes_a), len(self.bytes_b)))
         self.sizes_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.sizes_b = np.array([len(t) for t in self.bytes_b], np.int64)
         self.starts_b = np.array([p.startswith("▁") for p in pieces])
@@ -142,13 +148,16 @@ class Coders:
         self.words_b: dict[str, bytes] = {}
         self.differing: set[str] = set()
 
-    def _same(self, ids_a: bytes, ids_b: bytes, word: str) -> bool:
-        wanted = b" " + word.encode()
-        a, b = np.frombuffer(ids_a, "<u4").tolist(), np.frombuffer(ids_b, "<u4").tolist()
-        return (
-            b"".join(map(self.bytes_a.__getitem__, a)) == wanted
-            and b"".join(map(self.bytes_b.__getitem__, b)) == wanted
-        )
+    def _differing(self, words: list[str]) -> list[str]:
+        """Those of ``words`` whose tokens of either side are not their bytes."""
+        wanted = "".join([" " + w for w in words]).encode()
+        sides = ((self.a.cache, self.bytes_a), (self.words_b, self.bytes_b))
+        for ids_of, bytes_of in sides:
+            ids = np.frombuffer(b"".join([ids_of[w] for w in words]), "<u4")
+            if b"".join(map(bytes_of.__getitem__, ids.tolist())) != wanted:
+                half = len(words) // 2
+                return self._differing(words[:half]) + self._differing(words[half:]) if half else words
+        return []
 
     def _learn(self, new: set[str]) -> None:
         words = list(new)
@@ -165,9 +174,8 @@ class Coders:
         for word in new.difference(plain):
             self.words_b[word] = np.array(self.b.encode(word), "<u4").tobytes()
         self.a._learn([w for w in words if w not in self.a.cache])
-        for word in words:
-            if not self._same(self.a.cache[word], self.words_b[word], word):
-                self.differing.add(word)
+        for at in range(0, len(words), 1000):
+            self.differing.update(self._differing(words[at : at + 1000]))
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both tokenizers; None where there are none or their bytes are not the text's."""
@@ -180,11 +188,11 @@ class Coders:
             self.words_b.clear()
             self.a.cache.clear()
             self.differing.clear()
-        new: set[str] = set()
+        seen: set[str] = set()
         for words in cut:
-            new.update(words)
-        new.discard("")
-        new.difference_update(self.words_b)
+            seen.update(words)
+        seen.discard("")
+        new = seen.difference(self.words_b)
         if new:
             self._learn(new)
         of_a, of_b = self.a.cache.__getitem__, self.words_b.__getitem__
@@ -206,34 +214,31 @@ def coders(path_a: str, path_b: str) -> Coders:
     return _coders[path_a, path_b]
 
 
-_DIGITS = 8  # ids below 2^ID_BITS
-
-
-def _digits(ids: np.ndarray) -> np.ndarray:
-    """Decimal digits, one row for an id, zero bytes before them and one place after."""
-    shown = np.zeros((len(ids), _DIGITS + 1), np.uint8)
-    rest = ids.copy()
-    for place in range(_DIGITS - 1, -1, -1):
-        used = rest > 0 if place < _DIGITS - 1 else np.ones(len(ids), bool)
-        if not used.any():
-            break
+def _digits(size: int) -> np.ndarray:
+    """Decimal digits of the numbers below ``size``: zero bytes, the digits, one place after."""
+    width = len(str(size))
+    shown = np.zeros((size, width + 1), np.uint8)
+    rest = np.arange(size)
+    for place in range(width - 1, -1, -1):
+        used = (rest > 0) | (place == width - 1)
         shown[used, place] = 48 + rest[used] % 10
         rest //= 10
     return shown
 
 
-def groups_text(ids_a: np.ndarray, ids_b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray) -> bytes:
+def groups_text(
+    ids_a: np.ndarray, ids_b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, digits: np.ndarray
+) -> bytes:
     """The groups as ``a1,a2|b1;a3|b2,b3``; ``in_a``, ``in_b`` as of :func:`group_ends`."""
-    shown = np.empty((len(ids_a) + len(ids_b), _DIGITS + 1), np.uint8)
+    shown = np.empty((len(ids_a) + len(ids_b), digits.shape[1]), np.uint8)
     before_b = np.concatenate([[0], in_b[:-1]])
     before_a = np.concatenate([[0], in_a[:-1]])
     place_a = np.arange(len(ids_a)) + np.repeat(before_b, in_a - before_a)
     place_b = np.arange(len(ids_b)) + np.repeat(in_a, in_b - before_b)
-    digits_a, digits_b = _digits(ids_a), _digits(ids_b)
-    digits_a[:, -1] = digits_b[:, -1] = ord(",")
-    digits_a[in_a - 1, -1] = ord("|")
-    digits_b[in_b - 1, -1] = ord(";")
-    shown[place_a], shown[place_b] = digits_a, digits_b
+    shown[place_a], shown[place_b] = digits[ids_a], digits[ids_b]
+    shown[:, -1] = ord(",")
+    shown[place_a[in_a - 1], -1] = ord("|")
+    shown[place_b[in_b - 1], -1] = ord(";")
     shown[-1, -1] = 0
     return shown[shown != 0].tobytes()
 
@@ -259,7 +264,7 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, with_groups: bool = False
         ids_a, ids_b = coded
         ends_a, ends_b = both.sizes_a[ids_a].cumsum(), both.sizes_b[ids_b].cumsum()
         in_a, in_b = group_ends(ends_a, ends_b)
-        text = groups_text(ids_a, ids_b, in_a, in_b)
+        text = groups_text(ids_a, ids_b, in_a, in_b, both.digits)
         first, second = linked(ends_a, ends_b)
         pairs, times = np.unique(ids_a[first] << ID_BITS | ids_b[second], return_counts=True)
         digest = hashlib.sha256(text).hexdigest()

@@ -120,8 +120,9 @@ def test_runs_and_irregular_groups():
         in_a, in_b = alignment.group_ends(a, b)
         common = np.intersect1d(a, b)
         assert a[in_a - 1].tolist() == b[in_b - 1].tolist() == common.tolist()
-    runs, groups = alignment.align(list(range(1, 5001)), list(range(1, 5001)))
-    assert runs == [(0, 0, 5000)] and groups == []
+    one = list(range(1, 5001))
+    assert alignment.align(one, one) == ([], [], [], [])
+    assert alignment.align(one, [*one[:700], *one[703:]]) == ([700], [704], [700], [701])
 
 
 def test_odd_rows_and_no_rows(odd_docs, no_docs):
