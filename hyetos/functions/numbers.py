@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 # Doubles hold every whole number below this bound exactly.
 _WHOLE_LIMIT = float(2**53)
-# How far, of its own size, a value may lie from a whole number of units to count as one.
+# How far, of its own size, a value may lie from a whole number of units to count as one,
+# and how far in units at most.
 _NOISE = 1e-12
+_MOST_NOISE = 1e-6
 
 
 def half_even(value: Column, digits: int) -> Column:
@@ -27,9 +29,10 @@ def partial_sum(value: Column, name: str, decimals: int | None = None) -> list[C
     """First-level aggregates from which :func:`merged_mean` makes a mean.
 
     With ``decimals`` the sum is kept in whole units of 10**-decimals. A value counts as
-    whole if it lies within ``_NOISE`` of it, as results of binary arithmetic do. All others
-    (more digits, NaN, infinities, very large ones, floats that widen to such) go unchanged
-    into a double sum beside it.
+    whole if it is the double of such a number, or lies within ``_NOISE`` of it and at most
+    ``_MOST_NOISE`` units away, as results of binary arithmetic do. All others (more digits,
+    NaN, infinities, very large ones, floats that widen to such) go unchanged into a double
+    sum beside it.
     """
     columns = [F.count(value).alias(f"{name}_n")]
     if decimals is None:
@@ -37,8 +40,9 @@ def partial_sum(value: Column, name: str, decimals: int | None = None) -> list[C
     scale = F.lit(float(10**decimals))
     exact = value.cast("double") * scale
     scaled = F.rint(exact)
-    near = F.abs(exact - scaled) <= F.lit(_NOISE) * F.greatest(F.lit(1.0), F.abs(scaled))
-    fits = (F.abs(scaled) < F.lit(_WHOLE_LIMIT)) & near
+    noise = F.least(F.lit(_NOISE) * F.greatest(F.lit(1.0), F.abs(scaled)), F.lit(_MOST_NOISE))
+    whole = (scaled / scale == value.cast("double")) | (F.abs(exact - scaled) <= noise)
+    fits = (F.abs(scaled) < F.lit(_WHOLE_LIMIT)) & whole
     units = F.when(fits, scaled).cast("bigint")
     rest = F.when(~fits, value.cast("double"))
     return columns + [

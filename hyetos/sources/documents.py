@@ -3,7 +3,10 @@
 A file holds one document per line, as :func:`land_documents` writes them, and large files
 are split. Files that hold one JSON array each must be asked for (``arrays``); one task
 reads such a file. Either way, input of the other form and damaged input is an error, not
-a shorter result, unless ``skip_damaged`` is set.
+a shorter result, unless ``skip_damaged`` is set; :func:`read_damaged` lists it. Damaged is
+text that is not exactly one document (or array), such as documents glued together or text
+behind one, a document that is no object, and one whose ``location``, ``forecast``, days or
+hours are of another type. Readings of another type are NULL.
 """
 
 from __future__ import annotations
@@ -14,37 +17,96 @@ from pyspark.sql.types import ArrayType, StructType
 
 from hyetos.schemas import DOCUMENT
 
-_CORRUPT = "_corrupt_record"
 MOST_DOCUMENTS = 2_000
-
-
-def _checked(rows: DataFrame, damaged: Column, text: Column, skip_damaged: bool) -> DataFrame:
-    if skip_damaged:
-        return rows.where(~damaged)
-    said = F.concat(F.lit("damaged input, or another form of file: "), F.left(text, F.lit(200)))
-    return rows.where(F.when(damaged, F.raise_error(said).cast("boolean")).otherwise(True))
-
-
-def _from_lines(reader, path: str, schema: str, skip_damaged: bool) -> DataFrame:
-    """Rows that gave no field at all are damaged; a field of another type is NULL."""
+#: The parts of a document that must be of their type if they are there.
+PARTS = ("location", "forecast", "forecast.forecastday", "forecast.forecastday[*].hour")
+
+
+def _has(schema: StructType, path: str) -> bool:
+    kind = schema
+    for name in path.replace("[*]", "").split("."):
+        if isinstance(kind, ArrayType):
+            kind = kind.elementType
+        if not isinstance(kind, StructType) or name not in kind.names:
+            return False
+        kind = kind[name].dataType
+    return True
+
+
+def _missing(document: Column, path: str) -> Column:
+    """Whether the parsed document lacks a part; for the hours, whether any day lacks them."""
+    outer, _, inner = path.partition("[*].")
+    part = document
+    for name in outer.split("."):
+        part = part[name]
+    if not inner:
+        return part.isNull()
+    return F.coalesce(F.exists(part, lambda day: day.isNull() | day[inner].isNull()), F.lit(False))
+
+
+def _fault(document: Column, text: Column, schema: StructType) -> Column:
+    """Why a parsed document is damaged, or NULL. Its text is looked into only if a part lacks."""
+    found = F.when(document.isNull(), "no document")
+    for path in PARTS:
+        if _has(schema, path):
+            there = F.get_json_object(text, f"$.{path}").isNotNull()
+            found = found.when(_missing(document, path) & there, f"{path} is of another type")
+    return found
+
+
+def _judged(reader, path: str, schema: str, arrays: bool) -> DataFrame:
+    """Every document with its file, its text and its fault; damaged files and lines as one."""
     fields = StructType.fromDDL(schema)
-    reader = reader.schema(StructType([*fields.fields]).add(_CORRUPT, "string"))
-    rows = reader.option("columnNameOfCorruptRecord", _CORRUPT).json(path)
-    damaged = F.col(_CORRUPT).isNotNull()
-    for name in fields.names:
-        damaged &= F.col(name).isNull()
-    return _checked(rows, damaged, F.col(_CORRUPT), skip_damaged).select(*fields.names)
+    if arrays:
+        reader = reader.option("wholetext", True)
+    texts = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    kind = ArrayType(ArrayType(fields) if arrays else fields)
+    # within brackets the text must be one value, from its first character to its last
+    value = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), kind)
+    parsed = texts.where("trim(value) <> ''").select("value", "file", value.alias("parsed"))
+
+    def entry(document: Column, text: Column, fault: Column) -> Column:
+        return F.struct(document.alias("document"), text.alias("text"), fault.alias("fault"))
+
+    def whole(fault: str) -> Column:
+        return F.array(entry(F.lit(None).cast(fields), F.col("value"), F.lit(fault)))
+
+    documents, text = F.col("parsed"), F.col("value")
+    if arrays:
+        documents = F.get("parsed", F.lit(0))
+
+        def lacks(document: Column) -> Column:
+            lacking = document.isNull()
+            for part in PARTS:
+                if _has(fields, part):
+                    lacking = lacking | _missing(document, part)
+            return lacking
+
+        texts_of = F.when(F.exists(documents, lacks), F.from_json("value", "array<string>"))
+        parsed = parsed.withColumn("texts", texts_of)
+        entries = F.transform(
+            documents,
+            lambda d, i: entry(d, F.get("texts", i), _fault(d, F.get("texts", i), fields)),
+        )
+    else:
+        entries = F.transform(documents, lambda d: entry(d, text, _fault(d, text, fields)))
+    what = "array" if arrays else "document"
+    entries = (
+        F.when(F.col("parsed").isNull() | (arrays & documents.isNull()), whole(f"not one {what}"))
+        .when(F.size("parsed") != 1, whole(f"not one {what}"))
+        .otherwise(entries)
+    )
+    # a generator, so that no filter is moved below it and parses the text again
+    return parsed.select("file", F.inline(entries))
 
 
-def _from_arrays(reader, path: str, schema: str, skip_damaged: bool) -> DataFrame:
-    """Files that are not one array, from the first character to the last, are damaged."""
-    whole = reader.option("wholetext", True).text(path).where("trim(value) <> ''")
-    kind = ArrayType(StructType.fromDDL(schema))
-    rows = whole.select("value", F.from_json("value", kind).alias("documents"))
-    shape = F.col("value").rlike(r"(?s)\A\s*\[.*\]\s*\z")
-    damaged = F.col("documents").isNull() | ~shape
-    checked = _checked(rows, damaged, F.col("value"), skip_damaged)
-    return checked.select(F.inline("documents"))
+def _checked(rows: DataFrame, skip_damaged: bool) -> DataFrame:
+    sound = F.col("fault").isNull()
+    if not skip_damaged:
+        shown = F.left(F.coalesce("text", F.lit("")), F.lit(200))
+        said = F.concat(F.lit("damaged input, or another form of file ("), "fault", F.lit("): "), shown)
+        sound = F.when(sound, True).otherwise(F.raise_error(said).cast("boolean"))
+    return rows.where(sound).select("document.*")
 
 
 def read_documents(
@@ -55,8 +117,15 @@ def read_documents(
     skip_damaged: bool = False,
 ) -> DataFrame:
     """Documents under ``path``, one per line or, with ``arrays``, one array per file."""
-    read = _from_arrays if arrays else _from_lines
-    return read(spark.read, path, schema, skip_damaged)
+    return _checked(_judged(spark.read, path, schema, arrays), skip_damaged)
+
+
+def read_damaged(
+    spark: SparkSession, path: str, schema: str = DOCUMENT, arrays: bool = False
+) -> DataFrame:
+    """file, fault and text of everything that ``skip_damaged`` leaves out."""
+    rows = _judged(spark.read, path, schema, arrays).where("fault is not null")
+    return rows.select("file", "fault", "text")
 
 
 def stream_documents(
@@ -71,8 +140,7 @@ def stream_documents(
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    read = _from_arrays if arrays else _from_lines
-    return read(reader, path, schema, skip_damaged)
+    return _checked(_judged(reader, path, schema, arrays), skip_damaged)
 
 
 def land_documents(documents: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from helpers import BASE, at, document, land, rows
 from hyetos.operators.alerts import extreme
 from hyetos.operators.flatten import ALERT_COLUMNS, current_conditions, flatten
 from hyetos.schemas import ALERT_DOCUMENT, FORECAST
-from hyetos.sources.documents import land_documents, read_documents
+from hyetos.sources.documents import land_documents, read_damaged, read_documents, stream_documents
 
 
 def test_flat_rows_and_schema(spark, tmp_path):
@@ -74,6 +74,65 @@ def test_the_other_form_is_refused(spark, tmp_path):
         read_documents(spark, str(tmp_path / "arrays")).count()
 
 
+GOOD = '{"location": {"name": "A"}, "forecast": {"forecastday": [{"date": "d", "hour": []}]}}'
+DAMAGED = {
+    GOOD + GOOD: "not one document",
+    GOOD + ", " + GOOD: "not one document",
+    GOOD + " junk": "not one document",
+    GOOD[:-3]: "not one document",
+    "[1]": "not one document",
+    "null": "no document",
+    '{"location": 3}': "location is of another type",
+    '{"location": {"name": "A"}, "forecast": "sunny"}': "forecast is of another type",
+    '{"forecast": {"forecastday": 7}}': "forecast.forecastday is of another type",
+    '{"forecast": {"forecastday": [{"date": "d", "hour": 4}]}}': "forecast.forecastday[*].hour is of another type",
+}
+SOUND = [GOOD, "{}", '{"forecast": null, "location": null}', '{"current": {"temp_c": "warm"}, "location": {"name": "B"}}']
+
+
+@pytest.mark.parametrize("text", DAMAGED)
+def test_damage_is_an_error_in_lines_arrays_and_streams(spark, tmp_path, text):
+    (tmp_path / "lines").mkdir()
+    (tmp_path / "lines" / "a.json").write_text("\n".join([*SOUND, "", text]))
+    (tmp_path / "arrays").mkdir()
+    (tmp_path / "arrays" / "a.json").write_text("[" + ", ".join([*SOUND, text]) + "]")
+    glued_by_comma = text == GOOD + ", " + GOOD  # two documents of the array
+    for arrays, name in ((False, "lines"), (True, "arrays")):
+        folder = str(tmp_path / name)
+        if arrays and glued_by_comma:
+            assert read_documents(spark, folder, arrays=True).count() == len(SOUND) + 2
+            continue
+        with pytest.raises(Exception, match="damaged input"):
+            read_documents(spark, folder, arrays=arrays).collect()
+    docs = stream_documents(spark, str(tmp_path / "lines"))
+    query = docs.writeStream.format("noop").trigger(availableNow=True).start()
+    with pytest.raises(Exception, match="damaged input"):
+        query.processAllAvailable()
+    query.stop()
+
+
+def test_damaged_input_is_listed(spark, tmp_path):
+    (tmp_path / "a.json").write_text("\n".join([*SOUND, *DAMAGED]))
+    (tmp_path / "b.json").write_text("\n".join(SOUND))
+    found = read_damaged(spark, str(tmp_path)).collect()
+    assert {r.text: r.fault for r in found} == DAMAGED and len(found) == len(DAMAGED)
+    assert all(r.file.endswith("/a.json") for r in found)
+    assert read_documents(spark, str(tmp_path), skip_damaged=True).count() == 2 * len(SOUND)
+
+
+def test_text_around_an_array_is_damage(spark, tmp_path):
+    for n, text in enumerate([f"[{GOOD}] junk ]", f"[{GOOD}][{GOOD}]", f"[{GOOD}], [{GOOD}]", GOOD]):
+        (tmp_path / f"{n}").mkdir()
+        (tmp_path / f"{n}" / "a.json").write_text(text)
+        with pytest.raises(Exception, match="not one array"):
+            read_documents(spark, str(tmp_path / f"{n}"), arrays=True).collect()
+    (tmp_path / "good.json").write_text("[]")
+    assert read_documents(spark, str(tmp_path / "good.json"), arrays=True).collect() == []
+    (tmp_path / "wrong.json").write_text('[{"location": {"name": "A"}}, {"forecast": 5}]')
+    damaged = read_damaged(spark, str(tmp_path / "wrong.json"), arrays=True).collect()
+    assert [(r.fault, r.text) for r in damaged] == [("forecast is of another type", '{"forecast":5}')]
+
+
 def test_current_conditions(spark, tmp_path):
     land(tmp_path, "a", [document("A", datetime(2024, 6, 1, 1, 2, 3, 500000), [])])
     assert rows(current_conditions(read_documents(spark, str(tmp_path), arrays=True))) == [

@@ -43,7 +43,7 @@ def test_latest_revision_shuffles_one_row_per_key_and_task(spark):
 
 
 def test_slice_reaches_the_scan(spark):
-    text = plan(entry.queries()["hourly_slice"](spark, SF_DIR))
+    text = plan(QUERIES["hourly_slice"](spark, SF_DIR))
     pushed = text.split("PushedFilters: ")[1].split("ReadSchema")[0]
     assert "GreaterThanOrEqual(ts" in pushed and "LessThan(ts" in pushed
 

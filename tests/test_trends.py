@@ -136,3 +136,10 @@ def test_means_lie_between_the_extremes_and_no_row_is_lost(spark):
     from hyetos.operators.trends import partial_trend
 
     assert partial_trend(frame).agg(F.sum("n_rows")).first()[0] == 500
+
+
+def test_large_values_keep_their_digits(spark):
+    for value in (10000000000.004, 10000000000.01, 123456789012.34, 0.1 + 0.2, 25.3 - 10.0, -7e11 - 0.006):
+        frame = forecast_frame(spark, [("A", at(0), value, 1, 1.0, "x")], real="double")
+        found = trend(frame, EXACT).first().avg_temp
+        assert abs(found - value) <= 1e-9
