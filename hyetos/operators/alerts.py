@@ -17,6 +17,15 @@ HIGH_WIND = "HIGH WIND"
 PRIORITY = (HIGH_TEMPERATURE, LOW_TEMPERATURE, HIGH_WIND)
 
 
+def is_extreme(thresholds: Thresholds = Thresholds()) -> Column:
+    """Whether a forecast hour is beyond a threshold; NULL if that is not known."""
+    return (
+        (F.col("temp") > thresholds.high_temp)
+        | (F.col("temp") < thresholds.low_temp)
+        | (F.col("wind_speed") > thresholds.high_wind)
+    )
+
+
 def extreme(
     forecast: DataFrame, thresholds: Thresholds = Thresholds(), keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -28,7 +37,7 @@ def extreme(
     hot = F.col("temp") > thresholds.high_temp
     cold = F.col("temp") < thresholds.low_temp
     windy = F.col("wind_speed") > thresholds.high_wind
-    return forecast.filter(hot | cold | windy).select(
+    return forecast.filter(is_extreme(thresholds)).select(
         "name",
         F.col("forecast_time").alias("timestamp"),
         F.col("temp").alias("temperature"),
@@ -104,3 +113,27 @@ def first_alert(alerts: DataFrame) -> DataFrame:
 def alert_summary(alerts: DataFrame, cities: DataFrame) -> DataFrame:
     """One row per name in ``cities``; the alert columns are NULL where there is none."""
     return cities.select("name").join(first_alert(alerts), "name", "left")
+
+
+def alert_sessions(alerts: DataFrame, gap: str = "90 minutes", combine: bool = True) -> DataFrame:
+    """Runs of extreme hours per name, which end where no alert follows within ``gap``.
+
+    Columns: name, session_start, last_alert, n_alerts, peak_temperature, peak_wind_speed. Alerts
+    are first added up per name and time, so that what is sorted for a location is its
+    different hours and not its alerts; a stream keeps merged sessions in its state instead
+    (``combine=False``). Alerts without a time belong to no session.
+    """
+    peaks = [F.max("temperature").alias("temperature"), F.max("wind_speed").alias("wind_speed")]
+    timed = alerts.withColumn("n", F.lit(1).cast("long"))
+    if combine:
+        timed = timed.groupBy("name", "timestamp").agg(F.count("*").alias("n"), *peaks)
+    sessions = timed.groupBy("name", F.session_window("timestamp", gap).alias("session")).agg(
+        F.max("timestamp").alias("last_alert"),
+        F.sum("n").alias("n_alerts"),
+        F.max("temperature").alias("peak_temperature"),
+        F.max("wind_speed").alias("peak_wind_speed"),
+    )
+    return sessions.select(
+        "name", F.col("session.start").alias("session_start"), "last_alert", "n_alerts",
+        "peak_temperature", "peak_wind_speed",
+    )

@@ -11,15 +11,17 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from hyetos.functions.conditions import GLYPHS, OTHER, RULES, UNKNOWN, with_condition_class
-from hyetos.functions.timestamps import parse_timestamp, with_calendar_parts
-from hyetos.operators import alerts, cities, daily, flatten, revisions, trends
+from hyetos.functions.timestamps import parse_timestamp, wall_clock, with_calendar_parts
+from hyetos.operators import alerts, asof, cities, daily, flatten, revisions, trends
 from hyetos.params import SliceParams, Thresholds, TrendParams
 from hyetos.plans import serving
 from hyetos.session import work_dir
 from hyetos.sources import documents, events, snapshots
 from hyetos.streaming import queries as streams
+from hyetos.streaming import spells
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -276,6 +278,50 @@ def mode_condition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trends.modal_condition(_forecast(spark, sf_dir), "name", "forecast_date")
 
 
+SLIDING_SQL = TREND_SQL.replace(
+    "timestamp '1970-01-01') as ws, *\n  from forecast",
+    "timestamp '1970-01-01') - to_minutes(10 * pane) as ws, *\n  from forecast, range(18) as panes(pane)",
+).replace("interval '10 minutes' as window_end", "interval '3 hours' as window_end")
+
+
+@query("sliding_trend", f"with {SLIDING_SQL} select * from trend")
+def sliding_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend of three hours, every ten minutes."""
+    sliding = trends.sliding_trend(_forecast(spark, sf_dir), TREND, panes=18)
+    return _plain_times(trends.with_window_bounds(sliding))
+
+
+_CUBE_SETS = "grouping sets ((name, forecast_date), (name), (forecast_date))"
+
+
+@query(
+    "trend_cube",
+    f"""with {FORECAST_SQL},
+measures as (
+  select name, forecast_date, cast(grouping(name, forecast_date) as bigint) as "grouping",
+         cast(sum(cast(temp as decimal(12,2))) as double) / count(temp) as avg_temp,
+         max(temp) as max_temp, min(temp) as min_temp,
+         avg(humidity) as avg_humidity, avg(wind_speed) as avg_wind_speed
+  from forecast group by {_CUBE_SETS}),
+modes as (
+  select name, forecast_date, "grouping", condition from (
+    select *, row_number() over (partition by name, forecast_date, "grouping"
+                                 order by condition is null, n desc, condition) as r
+    from (select name, forecast_date, condition, count(*) as n,
+                 cast(grouping(name, forecast_date) as bigint) as "grouping"
+          from forecast
+          group by grouping sets ((name, forecast_date, condition), (name, condition), (forecast_date, condition))))
+  where r = 1)
+select m.*, condition as common_condition from measures as m join modes as o
+  on m.name is not distinct from o.name and m.forecast_date is not distinct from o.forecast_date
+     and o."grouping" = m."grouping" """,
+)
+def trend_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend by location and day, by location, and by day."""
+    sets = [["name", "forecast_date"], ["name"], ["forecast_date"]]
+    return trends.trend_cube(_forecast(spark, sf_dir), sets, TREND)
+
+
 @query("stream_trend", f"with {TREND_SQL} select * from trend")
 def stream_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trend kept by a stream in complete mode, read from its latest snapshot."""
@@ -317,6 +363,149 @@ def serve_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_means(daily.daily_rollup(trends.with_window_bounds(closed)))
 
 
+# Streams over several batches, each begun anew from its checkpoint
+
+
+def _run_in_slices(
+    spark: SparkSession, sf_dir: str, label: str, start: Callable[..., StreamingQuery], slices: int = 3, **options
+) -> str:
+    """Land the events in slices of time and run the stream to its end after each of them.
+
+    So the stream sees several batches, stops in between and goes on from its checkpoint.
+    """
+    root = work_dir(spark, label)
+    landing = f"{root}/landing"
+    table = events.read_events(spark, sf_dir)
+    first, last = table.agg(F.min("ts"), F.max("ts")).first()
+    for number in range(slices):
+        part = table
+        if first is not None:
+            low, high = (first + (last - first) * (number + i) / slices for i in (0, 1))
+            if number:
+                part = part.where(F.col("ts") >= wall_clock(low))
+            if number < slices - 1:
+                before = F.col("ts") < wall_clock(high)
+                part = part.where(before if number else before | F.col("ts").isNull())
+        part.write.mode("append").parquet(landing)
+        arrived = spark.readStream.schema(table.schema).parquet(landing)
+        streams.await_all([start(events.forecast_view(arrived), root, once=True, **options)])
+    return root
+
+
+@query(
+    "stream_alerts_once",
+    f"with {FORECAST_SQL}, {ALERT_SQL} select distinct name, \"timestamp\", alert_type from alerts",
+)
+def stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts without repeats; which of the repeats is kept depends on their arrival."""
+    root = _run_in_slices(spark, sf_dir, "stream_alerts_once", streams.start_alerts_once_per_hour)
+    found = snapshots.read_history(spark, root, streams.EXTREME_ONCE)
+    return _plain_times(found.select("name", "timestamp", "alert_type"))
+
+
+LATEST_SQL = f"""{FORECAST_SQL},
+latest as (
+  select * exclude (r) from (
+    select *, row_number() over (partition by name, forecast_time
+                                 order by fetch_time desc nulls last, event_id desc) as r
+    from forecast) where r = 1)"""
+
+
+@query("stream_revisions", f"with {LATEST_SQL} select * from latest")
+def stream_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest revision of each hour, from the changes that a stream wrote."""
+    tiebreak = ("event_id",)
+    root = _run_in_slices(spark, sf_dir, "stream_revisions", streams.start_revisions, tiebreak=tiebreak)
+    changes = snapshots.read_history(spark, root, streams.REVISIONS).drop("batch_id")
+    return _plain_times(revisions.latest_revision(changes, tiebreak))
+
+
+SESSION_SQL = """marked as (
+  select *, case when lag("timestamp") over (partition by name order by "timestamp") + interval '90 minutes'
+                      > "timestamp" then 0 else 1 end as opens
+  from alerts where "timestamp" is not null),
+numbered as (
+  select *, sum(opens) over (partition by name order by "timestamp" rows unbounded preceding) as session
+  from marked),
+sessions as (
+  select name, min("timestamp") as session_start, max("timestamp") as last_alert, count(*) as n_alerts,
+         max(temperature) as peak_temperature, max(wind_speed) as peak_wind_speed
+  from numbered group by name, session)"""
+
+
+@query(
+    "stream_alert_sessions",
+    f"""with {FORECAST_SQL}, {ALERT_SQL}, {SESSION_SQL}
+select * from sessions
+where last_alert + interval '90 minutes' <= (select max("timestamp") from alerts) - interval '8 days'""",
+)
+def stream_alert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of extreme hours that a stream has closed, each written once."""
+    root = _run_in_slices(spark, sf_dir, "stream_alert_sessions", streams.start_sessions)
+    return _plain_times(snapshots.read_history(spark, root, streams.SESSIONS).drop("batch_id"))
+
+
+@query(
+    "stream_alert_withdrawn",
+    f"""with {FORECAST_SQL},
+raised as ({_alert_sql('forecast').replace("select name", "select event_id, fetch_time, name", 1)}),
+calm as (
+  select name, forecast_time, fetch_time, temp from forecast
+  where not coalesce(temp > 30 or temp < 0 or wind_speed > 25, false)),
+passed as (
+  select least((select max(fetch_time) from raised), (select max(fetch_time) from calm)) - interval '10 minutes' as mark),
+earliest as (
+  select event_id, min(c.fetch_time) as withdrawn_at, min_by(c.temp, struct_pack(c.fetch_time, c.temp)) as temperature_then
+  from raised as r join calm as c
+    on r.name = c.name and r."timestamp" = c.forecast_time
+       and c.fetch_time > r.fetch_time and c.fetch_time <= r.fetch_time + interval '30 minutes'
+  group by event_id)
+select r.*, withdrawn_at, temperature_then
+from raised as r left join earliest using (event_id)
+where withdrawn_at is not null or fetch_time + interval '30 minutes' <= (select mark from passed)""",
+)
+def stream_alert_withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts that a later revision of their hour withdrew, and those that none can any more."""
+    root = _run_in_slices(
+        spark, sf_dir, "stream_alert_withdrawn", streams.start_withdrawn, keep=("event_id",)
+    )
+    history = snapshots.read_history(spark, root, streams.WITHDRAWN)
+    return _plain_times(streams.first_withdrawal(history))
+
+
+@query(
+    "stream_alert_spells",
+    f"""with {FORECAST_SQL},
+hours as (
+  select name, date_trunc('hour', fetch_time) as hour, max(temp) as peak from forecast group by all),
+closed as (
+  select *, (select max(fetch_time) from forecast) - interval '10 minutes' as mark from hours
+  where hour + interval '1 hour' <= (select max(fetch_time) from forecast) - interval '10 minutes'),
+parted as (
+  select *, sum(gap) over (partition by name order by hour rows unbounded preceding) as part from (
+    select *, case when hour - lag(hour) over (partition by name order by hour) > interval '2 hours'
+                   then 1 else 0 end as gap from closed)),
+hot as (
+  select *, coalesce(last_value(signal ignore nulls) over (
+              partition by name, part order by hour rows unbounded preceding), 0) as hot
+  from (select *, case when peak > 30 then 1 when peak <= 25 then 0 end as signal from parted)),
+numbered as (
+  select *, sum(1 - hot) over (partition by name, part order by hour rows unbounded preceding) as spell,
+         lead(hour) over (partition by name, part order by hour) as following,
+         lead(hour) over (partition by name order by hour) as later
+  from hot)
+select name, min(hour) as opened, max(hour) as last_hour, count(*) as n_hours, max(peak) as peak,
+       case when arg_max(following is not null, hour) then 'calm' else 'quiet' end as closed_by
+from numbered where hot = 1
+group by name, part, spell
+having arg_max(later is not null, hour) or max(hour) + interval '3 hours' <= any_value(mark)""",
+)
+def stream_alert_spells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heat spells that a stream with explicit state and timers has closed."""
+    root = _run_in_slices(spark, sf_dir, "stream_alert_spells", spells.start_spells)
+    return _plain_times(snapshots.read_history(spark, root, streams.SPELLS).drop("batch_id"))
+
+
 # The main path: array files landed, several batches, both streams side by side
 
 PIPELINE_SQL = f"with {FORECAST_SQL}, {_lead_sql()}"
@@ -365,14 +554,6 @@ def pipeline_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Revisions
 
 
-LATEST_SQL = f"""{FORECAST_SQL},
-latest as (
-  select * exclude (r) from (
-    select *, row_number() over (partition by name, forecast_time
-                                 order by fetch_time desc nulls last, event_id desc) as r
-    from forecast) where r = 1)"""
-
-
 @query("latest_revision", f"with {LATEST_SQL} select * from latest")
 def latest_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return revisions.latest_revision(_forecast(spark, sf_dir), tiebreak=("event_id",))
@@ -413,6 +594,36 @@ def alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_summary(alerts.extreme(forecast), names)
 
 
+@query("alert_sessions", f"with {FORECAST_SQL}, {ALERT_SQL}, {SESSION_SQL} select * from sessions")
+def alert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of extreme hours of every location."""
+    return _plain_times(alerts.alert_sessions(alerts.extreme(_forecast(spark, sf_dir))))
+
+
+@query(
+    "asof_revision",
+    f"""with {FORECAST_SQL}, alerts as (
+  select event_id, name, forecast_time as "timestamp", temp as temperature, wind_speed
+  from forecast where temp > 30 or temp < 0 or wind_speed > 25),
+revisions as (
+  select * exclude (r) from (
+    select *, row_number() over (partition by name, fetch_time order by event_id desc) as r from forecast)
+  where r = 1)
+select a.*, r.fetch_time as valid_since, r.event_id as valid_event, r.temp as valid_temp,
+       r.condition as valid_condition
+from alerts as a asof left join revisions as r
+  on a.name = r.name and a."timestamp" >= r.fetch_time""",
+)
+def asof_revision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each alert with the last forecast of its location that had been issued by its hour."""
+    forecast = _forecast(spark, sf_dir)
+    found = alerts.extreme(forecast, keep=("event_id",)).drop("alert_type")
+    taken = {"fetch_time": "valid_since", "event_id": "valid_event", "temp": "valid_temp", "condition": "valid_condition"}
+    return asof.asof_join(
+        found, forecast, ["name"], "timestamp", "fetch_time", taken, tiebreak=["event_id"]
+    )
+
+
 # Locations
 
 
@@ -626,6 +837,11 @@ STREAM_KEYS = {
     "stream_trend",
     "stream_trend_bounded",
     "stream_alerts",
+    "stream_alerts_once",
+    "stream_revisions",
+    "stream_alert_sessions",
+    "stream_alert_withdrawn",
+    "stream_alert_spells",
     "latest_snapshot",
     "snapshot_json_roundtrip",
 }

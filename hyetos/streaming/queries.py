@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hyetos.operators.alerts import extreme
+from hyetos.operators.alerts import alert_sessions, extreme, is_extreme
 from hyetos.operators.flatten import flatten
 from hyetos.operators.revisions import latest_revision
 from hyetos.operators.trends import merge_trend, partial_trend
@@ -31,12 +31,15 @@ EXTREME = "extreme"
 EXTREME_ONCE = "extreme_once"
 FORECAST = "forecast"
 REVISIONS = "revisions"
+SESSIONS = "sessions"
+WITHDRAWN = "withdrawn"
+SPELLS = "spells"
 
 # A 7-day forecast reaches this far ahead of its fetch, plus a day of slack.
 HORIZON = "8 days"
 
 
-def _start(
+def start_history(
     df: DataFrame,
     root: str,
     kind: str,
@@ -46,6 +49,7 @@ def _start(
     interval: str | None = None,
     console: bool = False,
 ) -> StreamingQuery:
+    """Start a query whose batches, after ``finish``, are the history of ``kind``."""
     checkpoint = checkpoint_path(root, kind)
     spark = df.sparkSession
     if path_exists(spark, history_path(root, kind)) and not path_exists(spark, checkpoint):
@@ -77,7 +81,7 @@ def start_flatten(
     documents: DataFrame, root: str, hour_extra: Sequence[str] = (), **options
 ) -> StreamingQuery:
     """Flat forecast rows of new documents."""
-    return _start(flatten(documents, hour_extra), root, FORECAST, "append", **options)
+    return start_history(flatten(documents, hour_extra), root, FORECAST, "append", **options)
 
 
 def start_trend(
@@ -88,7 +92,7 @@ def start_trend(
     State holds one row of numbers per window, name and condition. It is never
     dropped; see :func:`start_trend_bounded` for state that is.
     """
-    return _start(
+    return start_history(
         partial_trend(forecast, params),
         root,
         TRENDS,
@@ -114,7 +118,7 @@ def start_trend_bounded(
     timed = forecast.withColumn(
         "forecast_time", F.col("forecast_time").cast("timestamp")
     ).withWatermark("forecast_time", delay)
-    return _start(
+    return start_history(
         partial_trend(timed, params),
         root,
         TRENDS_BOUNDED,
@@ -128,7 +132,7 @@ def start_alerts(
     forecast: DataFrame, root: str, thresholds: Thresholds = Thresholds(), **options
 ) -> StreamingQuery:
     """Alerts of new rows only; keeps no state."""
-    return _start(extreme(forecast, thresholds), root, EXTREME, "append", **options)
+    return start_history(extreme(forecast, thresholds), root, EXTREME, "append", **options)
 
 
 def start_alerts_once_per_hour(
@@ -148,7 +152,7 @@ def start_alerts_once_per_hour(
     first = alerts.withWatermark("fetch_time", delay).dropDuplicatesWithinWatermark(
         ["name", "timestamp", "alert_type"]
     )
-    return _start(first.drop("fetch_time"), root, EXTREME_ONCE, "append", **options)
+    return start_history(first.drop("fetch_time"), root, EXTREME_ONCE, "append", **options)
 
 
 def start_revisions(
@@ -165,7 +169,69 @@ def start_revisions(
     """
     hour = F.col("forecast_time").cast("timestamp")
     timed = forecast.withColumn("forecast_time", hour).withWatermark("forecast_time", delay)
-    return _start(latest_revision(timed, tiebreak), root, REVISIONS, "update", **options)
+    return start_history(latest_revision(timed, tiebreak), root, REVISIONS, "update", **options)
+
+
+def start_sessions(
+    forecast: DataFrame,
+    root: str,
+    thresholds: Thresholds = Thresholds(),
+    gap: str = "90 minutes",
+    delay: str = HORIZON,
+    **options,
+) -> StreamingQuery:
+    """Runs of extreme hours per location, each once, when it can no longer grow (append mode).
+
+    State holds merged sessions. The watermark is on the forecast hour, so ``delay`` must
+    cover the forecast horizon.
+    """
+    timed = forecast.withColumn("forecast_time", F.col("forecast_time").cast("timestamp"))
+    alerts = extreme(timed, thresholds).withWatermark("timestamp", delay)
+    return start_history(alert_sessions(alerts, gap, combine=False), root, SESSIONS, "append", **options)
+
+
+def start_withdrawn(
+    forecast: DataFrame,
+    root: str,
+    thresholds: Thresholds = Thresholds(),
+    within: str = "30 minutes",
+    delay: str = "10 minutes",
+    keep: Sequence[str] = (),
+    **options,
+) -> StreamingQuery:
+    """Alerts with every later revision of their hour that withdraws them (append mode).
+
+    A revision withdraws an alert if it is fetched after it, at most ``within`` later, and is
+    not extreme. An alert that none withdraws is written once, with a NULL ``withdrawn_at``, when
+    the watermark has passed that time. Both sides are kept no longer than ``within`` and
+    ``delay`` demand, whatever the length of the stream. See :func:`first_withdrawal`.
+    """
+    timed = forecast.withColumn("fetch_time", F.col("fetch_time").cast("timestamp"))
+    raised = extreme(timed, thresholds, keep=("fetch_time", *keep)).withWatermark("fetch_time", delay)
+    used = ("name", "forecast_time", "fetch_time", "temp", "wind_speed")
+    calm = timed.where(~F.coalesce(is_extreme(thresholds), F.lit(False))).select(
+        *[F.col(c).alias(f"calm_{c}") for c in used]
+    )
+    calm = calm.withWatermark("calm_fetch_time", delay)
+    later = F.col("calm_fetch_time") > F.col("fetch_time")
+    soon = F.col("calm_fetch_time") <= F.col("fetch_time") + F.expr(f"INTERVAL {within}")
+    same = (F.col("name") == F.col("calm_name")) & (F.col("timestamp") == F.col("calm_forecast_time"))
+    pairs = raised.join(calm, same & later & soon, "left_outer").select(
+        *raised.columns,
+        F.col("calm_fetch_time").alias("withdrawn_at"),
+        F.col("calm_temp").alias("temperature_then"),
+    )
+    return start_history(pairs, root, WITHDRAWN, "append", **options)
+
+
+def first_withdrawal(history: DataFrame) -> DataFrame:
+    """One row for each alert of :func:`start_withdrawn`, with its earliest withdrawal.
+
+    Alerts that are equal in all columns count as one.
+    """
+    own = [c for c in history.columns if c not in ("batch_id", "withdrawn_at", "temperature_then")]
+    earliest = F.min(F.struct("withdrawn_at", "temperature_then")).alias("earliest")
+    return history.groupBy(*own).agg(earliest).select(*own, "earliest.*")
 
 
 def await_all(queries: Sequence[StreamingQuery]) -> None:

@@ -1,7 +1,17 @@
+import random
+from collections import defaultdict
+from datetime import timedelta
+
 import pytest
 from helpers import at, forecast_frame, rows
 
-from hyetos.operators.alerts import alert_summary, extreme, extreme_latest, first_alert
+from hyetos.operators.alerts import (
+    alert_sessions,
+    alert_summary,
+    extreme,
+    extreme_latest,
+    first_alert,
+)
 from hyetos.params import Thresholds
 from hyetos.schemas import ALERT
 
@@ -87,3 +97,30 @@ def test_only_the_latest_revision_alerts(spark):
     )
     assert extreme(frame).count() == 3
     assert rows(extreme_latest(frame), "timestamp", "temperature") == [(at(10), 34.0)]
+
+
+def test_sessions_are_runs_of_hours(spark):
+    source = random.Random(4)
+    rows_in = []
+    for name in ("A", "A", "A", "B", None):
+        for _ in range(60):
+            time = at(source.randrange(0, 60)) if source.random() > 0.05 else None
+            rows_in.append((name, time, float(source.randrange(20, 40)), 5, float(source.randrange(0, 40)), "x"))
+    alerts = extreme(forecast_frame(spark, rows_in))
+    expected = []
+    by_name = defaultdict(list)
+    for r in alerts.where("timestamp is not null").collect():
+        by_name[r.name].append(r)
+    for name, own in by_name.items():
+        runs = []
+        for r in sorted(own, key=lambda r: r.timestamp):
+            if not runs or r.timestamp - runs[-1][-1].timestamp >= timedelta(minutes=90):
+                runs.append([])
+            runs[-1].append(r)
+        for run in runs:
+            peaks = max(r.temperature for r in run), max(r.wind_speed for r in run)
+            expected.append((name, run[0].timestamp, run[-1].timestamp, len(run), *peaks))
+    assert len(expected) > 3
+    for combine in (True, False):
+        assert rows(alert_sessions(alerts, combine=combine)) == sorted(expected, key=repr)
+    assert alert_sessions(alerts.limit(0)).collect() == []

@@ -1,15 +1,17 @@
+import random
 from datetime import timedelta
 
 import pytest
-from helpers import at, document, land, rows
+from helpers import at, document, forecast_frame, land, rows
 
-from hyetos.operators.alerts import extreme
+from hyetos.operators.alerts import alert_sessions, extreme
 from hyetos.operators.flatten import flatten
 from hyetos.operators.revisions import latest_revision
 from hyetos.operators.trends import trend
 from hyetos.sources.documents import read_documents, stream_documents
 from hyetos.sources.snapshots import read_history, read_latest, read_manifest
 from hyetos.streaming import queries as streams
+from hyetos.streaming.spells import start_spells
 
 CONDITIONS = ("Sunny", "Fog", "Rain")
 
@@ -164,3 +166,89 @@ def test_revisions_follow_every_batch(spark, landing, tmp_path):
     changes = read_history(spark, root, streams.REVISIONS).drop("batch_id")
     assert changes.count() > expected.count()
     assert rows(latest_revision(changes.select(*expected.columns))) == rows(expected)
+
+
+def test_sessions_close_behind_the_watermark(spark, tmp_path):
+    landing, root = tmp_path / "landing", str(tmp_path / "job")
+    for n in range(4):
+        land(landing, f"cycle{n}", cycle(n))
+        run(streams.start_sessions(stream(spark, landing), root, delay="2 days", once=True))
+    far = at(24 * 30)
+    land(landing, "far", [document("C0", far, [(far, 40.0, 1, 1.0, "Fog")])])
+    run(streams.start_sessions(stream(spark, landing), root, delay="2 days", once=True))
+    open_still = f"session_start < timestamp '{far}'"
+    expected = alert_sessions(extreme(batch(spark, landing))).where(open_still)
+    found = read_history(spark, root, streams.SESSIONS).drop("batch_id")
+    assert rows(found) == rows(expected) and expected.count() > 2
+
+
+def fetches(spark, folder, rows_in):
+    """Land (name, hour, fetched, temp) as one file of flat forecast rows."""
+    frame = forecast_frame(spark, [(n, h, t, 5, 1.0, "x", f) for n, h, f, t in rows_in])
+    frame.coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(frame.schema).parquet(str(folder))
+
+
+def test_alerts_are_withdrawn_by_later_revisions(spark, tmp_path):
+    source, everything, root = random.Random(2), [], str(tmp_path / "job")
+    for n in range(4):
+        new = [
+            (source.choice("AB"), at(source.randrange(3)), at(n * 2 + source.randrange(0, 110) / 60), source.choice([20.0, 20.0, 40.0, None]))
+            for _ in range(60)
+        ]
+        everything += new
+        forecast = fetches(spark, tmp_path / "landing", new)
+        run(streams.start_withdrawn(forecast, root, within="20 minutes", delay="5 minutes", once=True))
+    last = at(100)
+    closing = [("Z", at(0), last, 40.0), ("Z", at(1), last, 20.0)]  # move both watermarks on
+    run(streams.start_withdrawn(fetches(spark, tmp_path / "landing", closing), root, within="20 minutes", delay="5 minutes", once=True))
+    expected = set()
+    for name, hour, fetched, temp in everything:
+        if temp == 40.0:
+            later = [f for n, h, f, t in everything if (n, h) == (name, hour) and t != 40.0 and fetched < f <= fetched + timedelta(minutes=20)]
+            expected.add((name, hour, fetched, min(later, default=None)))
+    found = streams.first_withdrawal(read_history(spark, root, streams.WITHDRAWN))
+    found = rows(found.where("name <> 'Z'"), "name", "timestamp", "fetch_time", "withdrawn_at")
+    assert found == sorted(expected, key=repr)
+    assert {r[-1] is None for r in found} == {True, False}
+
+
+def spells_by_hand(peaks, mark, quiet=2):
+    """Closed spells of {name: {hour number: peak}} for the hours closed at ``mark``."""
+    found = []
+    for name, hours in peaks.items():
+        spell = None
+        for hour in sorted(h for h in hours if h + 1 <= mark):
+            if spell and hour - spell[1] > quiet:
+                found.append((name, *spell, "quiet"))
+                spell = None
+            if spell and hours[hour] <= 25:
+                found.append((name, *spell, "calm"))
+                spell = None
+            elif spell:
+                spell = (spell[0], hour, spell[2] + 1, max(spell[3], hours[hour]))
+            elif hours[hour] > 30:
+                spell = (hour, hour, 1, hours[hour])
+        if spell and spell[1] + quiet + 1 <= mark:
+            found.append((name, *spell, "quiet"))
+    return sorted(found, key=repr)
+
+
+def test_spells_open_last_and_close_across_restarts(spark, tmp_path):
+    source, peaks, root = random.Random(6), {}, str(tmp_path / "job")
+    for n in range(3):
+        new = []
+        for name in ("A", "B", "C") if n < 2 else ("A",):  # B and C fall silent
+            for hour in range(n * 12, n * 12 + 12):
+                if source.random() > 0.35:
+                    temps = [float(source.choice([10, 26, 28, 33, 35])) for _ in range(source.choice([1, 3]))]
+                    peaks.setdefault(name, {})[hour] = max(temps)
+                    new += [(name, at(0), at(hour + source.randrange(0, 59) / 60), t) for t in temps]
+        run(start_spells(fetches(spark, tmp_path / "landing", new), root, delay="1 minute", once=True))
+        newest = max(f for _, _, f, _ in new)
+        mark = (newest - at(0) - timedelta(minutes=1)) / timedelta(hours=1)
+        found = read_history(spark, root, streams.SPELLS)
+        hours = [((r.opened - at(0)) / timedelta(hours=1), (r.last_hour - at(0)) / timedelta(hours=1)) for r in found.collect()]
+        shown = [(r.name, int(a), int(b), r.n_hours, r.peak, r.closed_by) for r, (a, b) in zip(found.collect(), hours)]
+        assert sorted(shown, key=repr) == spells_by_hand(peaks, mark)
+    assert {r[-1] for r in shown} == {"calm", "quiet"}

@@ -8,7 +8,15 @@ import pytest
 from helpers import at, forecast_frame, rows
 from pyspark.sql import functions as F
 
-from hyetos.operators.trends import modal_condition, order_trend, trend, with_window_bounds
+from hyetos.operators.trends import (
+    MEASURES,
+    modal_condition,
+    order_trend,
+    sliding_trend,
+    trend,
+    trend_cube,
+    with_window_bounds,
+)
 from hyetos.params import TrendParams
 from hyetos.schemas import TREND
 
@@ -143,3 +151,51 @@ def test_large_values_keep_their_digits(spark):
         frame = forecast_frame(spark, [("A", at(0), value, 1, 1.0, "x")], real="double")
         found = trend(frame, EXACT).first().avg_temp
         assert abs(found - value) <= 1e-9
+
+
+def random_forecast(spark, n=400):
+    source = random.Random(n)
+    rows_in = []
+    for _ in range(n):
+        time = at(source.randrange(0, 3000) / 60) if source.random() > 0.03 else None
+        reading = source.choice([None, source.randrange(-500, 4500) / 100])
+        condition = source.choice(["x", "y", "z", None])
+        rows_in.append((source.choice(["A", "A", "B", None]), time, reading, source.choice([None, 5, 9]), 0.25 * source.randrange(99), condition))
+    return forecast_frame(spark, rows_in, real="double")
+
+
+def nearly(df):
+    return rows(df.withColumns({c: F.round(c, 9) for c in ("avg_temp", "avg_humidity", "avg_wind_speed")}))
+
+
+def test_sliding_windows_are_made_of_panes(spark):
+    forecast = random_forecast(spark)
+    spread = forecast.select("*", F.window("forecast_time", "1 hour", "10 minutes").alias("w"))
+    plain = spread.withColumn("forecast_time", F.col("w.start"))
+    expected = with_window_bounds(trend(plain, TrendParams(window="10 minutes", decimals=2)))
+    expected = expected.withColumn("window_end", F.col("window_start") + F.expr("interval 1 hour"))
+    found = with_window_bounds(sliding_trend(forecast, EXACT, panes=6))
+    assert nearly(found) == nearly(expected) and found.count() > 300
+    single = with_window_bounds(sliding_trend(forecast, EXACT, panes=1))
+    assert nearly(single) == nearly(with_window_bounds(trend(forecast, EXACT)))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 2  # readings to panes, panes to blocks
+
+
+def test_cube_is_every_set_by_itself(spark):
+    forecast = random_forecast(spark)
+    found = trend_cube(forecast, [["name", "forecast_date"], ["name"], ["forecast_date"], []], EXACT)
+    expected = []
+    for grouping, own in ((0, ["name", "forecast_date"]), (1, ["name"]), (2, ["forecast_date"]), (3, [])):
+        single = trend_cube(forecast, [own], EXACT).drop("grouping")
+        for c in ("name", "forecast_date"):
+            if c not in own:
+                single = single.withColumn(c, F.lit(None).cast("string"))
+        expected += nearly(single.withColumn("grouping", F.lit(grouping)).select(*found.columns))
+    assert nearly(found) == sorted(expected, key=repr)
+    days = nearly(found.where("grouping = 2").select("forecast_date", *MEASURES))
+    by_hand = forecast.groupBy("forecast_date").agg(F.max("temp").alias("m"), F.avg("wind_speed").alias("w"))
+    assert [(r[0], r[2], r[5]) for r in days] == rows(by_hand.withColumn("w", F.round("w", 9)))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Scan") == 1 and text.count("Expand") == 1
+    assert text.index("Expand") < text.index("partial_count(1)")  # the sums are expanded, not the readings
