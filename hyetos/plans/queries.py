@@ -18,7 +18,7 @@ from hyetos.functions.timestamps import parse_timestamp, wall_clock, with_calend
 from hyetos.operators import alerts, asof, cities, daily, flatten, revisions, trends
 from hyetos.params import SliceParams, Thresholds, TrendParams
 from hyetos.plans import serving
-from hyetos.session import work_dir
+from hyetos.session import names_descending, work_dir
 from hyetos.sources import documents, events, snapshots
 from hyetos.streaming import queries as streams
 from hyetos.streaming import spells
@@ -535,6 +535,81 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, label: str) -> str:
     return root
 
 
+def _run_shared(spark: SparkSession, sf_dir: str, label: str) -> str:
+    root = work_dir(spark, label)
+    landing = f"{root}/landing"
+    table = events.read_events(spark, sf_dir)
+    most = -(-table.count() // 8)
+    documents.land_documents(events.document_view(table), landing, max(most, 1))
+    _start_shared_in_batches(spark, root, landing)
+    return root
+
+
+def _start_shared_in_batches(spark: SparkSession, root: str, landing: str, batches: int = 3) -> None:
+    """Read what has landed in about so many batches, whatever the number of files."""
+    n_files = sum(1 for _ in names_descending(spark, f"{landing}/part-*"))
+    most = max(1, -(-n_files // batches))
+    judged = documents.stream_judged(spark, landing, events.EVENT_DOCUMENT, max_files=most)
+    streams.await_all([streams.start_shared(judged, root, TREND, once=True)])
+
+
+@query("pipeline_shared_trend", f"{PIPELINE_TREND_SQL} select * from trend")
+def pipeline_shared_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trend of a stream that parses each document once for trend and alerts."""
+    root = _run_shared(spark, sf_dir, "pipeline_shared_trend")
+    return _plain_times(trends.with_window_bounds(streams.shared_trend(spark, root, TREND)))
+
+
+@query("pipeline_shared_alerts", f"{PIPELINE_SQL} {_alert_sql('hours')}")
+def pipeline_shared_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of the same stream."""
+    root = _run_shared(spark, sf_dir, "pipeline_shared_alerts")
+    found = snapshots.read_group(spark, root, streams.SHARED, streams.EXTREME)
+    return _plain_times(found.drop("batch_id"))
+
+
+# Faults by event_id modulo 50: text behind a document, two documents, half a document, another type.
+_FAULTS_SQL = """case event_id % 50 when 0 then 'not one document' when 1 then 'not one document'
+       when 2 then 'not one document' when 3 then 'forecast is of another type' end"""
+
+
+@query(
+    "quarantine",
+    f"""with {PIPELINE_SQL.removeprefix('with ')}
+select event_id, {_FAULTS_SQL} as fault, null as n_alerts from events where event_id % 50 < 4
+union all
+select null, null, count(*) from (
+  {_alert_sql('hours').replace('select name', 'select event_id, name', 1)}) where event_id % 50 >= 4""",
+)
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents of which some are damaged: those that were set aside, and the alerts of the rest."""
+    root = work_dir(spark, "quarantine")
+    table = events.read_events(spark, sf_dir)
+    docs = events.document_view(table, keep=("event_id",))
+    parts = [c for c in docs.columns if c != "event_id"]
+    named = F.col("event_id").alias("source_event")
+    text = F.to_json(F.struct(named, *parts))
+    wrong = F.to_json(F.struct(named, *[c for c in parts if c != "forecast"], F.lit("sunny").alias("forecast")))
+    kind = F.col("event_id") % 50
+    value = (
+        F.when(kind == 0, F.concat(text, F.lit(" junk")))
+        .when(kind == 1, F.concat(text, text))
+        .when(kind == 2, F.substr(text, F.lit(1), (F.length(text) / 2).cast("int")))
+        .when(kind == 3, wrong)
+        .otherwise(text)
+    )
+    most = max(1, -(-table.count() // 8))
+    writer = docs.select(value.alias("value")).write.option("maxRecordsPerFile", most)
+    writer.text(f"{root}/landing")
+    _start_shared_in_batches(spark, root, f"{root}/landing")
+    damaged = snapshots.read_group(spark, root, streams.SHARED, streams.DAMAGED)
+    counts = snapshots.group_counts(spark, root, streams.SHARED)
+    event = F.regexp_extract("text", '"source_event":(\\d+)', 1).cast("bigint")
+    n_alerts = F.sum(F.col("counts")[streams.EXTREME]).alias("n_alerts")
+    total = counts.agg(n_alerts)
+    return damaged.select(event.alias("event_id"), "fault").unionByName(total, allowMissingColumns=True)
+
+
 @query("pipeline_trend", f"{PIPELINE_TREND_SQL} select * from trend")
 def pipeline_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Array files landed, then trend and alerts as two streams; the latest trend."""
@@ -819,6 +894,23 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest.withColumn("snapshot_rows", F.lit(entry.n_rows).cast("bigint"))
 
 
+@query(
+    "compacted_history",
+    f"with {FORECAST_SQL}, {ALERT_SQL.replace('select name', 'select event_id % 7 as batch_id, name', 1)} select * from alerts",
+)
+def compacted_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven batches, compacted twice and trimmed in between, read as one history."""
+    root = work_dir(spark, "compacted_history")
+    found = alerts.extreme(_forecast(spark, sf_dir), keep=("event_id",))
+    for batch_id in range(7):
+        own = found.where(F.col("event_id") % 7 == batch_id).drop("event_id")
+        snapshots.write_snapshot(own, batch_id, root, streams.EXTREME)
+        if batch_id in (2, 4, 5):
+            snapshots.compact(spark, root, streams.EXTREME)
+            snapshots.expire(spark, root, streams.EXTREME)
+    return snapshots.read_history(spark, root, streams.EXTREME)
+
+
 @query("snapshot_json_roundtrip", f"with {TREND_SQL} select * from trend")
 def snapshot_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trend exported as JSON records and read back."""
@@ -833,6 +925,10 @@ STREAM_KEYS = {
     "serve_bounded",
     "pipeline_trend",
     "pipeline_alerts",
+    "pipeline_shared_trend",
+    "pipeline_shared_alerts",
+    "quarantine",
+    "compacted_history",
     "stream_flatten",
     "stream_trend",
     "stream_trend_bounded",

@@ -94,3 +94,9 @@ def names_descending(spark: SparkSession, pattern: str) -> Iterator[str]:
     found = file_system.globStatus(hadoop_path) or []  # sorted by path
     for position in reversed(range(len(found))):
         yield found[position].getPath().getName()
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens if there is none."""
+    file_system, hadoop_path = _hadoop_path(spark, path)
+    file_system.delete(hadoop_path, True)

@@ -143,9 +143,30 @@ def stream_documents(
     return _checked(_judged(reader, path, schema, arrays), skip_damaged)
 
 
-def land_documents(documents: DataFrame, path: str) -> None:
-    """Append documents to the landing folder, one per line."""
-    documents.write.mode("append").json(path)
+def stream_judged(
+    spark: SparkSession,
+    path: str,
+    schema: str = DOCUMENT,
+    arrays: bool = False,
+    max_files: int | None = None,
+) -> DataFrame:
+    """Like :func:`stream_documents`, with all input: file, document, text and fault.
+
+    ``document`` is a struct; ``fault`` is NULL for sound ones. Parsing happens once, so what
+    is sound and what is not can be written from one read.
+    """
+    reader = spark.readStream
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return _judged(reader, path, schema, arrays)
+
+
+def land_documents(documents: DataFrame, path: str, most_documents: int = 0) -> None:
+    """Append documents to the landing folder, one per line.
+
+    ``most_documents`` bounds the documents of a file; by default a partition is a file.
+    """
+    documents.write.mode("append").option("maxRecordsPerFile", most_documents).json(path)
 
 
 def land_arrays(documents: DataFrame, path: str, least_files: int = 1) -> None:

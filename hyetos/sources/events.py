@@ -5,6 +5,7 @@ Each event is one revision: issued at ``ts`` for the hour that contains ``ts``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -66,12 +67,13 @@ def events_between(
     return events.filter((F.col("ts") >= wall_clock(start)) & (F.col("ts") < beyond))
 
 
-def document_view(events: DataFrame) -> DataFrame:
+def document_view(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """One nested document per event, forecasting the hours of ``LEAD_HOURS``.
 
     Temperatures rise by half a degree from one lead hour to the next. A document is
     built from its own row alone, so nothing is grouped. Hours also carry their date,
-    which the declared schema does not read.
+    which the declared schema does not read. ``keep`` names columns of the forecast view to
+    carry along.
     """
     condition = F.struct(F.col("condition").alias("text"))
     readings = [condition.alias("condition"), F.col("wind_speed").alias("wind_kph"), "humidity"]
@@ -98,4 +100,5 @@ def document_view(events: DataFrame) -> DataFrame:
         F.struct(F.col("temp").alias("temp_c"), *readings).alias("current"),
         F.struct(days.alias("forecastday")).alias("forecast"),
         F.date_format("fetch_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("fetch_timestamp"),
+        *keep,
     )

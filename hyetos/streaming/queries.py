@@ -15,13 +15,15 @@ from pyspark.sql.streaming import StreamingQuery
 from hyetos.operators.alerts import alert_sessions, extreme, is_extreme
 from hyetos.operators.flatten import flatten
 from hyetos.operators.revisions import latest_revision
-from hyetos.operators.trends import merge_trend, partial_trend
+from hyetos.operators.trends import combine_partials, merge_trend, partial_trend
 from hyetos.params import Thresholds, TrendParams
 from hyetos.session import path_exists
 from hyetos.sources.snapshots import (
     checkpoint_path,
     history_path,
     read_batch,
+    read_group,
+    write_group,
     write_snapshot,
 )
 
@@ -34,6 +36,8 @@ REVISIONS = "revisions"
 SESSIONS = "sessions"
 WITHDRAWN = "withdrawn"
 SPELLS = "spells"
+SHARED = "shared"
+DAMAGED = "damaged"
 
 # A 7-day forecast reaches this far ahead of its fetch, plus a day of slack.
 HORIZON = "8 days"
@@ -234,6 +238,55 @@ def first_withdrawal(history: DataFrame) -> DataFrame:
     return history.groupBy(*own).agg(earliest).select(*own, "earliest.*")
 
 
+def start_shared(
+    judged: DataFrame,
+    root: str,
+    params: TrendParams = TrendParams(),
+    thresholds: Thresholds = Thresholds(),
+    once: bool = False,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Trend, alerts and damaged input from one read of the documents.
+
+    ``judged`` comes from ``stream_judged``. Each batch is parsed once and kept until its
+    three results are written; one manifest entry then makes all of them count, so no reader
+    sees the alerts of a batch without its trend. The trend is written as partial sums of
+    the batch, one row for each window, name and condition; :func:`shared_trend` adds them up.
+    """
+    checkpoint = checkpoint_path(root, SHARED)
+    spark = judged.sparkSession
+    if path_exists(spark, f"{root}/{SHARED}/{EXTREME}") and not path_exists(spark, checkpoint):
+        raise ValueError(f"{root}/{SHARED} has a history but no checkpoint; use a new root")
+
+    def process(batch: DataFrame, batch_id: int) -> None:
+        query_id = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        kept = batch.persist()
+        try:
+            flat = flatten(kept.where("fault is null").select("document.*"))
+            frames = {
+                TRENDS: partial_trend(flat, params),
+                EXTREME: extreme(flat, thresholds),
+                DAMAGED: kept.where("fault is not null").select("file", "fault", "text"),
+            }
+            write_group(frames, batch_id, root, SHARED, query_id)
+        finally:
+            kept.unpersist()
+
+    writer = judged.writeStream.queryName(SHARED).foreachBatch(process)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if once:
+        writer = writer.trigger(availableNow=True)
+    elif interval is not None:
+        writer = writer.trigger(processingTime=interval)
+    return writer.start()
+
+
+def shared_trend(spark: SparkSession, root: str, params: TrendParams = TrendParams()) -> DataFrame:
+    """The trend over all complete batches of :func:`start_shared`."""
+    partial = read_group(spark, root, SHARED, TRENDS)
+    return merge_trend(combine_partials(partial, "window", "name"), params)
+
+
 def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait for queries that end by themselves; a failure is raised, the others stopped."""
     waiting = list(queries)

@@ -4,10 +4,12 @@ from datetime import timedelta
 
 import pytest
 from helpers import at, forecast_frame, rows
+from pyspark.sql import functions as F
 
 from hyetos.operators.alerts import extreme
 from hyetos.operators.trends import trend, with_window_bounds
 from hyetos.schemas import ALERT
+from hyetos.sources import snapshots
 from hyetos.sources.snapshots import (
     batch_folder,
     export_records,
@@ -101,3 +103,52 @@ def test_window_forms(spark):
     assert bounds("int", 3).columns == ["name", "window"]
     plain = spark.createDataFrame([("A",)], "name string")
     assert with_record_bounds(plain).columns == ["name"]
+
+
+def test_compacted_history_is_the_same_history(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(snapshots, "MOST_SEGMENTS", 2)
+    root, readers = str(tmp_path), []
+    for n in range(9):
+        snapshots.write_snapshot(spark.range(n, n + 5).withColumn("n", F.lit(n)), n, root, "k", f"q{n}")
+        readers.append((n, snapshots.read_history(spark, root, "k")))  # files are listed here
+        if n % 2:
+            assert snapshots.compact(spark, root, "k") == n // 2
+            readers.append((n, snapshots.read_history(spark, root, "k")))
+            for upto, reader in readers[-2:]:  # one that began before the swap, one after it
+                assert reader.count() == 5 * (upto + 1)
+            if n > 3:
+                snapshots.expire(spark, root, "k")
+                assert readers[-2][1].count() == 5 * (n + 1)  # the one before the swap keeps its files
+    found = snapshots.read_history(spark, root, "k")
+    assert rows(found, "batch_id", "id", "n") == sorted([(n, i, n) for n in range(9) for i in range(n, n + 5)], key=repr)
+    entries = rows(snapshots.read_manifest(spark, root, "k"))
+    assert entries == sorted([(n, f"q{n}", 5) for n in range(9)], key=repr)
+    assert snapshots.latest_entry(spark, root, "k").batch_id == 8
+    assert len(snapshots.latest_generation(spark, root, "k").segments) <= 3
+    folders = sorted(p.name for p in (tmp_path / "k" / "history").iterdir())
+    assert len(folders) < 6 and folders[-1] == "batch_id=000000000008"
+
+
+def test_a_compacted_batch_is_not_written_again(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        snapshots.write_snapshot(spark.range(2), n, root, "k")
+    assert snapshots.compact(spark, root, "k", keep_last=0) == 0
+    assert snapshots.compact(spark, root, "k", keep_last=0) is None
+    snapshots.write_snapshot(spark.range(50), 1, root, "k")
+    assert snapshots.read_history(spark, root, "k").count() == 6
+    snapshots.expire(spark, root, "k")  # nothing before the first generation is removed
+    assert len(list((tmp_path / "k" / "history").iterdir())) == 3
+
+
+def test_half_written_batches_and_generations_are_not_seen(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        snapshots.write_snapshot(spark.range(2), n, root, "k")
+    spark.range(9).write.parquet(f"{root}/k/history/batch_id=000000000003")  # without an entry
+    (tmp_path / "k" / "generations" / "gen=000000000000").mkdir(parents=True)  # nothing in it yet
+    assert snapshots.latest_generation(spark, root, "k") is None
+    assert snapshots.read_history(spark, root, "k").count() == 6
+    with pytest.raises(Exception):
+        snapshots.compact(spark, root, "k")  # another compaction holds that number
+    assert snapshots.read_history(spark, root, "k").count() == 6

@@ -8,8 +8,17 @@ from hyetos.operators.alerts import alert_sessions, extreme
 from hyetos.operators.flatten import flatten
 from hyetos.operators.revisions import latest_revision
 from hyetos.operators.trends import trend
-from hyetos.sources.documents import read_documents, stream_documents
-from hyetos.sources.snapshots import read_history, read_latest, read_manifest
+from hyetos.sources.documents import read_documents, stream_documents, stream_judged
+from hyetos.sources.snapshots import (
+    compact,
+    expire,
+    group_counts,
+    read_group,
+    read_history,
+    read_latest,
+    read_manifest,
+    write_group,
+)
 from hyetos.streaming import queries as streams
 from hyetos.streaming.spells import start_spells
 
@@ -252,3 +261,53 @@ def test_spells_open_last_and_close_across_restarts(spark, tmp_path):
         shown = [(r.name, int(a), int(b), r.n_hours, r.peak, r.closed_by) for r, (a, b) in zip(found.collect(), hours)]
         assert sorted(shown, key=repr) == spells_by_hand(peaks, mark)
     assert {r[-1] for r in shown} == {"calm", "quiet"}
+
+
+def test_one_read_serves_trend_alerts_and_damage(spark, landing, tmp_path):
+    root = str(tmp_path / "job")
+    (landing / "broken.json").write_text('[{"location": 3}, {"location": {"name": "C0"}}]')
+    (landing / "cut.json").write_text('[{"location": ')
+
+    def go():
+        judged = stream_judged(spark, str(landing), arrays=True, max_files=2)
+        run(streams.start_shared(judged, root, once=True))
+
+    go()
+    land(landing, "later", cycle(9))
+    go()  # goes on from its checkpoint
+    sound = flatten(read_documents(spark, str(landing), arrays=True, skip_damaged=True))
+    expected = trend(sound)
+    assert rows(streams.shared_trend(spark, root), *expected.columns) == rows(expected)
+    found = read_group(spark, root, streams.SHARED, streams.EXTREME)
+    assert rows(found.drop("batch_id")) == rows(extreme(sound)) and found.select("batch_id").distinct().count() > 2
+    damaged = read_group(spark, root, streams.SHARED, streams.DAMAGED)
+    assert rows(damaged, "fault", "text") == [("location is of another type", '{"location":3}'), ("not one array", '[{"location": ')]
+    counts = group_counts(spark, root, streams.SHARED).collect()
+    assert sum(r.counts[streams.DAMAGED] for r in counts) == 2
+    assert sum(r.counts[streams.EXTREME] for r in counts) == found.count()
+
+
+def test_a_batch_counts_once_all_its_results_are_there(spark, landing, tmp_path):
+    root = tmp_path / "job"
+    judged = stream_judged(spark, str(landing), arrays=True)
+    run(streams.start_shared(judged, str(root), once=True))
+    before = read_group(spark, str(root), streams.SHARED, streams.EXTREME).count()
+    half = root / streams.SHARED / streams.EXTREME / "history" / "batch_id=000000000007"
+    read_group(spark, str(root), streams.SHARED, streams.EXTREME).drop("batch_id").write.parquet(str(half))
+    assert read_group(spark, str(root), streams.SHARED, streams.EXTREME).count() == before > 0
+    write_group({streams.EXTREME: spark.range(5)}, 0, str(root), streams.SHARED)  # complete: not written again
+    assert read_group(spark, str(root), streams.SHARED, streams.EXTREME).count() == before
+
+
+def test_a_stream_goes_on_after_its_history_is_compacted(spark, landing, tmp_path):
+    root = str(tmp_path / "job")
+    run(streams.start_alerts(stream(spark, landing, max_files=1), root, once=True))
+    assert compact(spark, root, streams.EXTREME, keep_last=0) == 0
+    for n in (9, 11):
+        land(landing, f"later{n}", cycle(n))
+        run(streams.start_alerts(stream(spark, landing), root, once=True))
+        compact(spark, root, streams.EXTREME)
+        expire(spark, root, streams.EXTREME)
+    found = read_history(spark, root, streams.EXTREME)
+    assert rows(found.drop("batch_id")) == rows(extreme(batch(spark, landing)))
+    assert found.select("batch_id").distinct().count() == 6
