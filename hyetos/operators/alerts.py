@@ -26,6 +26,15 @@ def is_extreme(thresholds: Thresholds = Thresholds()) -> Column:
     )
 
 
+def alert_type(thresholds: Thresholds = Thresholds()) -> Column:
+    """The first alert type that applies to a forecast hour, or NULL."""
+    return (
+        F.when(F.col("temp") > thresholds.high_temp, HIGH_TEMPERATURE)
+        .when(F.col("temp") < thresholds.low_temp, LOW_TEMPERATURE)
+        .when(F.col("wind_speed") > thresholds.high_wind, HIGH_WIND)
+    )
+
+
 def extreme(
     forecast: DataFrame, thresholds: Thresholds = Thresholds(), keep: Sequence[str] = ()
 ) -> DataFrame:
@@ -34,18 +43,12 @@ def extreme(
     A NULL reading neither raises nor hides an alert of the other reading. ``keep``
     names further columns to carry along.
     """
-    hot = F.col("temp") > thresholds.high_temp
-    cold = F.col("temp") < thresholds.low_temp
-    windy = F.col("wind_speed") > thresholds.high_wind
     return forecast.filter(is_extreme(thresholds)).select(
         "name",
         F.col("forecast_time").alias("timestamp"),
         F.col("temp").alias("temperature"),
         "wind_speed",
-        F.when(hot, HIGH_TEMPERATURE)
-        .when(cold, LOW_TEMPERATURE)
-        .when(windy, HIGH_WIND)
-        .alias("alert_type"),
+        alert_type(thresholds).alias("alert_type"),
         *keep,
     )
 
@@ -84,6 +87,11 @@ def first_alert(alerts: DataFrame) -> DataFrame:
     Alerts without a time come last. Rows are first reduced per hour and type, which
     hashes on numbers, before the minimum over structs.
     """
+    return _first(alerts)
+
+
+def _first(alerts: DataFrame) -> DataFrame:
+    """The first alert of every name; rows whose type is NULL only make their name appear."""
     per_hour = alerts.groupBy("name", "timestamp", "alert_type").agg(
         F.min(alert_value()).alias("alert_value")
     )
@@ -99,7 +107,7 @@ def first_alert(alerts: DataFrame) -> DataFrame:
     )
     return (
         per_hour.groupBy("name")
-        .agg(F.min(order).alias("first"))
+        .agg(F.min(F.when(F.col("alert_type").isNotNull(), order)).alias("first"))
         .select(
             "name",
             F.col("first.timestamp").alias("alert_time"),
@@ -110,6 +118,22 @@ def first_alert(alerts: DataFrame) -> DataFrame:
     )
 
 
+def forecast_alerts(forecast: DataFrame, thresholds: Thresholds = Thresholds()) -> DataFrame:
+    """:func:`alert_summary` of every name in ``forecast``, which is read once.
+
+    Hours without an alert fall together in one row per name before the shuffle.
+    """
+    found = alert_type(thresholds)
+    typed = forecast.select(
+        "name",
+        F.when(found.isNotNull(), F.col("forecast_time")).alias("timestamp"),
+        F.col("temp").alias("temperature"),
+        "wind_speed",
+        found.alias("alert_type"),
+    )
+    return _first(typed)
+
+
 def alert_summary(alerts: DataFrame, cities: DataFrame) -> DataFrame:
     """One row per name in ``cities``; the alert columns are NULL where there is none."""
     return cities.select("name").join(first_alert(alerts), "name", "left")

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hyetos.functions.conditions import GLYPHS, OTHER, RULES, UNKNOWN, with_condition_class
 from hyetos.functions.timestamps import parse_timestamp, wall_clock, with_calendar_parts
-from hyetos.operators import alerts, asof, cities, daily, flatten, revisions, trends
+from hyetos.operators import alerts, asof, cities, daily, flatten, revisions, sketches, trends
 from hyetos.params import SliceParams, Thresholds, TrendParams
 from hyetos.plans import serving
 from hyetos.session import names_descending, work_dir
@@ -231,6 +231,42 @@ def timestamp_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(texts.withColumn("fetch_time", parse_timestamp(F.col("text"))))
 
 
+# Forms of time text by event_id modulo 8.
+@query(
+    "timestamp_forms",
+    """select event_id, text, case when k in (5, 6, 7) then null when k = 2 then date_trunc('day', ts)
+         when k in (1, 3) then date_trunc('minute', ts) when k = 4 then ts - interval '2 hours 30 minutes'
+         else ts end as parsed
+from (select event_id, ts, k, case k
+        when 0 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ')
+        when 1 then strftime(ts, '%Y-%m-%d %H:%M')
+        when 2 then strftime(ts, '%Y-%m-%d')
+        when 3 then strftime(ts, '%Y-%m-%dT%H:%M')
+        when 4 then strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+02:30')
+        when 5 then strftime(ts, '%H:%M:%S')
+        when 6 then strftime(ts, '%d.%m.%Y %H:%M')
+        else '' end as text
+      from (select *, event_id % 8 as k from events))""",
+)
+def timestamp_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates, minutes, zones and offsets; a time alone, another order and no text are none."""
+    kind = F.col("event_id") % 8
+    patterns = {
+        0: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'",
+        1: "yyyy-MM-dd HH:mm",
+        2: "yyyy-MM-dd",
+        3: "yyyy-MM-dd'T'HH:mm",
+        4: "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:30'",
+        5: "HH:mm:ss",
+        6: "dd.MM.yyyy HH:mm",
+    }
+    text = F.lit("")
+    for number, pattern in patterns.items():
+        text = F.when(kind == number, F.date_format("ts", pattern)).otherwise(text)
+    texts = events.read_events(spark, sf_dir).select("event_id", text.alias("text"))
+    return _plain_times(texts.withColumn("parsed", parse_timestamp(F.col("text"))))
+
+
 @query(
     "calendar_parts",
     f"""with {FORECAST_SQL}
@@ -642,6 +678,20 @@ def dedup_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Alerts
 
 
+@query(
+    "alert_summary_join",
+    f"""with {FORECAST_SQL}, {ALERT_SQL}, {FIRST_ALERT_SQL}
+select cities.name, alert_time, alert_type, alert_value, alert_unit
+from (select distinct name from forecast) as cities
+left join first_alert on cities.name = first_alert.name""",
+)
+def alert_summary_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same summary for given names and alerts, by a join."""
+    forecast = _forecast(spark, sf_dir)
+    names = forecast.select("name").distinct()
+    return alerts.alert_summary(alerts.extreme(forecast), names)
+
+
 @query("extreme_alerts", f"with {FORECAST_SQL} {_alert_sql('forecast')}")
 def extreme_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.extreme(_forecast(spark, sf_dir))
@@ -664,9 +714,7 @@ from (select distinct name from forecast) as cities
 left join first_alert on cities.name = first_alert.name""",
 )
 def alert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forecast = _forecast(spark, sf_dir)
-    names = forecast.select("name").distinct()
-    return alerts.alert_summary(alerts.extreme(forecast), names)
+    return alerts.forecast_alerts(_forecast(spark, sf_dir))
 
 
 @query("alert_sessions", f"with {FORECAST_SQL}, {ALERT_SQL}, {SESSION_SQL} select * from sessions")
@@ -874,6 +922,105 @@ def condition_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_condition_class(texts, "common_condition")
 
 
+# All patterns in five forms: as they are, upper case, lower case, inside a text, before another.
+# The oracle is written out by hand: its own list of exact texts, and the few words that decide otherwise.
+CONDITION_FORMS_SQL = """
+with exact(place, pattern, class) as (values
+  (0, 'Sunny', 'clear'), (1, 'Clear', 'clear'), (2, 'Partly cloudy', 'partly_cloudy'),
+  (3, 'Partly Cloudy', 'partly_cloudy'), (4, 'Cloudy', 'cloudy'), (5, 'Overcast', 'cloudy'),
+  (6, 'Mist', 'fog'), (7, 'Fog', 'fog'), (8, 'Freezing fog', 'freezing_fog'),
+  (9, 'Patchy rain possible', 'showers'), (10, 'Light rain', 'rain'), (11, 'Light rain shower', 'rain'),
+  (12, 'Moderate rain', 'rain'), (13, 'Heavy rain', 'rain'), (14, 'Heavy rain at times', 'rain'),
+  (15, 'Moderate or heavy rain shower', 'rain'), (16, 'Torrential rain shower', 'rain'),
+  (17, 'Rain', 'rain'), (18, 'Drizzle', 'rain'), (19, 'Thundery outbreaks possible', 'thunder'),
+  (20, 'Patchy light rain with thunder', 'thunder'), (21, 'Moderate or heavy rain with thunder', 'thunder'),
+  (22, 'Thunderstorm', 'thunder'), (23, 'Patchy snow possible', 'snow'), (24, 'Patchy light snow', 'snow'),
+  (25, 'Light snow', 'snow'), (26, 'Patchy moderate snow', 'snow'), (27, 'Moderate snow', 'snow'),
+  (28, 'Patchy heavy snow', 'heavy_snow'), (29, 'Heavy snow', 'heavy_snow'), (30, 'Blizzard', 'heavy_snow'),
+  (31, 'Blowing snow', 'blowing_snow'), (32, 'Patchy light rain with snow', 'rain_and_snow'),
+  (33, 'Moderate or heavy rain with snow', 'rain_and_snow'), (34, 'Light sleet', 'sleet'),
+  (35, 'Moderate or heavy sleet', 'sleet'), (36, 'Ice pellets', 'ice'),
+  (37, 'Light sleet showers', 'sleet'), (38, 'Moderate or heavy sleet showers', 'sleet')),
+texts as (
+  select event_id, case event_id // 39 % 5 when 0 then p.pattern when 1 then upper(p.pattern)
+           when 2 then lower(p.pattern) when 3 then 'so ' || p.pattern || ' it is'
+           else p.pattern || ' then ' || lower(o.pattern) end as text
+  from events join exact as p on p.place = event_id % 39 join exact as o on o.place = event_id // 195 % 39)
+select event_id, text as common_condition, coalesce(e.class, case
+    when l like '%sunny%' or l like '%clear%' then 'clear'
+    when l like '%partly cloudy%' then 'partly_cloudy'
+    when l like '%cloudy%' or l like '%overcast%' then 'cloudy'
+    when l like '%mist%' or l like '%fog%' then 'fog'
+    when l like '%patchy rain possible%' then 'showers'
+    when l like '%rain%' or l like '%drizzle%' then 'rain'
+    when l like '%thundery outbreaks possible%' or l like '%thunderstorm%' then 'thunder'
+    when l like '%patchy snow possible%' or l like '%light snow%' or l like '%moderate snow%' then 'snow'
+    when l like '%heavy snow%' or l like '%blizzard%' then 'heavy_snow'
+    when l like '%blowing snow%' then 'blowing_snow'
+    when l like '%light sleet%' or l like '%moderate or heavy sleet%' then 'sleet'
+    when l like '%ice pellets%' then 'ice' else 'other' end) as condition_class
+from (select *, lower(text) as l from texts) left join exact as e on text = e.pattern
+"""
+
+
+@query("condition_forms", CONDITION_FORMS_SQL)
+def condition_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    patterns = F.array(*[F.lit(pattern) for pattern, _ in RULES])
+    event = F.col("event_id")
+    form = F.floor(event / len(RULES)) % 5
+    own = F.get(patterns, (event % len(RULES)).cast("int"))
+    other = F.get(patterns, (F.floor(event / (5 * len(RULES))) % len(RULES)).cast("int"))
+    text = (
+        F.when(form == 0, own)
+        .when(form == 1, F.upper(own))
+        .when(form == 2, F.lower(own))
+        .when(form == 3, F.concat(F.lit("so "), own, F.lit(" it is")))
+        .otherwise(F.concat(own, F.lit(" then "), F.lower(other)))
+    )
+    texts = events.read_events(spark, sf_dir).select("event_id", text.alias("common_condition"))
+    return with_condition_class(texts, "common_condition").drop("condition_glyph")
+
+
+# Sketches
+
+
+@query(
+    "sketch_daily",
+    f"""with {FORECAST_SQL}
+select forecast_date, count(*) as n_rows, count(distinct name) as n_locations,
+       true as median_within, true as p95_within from forecast group by forecast_date""",
+)
+def sketch_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of five batches, stored and merged, and whether their quantiles are within the bound.
+
+    A quantile is within it if the share of the day's readings below it, and up to it, enclose its
+    rank but for the stated error.
+    """
+    root = work_dir(spark, "sketch_daily")
+    forecast = _forecast(spark, sf_dir)
+    for batch_id in range(5):
+        own = forecast.where(F.col("event_id") % 5 == batch_id)
+        snapshots.write_snapshot(sketches.daily_sketches(own), batch_id, root, "sketches")
+    merged = sketches.merged_sketches(snapshots.read_history(spark, root, "sketches"))
+    ranks = {"median": 0.5, "p95": 0.95}
+    found = sketches.read_sketches(merged, ranks)
+    day = F.col("forecast_date") == F.col("day")
+    readings = forecast.select(F.col("forecast_date").alias("day"), "temp")
+    shares = []
+    for name in ranks:
+        shares.append(F.avg((F.col("temp") < F.col(name)).cast("double")).alias(f"{name}_below"))
+        shares.append(F.avg((F.col("temp") <= F.col(name)).cast("double")).alias(f"{name}_up_to"))
+    measured = found.join(readings, day).groupBy(*found.columns).agg(*shares)
+    within = [
+        (
+            (F.col(f"{name}_below") <= rank + sketches.RANK_ERROR)
+            & (F.col(f"{name}_up_to") >= rank - sketches.RANK_ERROR)
+        ).alias(f"{name}_within")
+        for name, rank in ranks.items()
+    ]
+    return measured.select("forecast_date", "n_rows", "n_locations", *within)
+
+
 # Snapshots
 
 
@@ -929,6 +1076,7 @@ STREAM_KEYS = {
     "pipeline_shared_alerts",
     "quarantine",
     "compacted_history",
+    "sketch_daily",
     "stream_flatten",
     "stream_trend",
     "stream_trend_bounded",

@@ -11,6 +11,7 @@ from hyetos.operators.alerts import (
     extreme,
     extreme_latest,
     first_alert,
+    forecast_alerts,
 )
 from hyetos.params import Thresholds
 from hyetos.schemas import ALERT
@@ -124,3 +125,21 @@ def test_sessions_are_runs_of_hours(spark):
     for combine in (True, False):
         assert rows(alert_sessions(alerts, combine=combine)) == sorted(expected, key=repr)
     assert alert_sessions(alerts.limit(0)).collect() == []
+
+
+def test_summary_of_one_read_is_the_joined_one(spark):
+    source = random.Random(8)
+    rows_in = [
+        (
+            source.choice(["A", "B", "C", None]), at(source.randrange(9)) if source.random() > 0.1 else None,
+            source.choice([None, 10.0, 31.0, -3.0, 40.0]), 5, source.choice([None, 1.0, 30.0]), "x",
+        )
+        for _ in range(200)
+    ] + [("calm", at(0), 10.0, 5, 1.0, "x"), ("unknown", at(0), None, 5, None, "x")]
+    forecast = forecast_frame(spark, rows_in)
+    found = forecast_alerts(forecast)
+    joined = alert_summary(extreme(forecast), forecast.select("name").distinct().where("name is not null"))
+    assert rows(found.where("name is not null"), *joined.columns) == rows(joined)
+    assert found.where("name is null").count() == 1  # the join has no row for it
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and text.count("Scan") == 1
