@@ -34,6 +34,9 @@ LEAST_Z = 3.0
 LEAST_FEATURES = 200
 BUCKETS = 1 << 20
 GRAM = 5
+BLOCK = 1024
+#: Tasks that the sample is spread over.
+SPREAD = 32
 MAX_CACHED = 400_000
 
 #: Terms of one group can stand for each other in a neutral sentence.
@@ -76,6 +79,8 @@ def word_features(word: str) -> list[int]:
 class Model:
     bias: float
     weights: dict[int, float] = field(default_factory=dict)
+    #: Log odds of a text without a word: those of the training texts.
+    base: float | None = None
 
     def scorer(self):
         """A function from text to score that remembers the features of words."""
@@ -85,7 +90,8 @@ class Model:
             if len(known) > MAX_CACHED:
                 known.clear()
             present: set[int] = set()
-            for word in words(text):
+            found = words(text)
+            for word in found:
                 own = known.get(word)
                 if own is None:
                     own = tuple(f for f in word_features(word) if f in self.weights)
@@ -93,11 +99,19 @@ class Model:
                 if own:
                     present.update(own)
             raw = self.bias + sum(self.weights[f] for f in sorted(present))
+            if not found and self.base is not None:
+                raw = self.base
             return float(1 / (1 + np.exp(-np.clip(raw, -30, 30))))
 
         return score
 
 
+def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The owner and the number of every feature of some rows, four bytes each."""
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    return owner, np.concatenate([*rows, np.zeros(0, np.int32)]).astype(np.int32)
+
+
 def fit(
     rows: list[np.ndarray],
     swapped: list[np.ndarray],
@@ -110,32 +124,32 @@ def fit(
     """Logistic regression on rows of feature numbers below ``size``.
 
     ``swapped`` holds the rows after the swap; where they differ, ``penalty`` times the
-    squared difference of the raw scores is added to the loss. Adam, full batches.
+    squared difference of the raw scores is added to the loss. Adam, full batches, added
+    up over blocks of ``BLOCK`` rows.
     """
-
-    def flat(all_rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        counts = [len(r) for r in all_rows]
-        owner = np.repeat(np.arange(len(all_rows)), counts)
-        return owner, np.concatenate([*all_rows, np.zeros(0, np.int64)]).astype(np.int64)
-
     n = len(labels)
-    owner, feature = flat(rows)
     differ = [i for i in range(n) if not np.array_equal(rows[i], swapped[i])]
-    from_owner, from_feature = flat([rows[i] for i in differ])
-    to_owner, to_feature = flat([swapped[i] for i in differ])
+    blocks = [(i, _flat(rows[i : i + BLOCK])) for i in range(0, n, BLOCK)]
+    pairs = [
+        (_flat([rows[i] for i in part]), _flat([swapped[i] for i in part]), len(part))
+        for part in (differ[i : i + BLOCK] for i in range(0, len(differ), BLOCK))
+    ]
     theta = np.zeros(size + 1)
     base = np.clip(labels.mean(), 1e-3, 1 - 1e-3)
     theta[-1] = np.log(base / (1 - base))
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, steps + 1):
         weights = theta[:-1]
-        raw = theta[-1] + np.bincount(owner, weights[feature], n)
-        error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - labels) / n
-        gradient = np.append(np.bincount(feature, error[owner], size), error.sum())
-        gradient[:-1] += ridge * weights
-        if differ:
-            gap = np.bincount(from_owner, weights[from_feature], len(differ))
-            gap -= np.bincount(to_owner, weights[to_feature], len(differ))
+        gradient = np.append(ridge * weights, 0.0)
+        for start, (owner, feature) in blocks:
+            own = labels[start : start + BLOCK]
+            raw = theta[-1] + np.bincount(owner, weights[feature], len(own))
+            error = (1 / (1 + np.exp(-np.clip(raw, -30, 30))) - own) / n
+            gradient[:-1] += np.bincount(feature, error[owner], size)
+            gradient[-1] += error.sum()
+        for (from_owner, from_feature), (to_owner, to_feature), count in pairs:
+            gap = np.bincount(from_owner, weights[from_feature], count)
+            gap -= np.bincount(to_owner, weights[to_feature], count)
             pull = 2 * penalty * gap / n
             gradient[:-1] += np.bincount(from_feature, pull[from_owner], size)
             gradient[:-1] -= np.bincount(to_feature, pull[to_owner], size)
@@ -152,7 +166,7 @@ def least_texts(toxic_texts: int) -> int:
 
 def sample_of(labels: DataFrame, rows: int) -> DataFrame:
     """About ``rows`` labelled rows, surely at most a quarter more, chosen by hash of doc_id."""
-    known = labels.where("toxic is not null and doc_id is not null").select("doc_id", "toxic")
+    known = labels.where("toxic in (0, 1) and doc_id is not null").select("doc_id", "toxic")
     share = min(1.0, rows / max(1, known.count()))
     spread = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 30))
     return known.where(spread < int(share * (1 << 30))).limit(rows + rows // 4)
@@ -168,17 +182,19 @@ def train(
     """Fit on the texts of ``docs`` whose doc_id has a label in ``labels`` (doc_id, toxic).
 
     Without labelled texts, or with one class only, the model is a constant near the share
-    of toxic texts, and near 0.05 if there are none. NULL labels and doc_ids teach nothing.
+    of toxic texts, and near 0.05 if there are none. Labels other than 0 and 1 and NULL doc_ids
+    teach nothing; repeated labels count as often as they are there. Where many rows have one
+    doc_id, about 2 x ``rows`` of all labelled rows are taken.
     Two classes whose texts share no feature are an error.
     """
     chosen = F.broadcast(sample_of(labels, rows))  # at most 1.25 x ``rows`` rows
-    sample = stored(
-        docs.select("doc_id", full_text().alias("text"))
-        .join(chosen, "doc_id")
-        .select("text", F.col("toxic").cast("int").alias("toxic"))
-        .limit(2 * rows),
-        "toxicity-sample",
-    )
+    found = docs.select("doc_id", full_text().alias("text")).join(chosen, "doc_id")
+    matches = docs.select("doc_id").join(chosen, "doc_id").count()
+    if matches > 2 * rows:
+        draw = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30))
+        found = found.where(draw < int(2 * rows / matches * (1 << 30)))
+    sample = found.select("text", F.col("toxic").cast("int").alias("toxic"))
+    sample = stored(sample.repartition(SPREAD), "toxicity-sample")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals = np.zeros((2, BUCKETS), np.int64)
@@ -203,7 +219,7 @@ def train(
     texts = F.col("clean") + F.col("toxic")
     z = (F.col("toxic") - texts * share) / F.sqrt(texts * share * (1 - share))
     ranked = (
-        sample.coalesce(8).mapInArrow(count, "feature long, clean long, toxic long")
+        sample.mapInArrow(count, "feature long, clean long, toxic long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
         .where(texts >= least_texts(toxic_texts))
@@ -219,30 +235,25 @@ def train(
     swap = swaps(groups)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def row(found: Iterable[str]) -> list[int]:
-            return sorted({numbers[f] for w in found for f in word_features(w) if f in numbers})
+        def row(found: Iterable[str]) -> bytes:
+            own = {numbers[f] for w in found for f in word_features(w) if f in numbers}
+            return np.array(sorted(own), np.int32).tobytes()
 
-        kind = pa.list_(pa.int64())
         for batch in slices(batches):
             found = [words(t) for t in batch.column(0).to_pylist()]
             plain = [row(w) for w in found]
-            other = [row({swap.get(x, x) for x in w}) if w & swap.keys() else p
-                     for w, p in zip(found, plain, strict=True)]
+            other = [row({swap.get(x, x) for x in w}) if w & swap.keys() else None for w in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(plain, kind), pa.array(other, kind), batch.column(1)],
+                [pa.array(plain, pa.binary()), pa.array(other, pa.binary()), batch.column(1)],
                 names=["plain", "other", "toxic"],
             )
 
-    ddl = "plain array<long>, other array<long>, toxic int"
-    rows_of = sample.mapInArrow(features, ddl).collect()  # the bounded sample
-    bias, weights = fit(
-        [np.array(r.plain, np.int64) for r in rows_of],
-        [np.array(r.other, np.int64) for r in rows_of],
-        np.array([r.toxic for r in rows_of], float),
-        len(numbers),
-        penalty,
-    )
-    return Model(bias, {f: float(weights[i]) for f, i in numbers.items()})
+    # the bounded sample: four bytes a feature, the swapped row only where there is one
+    taken = sample.mapInArrow(features, "plain binary, other binary, toxic int").toPandas()
+    plain = [np.frombuffer(p, np.int32) for p in taken["plain"]]
+    other = [p if o is None else np.frombuffer(o, np.int32) for p, o in zip(plain, taken["other"], strict=True)]
+    bias, weights = fit(plain, other, taken["toxic"].to_numpy(float), len(numbers), penalty)
+    return Model(bias, {f: float(weights[i]) for f, i in numbers.items()}, constant.bias)
 
 
 def score(

@@ -148,6 +148,28 @@ def test_far_lines_of_one_bucket_lose_no_link(spark, monkeypatch):
     assert sum(r[-1] for r in found) == 200
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_lines_in_between_lose_no_link(spark, monkeypatch, seed):
+    # walks away from a few texts, in one bucket: near, in between and far of every pivot
+    monkeypatch.setattr(line_dedup, "_bands", lambda columns: F.array(F.lit(1)))
+    monkeypatch.setattr(line_dedup, "SMALL", 4)
+    monkeypatch.setattr(line_dedup, "HELPERS", 2)
+    source, lines = random.Random(seed), []
+    for _ in range(4):
+        start = source.choices("abcdefghijklmnopqrstuvwxyz", k=160)
+        for _ in range(6):
+            walk = list(start)
+            for _ in range(source.randint(1, 8)):
+                for _ in range(source.randint(1, 2)):
+                    walk[source.randrange(160)] = source.choice("ABCDEF0123456789")
+                lines.append("".join(walk))
+    rows = list(enumerate(lines + source.sample(lines, 10)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in line_dedup.line_classes(docs).collect()]
+    expected = line_expectation(rows)
+    assert sorted(found) == sorted(expected) and 4 < sum(r[-1] for r in expected) < len(rows) - 20
+
+
 def test_documents_without_repeated_lines(spark, no_docs):
     rows = [(1, "One line of text here\n\nanother line", 9, "x"), (2, "ONE line of text here ", 9, "y"),
             (3, "fresh words\none line of text here", 9, None), (4, None, 9, "n"), (5, "", 9, ""),

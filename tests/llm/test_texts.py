@@ -192,3 +192,24 @@ def test_default_penalty_lowers_neutral_mentions(spark):
         one, two = toxicity.score(neutral, toxicity.train(docs, labels, **options)).orderBy("doc_id").collect()
         gap[name] = abs(one.score - two.score)
     assert gap["default"] < gap["none"] / 2
+
+
+def test_other_labels_teach_nothing_and_texts_without_words_stand_at_the_base_rate(spark, make_docs):
+    texts = [f"{' '.join(invented(i, 8))} {'vile' if i < 12 else 'kind'}word" for i in range(40)]
+    docs = make_docs([*texts, "", None, "12 !"])
+    labels = [(i, int(i < 12)) for i in range(40)]
+    odd = [(1, 2), (2, -1), (3, None), (None, 1), (99, 1)]
+    frames = [spark.createDataFrame(rows, "doc_id long, toxic int") for rows in (labels, labels + odd)]
+    one, two = (toxicity.score(docs, toxicity.train(docs, f)).orderBy("doc_id").collect() for f in frames)
+    assert [r.score for r in one] == pytest.approx([r.score for r in two])
+    assert [r.predicted for r in one] == [1] * 12 + [0] * 31
+    assert [r.score for r in one[40:]] == pytest.approx([13 / 60] * 3)
+
+
+def test_a_repeated_doc_id_does_not_outgrow_the_sample(spark, make_docs):
+    texts = [f"{' '.join(invented(i, 8))} {'vile' if i % 2 else 'kind'}word" for i in range(60)]
+    docs = make_docs(texts).union(make_docs(["hot kindword"] * 400).withColumn("doc_id", F.lit(0)))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, rows=100)
+    scores = {r.doc_id: r.score for r in toxicity.score(make_docs(texts), model).collect()}
+    assert np.mean([scores[i] > scores[j] for i in range(1, 60, 2) for j in range(0, 60, 2)]) > 0.9
