@@ -1,8 +1,8 @@
 """Forecast documents as JSON files, read in batch or as a stream.
 
-A file holds one document per line, as :func:`land_documents` writes them, and large files
-are split. Files that hold one JSON array each must be asked for (``arrays``); one task
-reads such a file. Either way, input of the other form and damaged input is an error, not
+A file holds one document per line, as :func:`land_documents` writes them, or one array of
+documents per line, and large files are split. Files that hold one JSON array over several
+lines must be asked for (``arrays``); one task reads such a file. Either way, input of the other form and damaged input is an error, not
 a shorter result, unless ``skip_damaged`` is set; :func:`read_damaged` lists it. Damaged is
 text that is not exactly one document (or array), such as documents glued together or text
 behind one, a document that is no object, and one whose ``location``, ``forecast``, days or
@@ -60,42 +60,43 @@ def _judged(reader, path: str, schema: str, arrays: bool) -> DataFrame:
     if arrays:
         reader = reader.option("wholetext", True)
     texts = reader.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    kind = ArrayType(ArrayType(fields) if arrays else fields)
     # within brackets the text must be one value, from its first character to its last
-    value = F.from_json(F.concat(F.lit("["), "value", F.lit("]")), kind)
-    parsed = texts.where("trim(value) <> ''").select("value", "file", value.alias("parsed"))
+    within = F.concat(F.lit("["), "value", F.lit("]"))
+    array = F.from_json(within, ArrayType(ArrayType(fields)))
+    parsed = texts.where("trim(value) <> ''")
+    if arrays:
+        parsed = parsed.withColumn("single", F.lit(None).cast(ArrayType(fields)))
+    else:
+        parsed = parsed.withColumn("single", F.from_json(within, ArrayType(fields)))
+        array = F.when(F.col("single").isNull() & F.ltrim("value").startswith("["), array)
+    parsed = parsed.withColumn("array", array)
+    parsed = parsed.withColumn(
+        "documents",
+        F.when(F.size("single") == 1, F.col("single")).when(F.size("array") == 1, F.get("array", F.lit(0))),
+    )
+
+    def lacks(document: Column) -> Column:
+        lacking = document.isNull()
+        for part in PARTS:
+            if _has(fields, part):
+                lacking = lacking | _missing(document, part)
+        return lacking
+
+    own = F.when(F.col("single").isNotNull(), F.array("value"))
+    own = own.otherwise(F.from_json("value", "array<string>"))
+    parsed = parsed.withColumn("texts", F.when(F.exists("documents", lacks), own))
 
     def entry(document: Column, text: Column, fault: Column) -> Column:
         return F.struct(document.alias("document"), text.alias("text"), fault.alias("fault"))
 
-    def whole(fault: str) -> Column:
-        return F.array(entry(F.lit(None).cast(fields), F.col("value"), F.lit(fault)))
-
-    documents, text = F.col("parsed"), F.col("value")
-    if arrays:
-        documents = F.get("parsed", F.lit(0))
-
-        def lacks(document: Column) -> Column:
-            lacking = document.isNull()
-            for part in PARTS:
-                if _has(fields, part):
-                    lacking = lacking | _missing(document, part)
-            return lacking
-
-        texts_of = F.when(F.exists(documents, lacks), F.from_json("value", "array<string>"))
-        parsed = parsed.withColumn("texts", texts_of)
-        entries = F.transform(
-            documents,
-            lambda d, i: entry(d, F.get("texts", i), _fault(d, F.get("texts", i), fields)),
-        )
-    else:
-        entries = F.transform(documents, lambda d: entry(d, text, _fault(d, text, fields)))
     what = "array" if arrays else "document"
-    entries = (
-        F.when(F.col("parsed").isNull() | (arrays & documents.isNull()), whole(f"not one {what}"))
-        .when(F.size("parsed") != 1, whole(f"not one {what}"))
-        .otherwise(entries)
-    )
+    whole = F.array(entry(F.lit(None).cast(fields), F.col("value"), F.lit(f"not one {what}")))
+
+    def judged(document: Column, place: Column) -> Column:
+        text = F.get("texts", place)
+        return entry(document, text, _fault(document, text, fields))
+
+    entries = F.when(F.col("documents").isNull(), whole).otherwise(F.transform("documents", judged))
     # a generator, so that no filter is moved below it and parses the text again
     return parsed.select("file", F.inline(entries))
 
