@@ -461,7 +461,7 @@ SESSION_SQL = """marked as (
                       > "timestamp" then 0 else 1 end as opens
   from alerts where "timestamp" is not null),
 numbered as (
-  select *, sum(opens) over (partition by name order by "timestamp" rows unbounded preceding) as session
+  select *, sum(opens) over (partition by name order by "timestamp" range unbounded preceding) as session
   from marked),
 sessions as (
   select name, min("timestamp") as session_start, max("timestamp") as last_alert, count(*) as n_alerts,
