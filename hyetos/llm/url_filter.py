@@ -99,13 +99,19 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFra
     ruled = _keyed(clean).drop("labels", "cut")
     best = (
         _keyed(expressions)
-        .join(ruled.withColumnRenamed("expression", "rule_expression"), ["prefix", "digest"])
-        .where("expression = rule_expression")
+        .join(
+            ruled.withColumnsRenamed({"expression": "rule_expression", "digest": "rule_digest"}),
+            "prefix",
+        )
+        .where("digest = rule_digest and expression = rule_expression")
         .where("host = rule_host or endswith(host, concat('.', rule_host))")
         .groupBy("host", "path")
         .agg(F.max(rank).alias("best"))
         .select("host", "path", "best.rule", "best.verdict")
     )
-    return parts.join(best, ["host", "path"], "left").select(
-        *kept, "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")
-    )
+    verdict = F.coalesce("verdict", F.lit(default)).alias("verdict")
+    # URLs without a host fit no rule; they may be many, and go past the join
+    judged = parts.where("host <> ''").join(best, ["host", "path"], "left")
+    judged = judged.select(*kept, "host", "path", "rule", verdict)
+    none = [F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict")]
+    return judged.union(parts.where("host = ''").select(*kept, "host", "path", *none))

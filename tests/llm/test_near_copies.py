@@ -153,7 +153,6 @@ def test_lines_in_between_lose_no_link(spark, monkeypatch, seed):
     # walks away from a few texts, in one bucket: near, in between and far of every pivot
     monkeypatch.setattr(line_dedup, "_bands", lambda columns: F.array(F.lit(1)))
     monkeypatch.setattr(line_dedup, "SMALL", 4)
-    monkeypatch.setattr(line_dedup, "HELPERS", 2)
     source, lines = random.Random(seed), []
     for _ in range(4):
         start = source.choices("abcdefghijklmnopqrstuvwxyz", k=160)

@@ -1,3 +1,6 @@
+from pyspark.sql import functions as F
+
+from hyetos.llm import url_filter
 from hyetos.llm.queries import URL_RULES
 from hyetos.llm.url_filter import judge, rules_frame
 
@@ -39,3 +42,11 @@ def test_no_rules_and_no_pages(spark):
     none = rules_frame(spark, [])
     assert judge(pages, none, "block").first().verdict == "block"
     assert judge(pages.limit(0), rules_frame(spark, URL_RULES)).count() == 0
+
+
+def test_prefixes_that_collide_change_nothing(spark, monkeypatch):
+    keyed = url_filter._keyed
+    monkeypatch.setattr(url_filter, "_keyed", lambda df: keyed(df).withColumn("prefix", F.lit(1).cast("long")))
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)], "page_id long, url string")
+    for row in judge(pages, rules_frame(spark, URL_RULES)).collect():
+        assert (row.host, row.path, row.rule, row.verdict) == plain(URLS[row.page_id], URL_RULES)
