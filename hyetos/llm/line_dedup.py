@@ -10,8 +10,9 @@ components of the links are the groups.
 
 In a band's bucket of at most ``SMALL`` lines all pairs are compared. In larger ones no
 pairs are listed: all lines are compared with the most frequent line, the pivot. As Jaccard distance is a metric, a line beyond twice the allowed
-distance from the pivot has no link to a line within it; the few in between are compared
-with those that their distances leave possible. The lines far away form a bucket of their
+distance from the pivot has no link to a line within it. Those in between are compared with
+lines of the bucket that no other link has connected them to, if both distances and a bound
+from bit maps of their shingles leave a link possible; the bound never excludes one. The lines far away form a bucket of their
 own; if it is still large it is parted by its lines' rarest shingles, so many of each line
 that no pair at the threshold is parted, and its parts get pivots of their own.
 
@@ -36,6 +37,7 @@ ROWS = 4
 BANDS = 12
 STRIDE = 4
 SMALL = 12
+WORDS = 16  # of 64 bits in the map of a line's shingles
 MOST_BITS = 1 << 26
 
 
@@ -133,6 +135,60 @@ def shingle_set(text: str) -> Column:
     )
 
 
+def bit_maps(texts: DataFrame) -> DataFrame:
+    """node, size (distinct shingles) and map (a bit for each shingle's hash) of every text."""
+    pieces = texts.select("node", shingle_set("normal").alias("pieces"))
+    spread = pieces.select("node", F.size("pieces").alias("size"), F.explode("pieces").alias("piece"))
+    slot = F.pmod("piece", F.lit(64 * WORDS))
+    slotted = spread.select(
+        "node", "size", (slot / 64).cast("int").alias("word"),
+        F.expr(f"shiftleft(1L, int(pmod(piece, {64 * WORDS}) % 64))").alias("bit"),
+    )
+    words = [
+        F.bit_or(F.when(F.col("word") == i, F.col("bit")).otherwise(F.lit(0).cast("long"))).alias(f"w{i}")
+        for i in range(WORDS)
+    ]
+    return slotted.groupBy("node", "size").agg(*words).select(
+        "node", "size", F.array(*[f"w{i}" for i in range(WORDS)]).alias("map")
+    )
+
+
+def _most_shared() -> str:
+    """The most shingles that lines a and b can share: a bit of one map only is one that differs."""
+    def alone(one: str, other: str) -> str:
+        return " + ".join(f"bit_count(map_{one}[{i}] & ~map_{other}[{i}])" for i in range(WORDS))
+
+    return f"least(size_a - ({alone('a', 'b')}), size_b - ({alone('b', 'a')}))"
+
+
+def _may_reach(threshold: float) -> Column:
+    """False only for pairs whose Jaccard similarity is certainly below the threshold."""
+    return F.expr(
+        f"{_most_shared()} * {1 + threshold}D >= {threshold}D * (size_a + size_b) - 1e-6D"
+    )
+
+
+def _side(rows: DataFrame, end: str) -> DataFrame:
+    """The rows (node, size, map) with ``end`` in their names."""
+    return rows.select(
+        F.col("node").alias(end), F.col("size").alias(f"size_{end}"), F.col("map").alias(f"map_{end}")
+    )
+
+
+def bounds(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """a, b and bound: the similarity they have at most."""
+    both = pairs.join(_side(maps, "a"), "a").join(_side(maps, "b"), "b")
+    shared = both.select("a", "b", (F.col("size_a") + F.col("size_b")).alias("sizes"), F.expr(_most_shared()).alias("shared"))
+    return shared.select("a", "b", F.expr("shared / (sizes - shared)").alias("bound"))
+
+
+def links(pairs: DataFrame, texts: DataFrame, maps: DataFrame, threshold: float) -> DataFrame:
+    """The pairs whose similarity is at least the threshold; written, for sets are built once so."""
+    possible = pairs.join(_side(maps, "a"), "a").join(_side(maps, "b"), "b").where(_may_reach(threshold))
+    scored = stored(similarities(possible.select("a", "b"), texts), "line-scores")
+    return scored.where(F.col("similarity") >= threshold).select("a", "b")
+
+
 def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """a, b and the exact Jaccard similarity of their lines; texts are (node, normal)."""
     sets = (
@@ -174,7 +230,7 @@ def candidate_buckets(signed: DataFrame) -> tuple[DataFrame, DataFrame]:
 def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFrame:
     """``node`` and ``root`` of every node that has a link of at least the similarity.
 
-    Pairs in between are compared only if the other links have not connected them yet.
+    Lines between are compared only where the other links have not connected them yet.
     """
     pairs, large = candidate_buckets(signed)
     pairs, large = stored(pairs, "line-pairs"), stored(large, "line-members")
@@ -190,52 +246,72 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         thinned(own, "node", wanted).join(same, fits).groupBy("node").agg(F.first("normal").alias("normal")),
         "line-texts",
     )
-    found = similarities(pairs, texts).where(F.col("similarity") >= threshold).select("a", "b")
-    reach, open_pairs = 1 - threshold, None
+    maps = stored(bit_maps(texts), "line-maps")
+    found = links(pairs, texts, maps, threshold)
+    reach, turn, rings = 1 - threshold, 0, None
+    least = 1 - 2 * reach - 1e-9
     while not large.isEmpty():
         pivots = large.groupBy("band").agg(F.max(F.struct("copies", "node")).alias("top"))
         starred = large.join(pivots.select("band", F.col("top.node").alias("pivot")), "band")
         starred = stored(starred.where("node <> pivot"), "line-stars")
         stars = starred.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-        scored = stored(similarities(stars, texts), "line-scores")
+        bounded = stored(bounds(stars, maps), "line-bounds")
+        exact = similarities(bounded.where(F.col("bound") >= least).select("a", "b"), texts)
+        scored = stored(exact, "line-scores")
         found = found.union(scored.where(F.col("similarity") >= threshold).select("a", "b"))
-        members = starred.join(
-            scored.select(F.col("a").alias("pivot"), F.col("b").alias("node"), "similarity"),
-            ["pivot", "node"],
-        ).select("band", "node", "copies", "similarity")
+        near = bounded.join(scored, ["a", "b"], "left").select(
+            F.col("a").alias("pivot"), F.col("b").alias("node"),
+            F.coalesce("similarity", "bound").alias("similarity"),
+        )
+        members = starred.join(near, ["pivot", "node"]).select("band", "node", "copies", "similarity")
         members = stored(members, "line-scored-members")
-        between = members.where(
-            (F.col("similarity") < threshold) & (F.col("similarity") >= 1 - 2 * reach - 1e-9)
-        ).select("band", F.col("node").alias("a"), F.col("similarity").alias("near"))
-        possible = (
-            between.join(members, "band")
-            .where(F.abs(F.col("near") - F.col("similarity")) <= reach + 1e-9)
-            .where("node <> a")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-            .distinct()
+        ring = members.select(
+            F.xxhash64("band", F.lit(turn)).alias("band"), "node", "similarity",
+            ((F.col("similarity") < threshold) & (F.col("similarity") >= least)).alias("between"),
         )
-        possible = stored(possible, "line-open-pairs")
-        open_pairs = possible if open_pairs is None else open_pairs.union(possible)
-        far = members.where(F.col("similarity") < 1 - 2 * reach - 1e-9)
-        few, large = _settled(far.drop("similarity"), texts, threshold)
+        rings, turn = ring if rings is None else rings.union(ring), turn + 1
+        far = members.where(F.col("similarity") < least)
+        few, large = _settled(far.drop("similarity"), texts, maps, threshold)
         found = found.union(few)
         if not large.isEmpty():
-            few, large = _settled(_parted(large, texts, threshold), texts, threshold)
+            few, large = _settled(_parted(large, texts, threshold), texts, maps, threshold)
             found = found.union(few)
     found = stored(found.distinct(), "line-links")
     roots = components(found)
-    if open_pairs is None:
+    if rings is None:
         return roots
-    at_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    at_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
-    left = open_pairs.distinct().join(at_a, "a", "left").join(at_b, "b", "left").where(apart)
-    more = similarities(left.select("a", "b"), texts).where(F.col("similarity") >= threshold)
-    more = stored(more.select("a", "b"), "line-links")
+    roots = stored(roots, "line-roots")
+    possible = stored(_open_pairs(rings, roots, maps, threshold), "line-open-pairs")
+    more = links(possible, texts, maps, threshold)
     return roots if more.isEmpty() else components(found.union(more))
 
 
-def _settled(rows: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+def _open_pairs(rings: DataFrame, roots: DataFrame, maps: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a line between and another of its bucket that may be links and are apart.
+
+    Both distances from the pivot, the components so far and the bit maps decide inside the
+    join, so rows are made of few more pairs than there are new links.
+    """
+    open_bands = rings.where("between").select("band").distinct()
+    rows = rings.join(open_bands, "band").join(roots, "node", "left").join(maps, "node")
+    rows = stored(rows.withColumn("root", F.coalesce("root", "node")), "line-rings")
+
+    def side(end: str) -> DataFrame:
+        names = [F.col(c).alias(f"{c}_{end}") for c in ("similarity", "between", "root", "size", "map")]
+        return rows.select("band", F.col("node").alias(end), *names)
+
+    pairs = side("a").where("between_a").join(side("b"), "band").where(
+        (F.col("root_a") != F.col("root_b"))
+        & (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= 1 - threshold + 1e-9)
+        & (~F.col("between_b") | (F.col("a") < F.col("b")))
+        & _may_reach(threshold)
+    )
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _settled(
+    rows: DataFrame, texts: DataFrame, maps: DataFrame, threshold: float
+) -> tuple[DataFrame, DataFrame]:
     """Links within the small buckets of (band, node, copies), and the rows of larger ones.
 
     Of buckets with the same members one is taken.
@@ -244,9 +320,8 @@ def _settled(rows: DataFrame, texts: DataFrame, threshold: float) -> tuple[DataF
     sizes = rows.groupBy("band").agg(F.count("*").alias("size"), *members).where("size > 1")
     sizes = sizes.groupBy("size", "mark0", "mark1").agg(F.min("band").alias("band")).select("band", "size")
     sized = stored(rows.join(sizes, "band"), "line-members")
-    few = similarities(_listed(sized.where(F.col("size") <= SMALL)), texts)
-    few = few.where(F.col("similarity") >= threshold).select("a", "b")
-    return stored(few, "line-links"), sized.where(F.col("size") > SMALL).drop("size")
+    few = links(_listed(sized.where(F.col("size") <= SMALL)), texts, maps, threshold)
+    return few, sized.where(F.col("size") > SMALL).drop("size")
 
 
 def _parted(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
