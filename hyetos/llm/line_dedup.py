@@ -13,8 +13,9 @@ pairs are listed: all lines are compared with the most frequent line, the pivot.
 distance from the pivot has no link to a line within it. Those in between are compared with
 lines of the bucket that no other link has connected them to, if both distances and a bound
 from bit maps of their shingles leave a link possible; the bound never excludes one. The lines far away form a bucket of their
-own; if it is still large it is parted by its lines' rarest shingles, so many of each line
-that no pair at the threshold is parted, and its parts get pivots of their own.
+own with a second pivot. What is then left of at most ``MIDDLE`` lines is compared in that
+way too; more is parted by its lines' rarest shingles, so many of each line that no pair at
+the threshold is parted, and the parts get pivots of their own.
 
 Nodes are 64-bit hashes: among n different lines two share one with a chance of about
 n² / 2^65. Bit maps of bounded size (``MOST_BITS``) are broadcast to thin out the rows of
@@ -24,6 +25,7 @@ large shuffles; they let all wanted rows pass, so they change no result.
 from __future__ import annotations
 
 import random
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,7 @@ ROWS = 4
 BANDS = 12
 STRIDE = 4
 SMALL = 12
+MIDDLE = 1024
 WORDS = 16  # of 64 bits in the map of a line's shingles
 MOST_BITS = 1 << 26
 
@@ -248,7 +251,7 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
     )
     maps = stored(bit_maps(texts), "line-maps")
     found = links(pairs, texts, maps, threshold)
-    reach, turn, rings = 1 - threshold, 0, None
+    reach, turn, rings = 1 - threshold, 0, []
     least = 1 - 2 * reach - 1e-9
     while not large.isEmpty():
         pivots = large.groupBy("band").agg(F.max(F.struct("copies", "node")).alias("top"))
@@ -265,45 +268,55 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         )
         members = starred.join(near, ["pivot", "node"]).select("band", "node", "copies", "similarity")
         members = stored(members, "line-scored-members")
-        ring = members.select(
+        rings.append(members.select(
             F.xxhash64("band", F.lit(turn)).alias("band"), "node", "similarity",
-            ((F.col("similarity") < threshold) & (F.col("similarity") >= least)).alias("between"),
-        )
-        rings, turn = ring if rings is None else rings.union(ring), turn + 1
-        far = members.where(F.col("similarity") < least)
-        few, large = _settled(far.drop("similarity"), texts, maps, threshold)
+            ((F.col("similarity") < threshold) & (F.col("similarity") >= least)).alias("open"),
+        ))
+        far = members.where(F.col("similarity") < least).drop("similarity")
+        few, middle, large = _settled(far, texts, maps, threshold)
         found = found.union(few)
         if not large.isEmpty():
-            few, large = _settled(_parted(large, texts, threshold), texts, maps, threshold)
-            found = found.union(few)
+            few, parted, large = _settled(_parted(large, texts, threshold), texts, maps, threshold)
+            found, middle = found.union(few), middle.union(parted)
+        if turn == 0:  # a second pivot connects what lies together, before the rest is compared
+            large = stored(large.union(middle), "line-members")
+        else:
+            rings.append(middle.select(
+                F.xxhash64("band", F.lit(turn), F.lit("middle")).alias("band"), "node",
+                F.lit(0.0).alias("similarity"), F.lit(True).alias("open"),
+            ))
+        turn += 1
     found = stored(found.distinct(), "line-links")
     roots = components(found)
-    if rings is None:
+    if not rings:
         return roots
-    roots = stored(roots, "line-roots")
-    possible = stored(_open_pairs(rings, roots, maps, threshold), "line-open-pairs")
+    roots, rows = stored(roots, "line-roots"), reduce(DataFrame.union, rings)
+    possible = stored(_open_pairs(rows, roots, maps, threshold), "line-open-pairs")
     more = links(possible, texts, maps, threshold)
     return roots if more.isEmpty() else components(found.union(more))
 
 
 def _open_pairs(rings: DataFrame, roots: DataFrame, maps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of a line between and another of its bucket that may be links and are apart.
+    """Pairs of an open line and another of its bucket that may be links and are apart.
 
-    Both distances from the pivot, the components so far and the bit maps decide inside the
-    join, so rows are made of few more pairs than there are new links.
+    Similarities to the pivot, the components so far and the bit maps decide inside the
+    join, so rows are made of few more pairs than there are new links. Below twice the
+    allowed distance the similarity may be a bound, which says nothing of two such lines.
     """
-    open_bands = rings.where("between").select("band").distinct()
+    open_bands = rings.where("open").select("band").distinct()
     rows = rings.join(open_bands, "band").join(roots, "node", "left").join(maps, "node")
     rows = stored(rows.withColumn("root", F.coalesce("root", "node")), "line-rings")
 
     def side(end: str) -> DataFrame:
-        names = [F.col(c).alias(f"{c}_{end}") for c in ("similarity", "between", "root", "size", "map")]
+        names = [F.col(c).alias(f"{c}_{end}") for c in ("similarity", "open", "root", "size", "map")]
         return rows.select("band", F.col("node").alias(end), *names)
 
-    pairs = side("a").where("between_a").join(side("b"), "band").where(
+    least = 1 - 2 * (1 - threshold) - 1e-9
+    apart = F.abs(F.col("similarity_a") - F.col("similarity_b"))
+    pairs = side("a").where("open_a").join(side("b"), "band").where(
         (F.col("root_a") != F.col("root_b"))
-        & (F.abs(F.col("similarity_a") - F.col("similarity_b")) <= 1 - threshold + 1e-9)
-        & (~F.col("between_b") | (F.col("a") < F.col("b")))
+        & ((F.greatest("similarity_a", "similarity_b") < least) | (apart <= 1 - threshold + 1e-9))
+        & (~F.col("open_b") | (F.col("a") < F.col("b")))
         & _may_reach(threshold)
     )
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
@@ -311,8 +324,8 @@ def _open_pairs(rings: DataFrame, roots: DataFrame, maps: DataFrame, threshold:
 
 def _settled(
     rows: DataFrame, texts: DataFrame, maps: DataFrame, threshold: float
-) -> tuple[DataFrame, DataFrame]:
-    """Links within the small buckets of (band, node, copies), and the rows of larger ones.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links within the small buckets of (band, node, copies), rows of middle and of larger ones.
 
     Of buckets with the same members one is taken.
     """
@@ -321,7 +334,8 @@ def _settled(
     sizes = sizes.groupBy("size", "mark0", "mark1").agg(F.min("band").alias("band")).select("band", "size")
     sized = stored(rows.join(sizes, "band"), "line-members")
     few = links(_listed(sized.where(F.col("size") <= SMALL)), texts, maps, threshold)
-    return few, sized.where(F.col("size") > SMALL).drop("size")
+    middle = sized.where((F.col("size") > SMALL) & (F.col("size") <= MIDDLE)).drop("size")
+    return few, middle, sized.where(F.col("size") > MIDDLE).drop("size")
 
 
 def _parted(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:

@@ -133,7 +133,9 @@ def test_pivots_lose_no_link_far_from_the_top(spark):
     assert sorted(found) == sorted(line_expectation(rows, 0.6))
 
 
-def test_far_lines_of_one_bucket_lose_no_link(spark, monkeypatch):
+@pytest.mark.parametrize("middle", [20, 1024])
+def test_far_lines_of_one_bucket_lose_no_link(spark, monkeypatch, middle):
+    monkeypatch.setattr(line_dedup, "MIDDLE", middle)
     monkeypatch.setattr(line_dedup, "_bands", lambda columns: F.array(F.lit(1)))  # one bucket for all
     source, lines = random.Random(11), []
     text = lambda n: "".join(source.choices("abcdefghijklmnopqrstuvwxyz", k=n))
@@ -148,11 +150,12 @@ def test_far_lines_of_one_bucket_lose_no_link(spark, monkeypatch):
     assert sum(r[-1] for r in found) == 200
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_lines_in_between_lose_no_link(spark, monkeypatch, seed):
+@pytest.mark.parametrize(("seed", "middle"), [(1, 8), (2, 1024)])
+def test_lines_in_between_lose_no_link(spark, monkeypatch, seed, middle):
     # walks away from a few texts, in one bucket: near, in between and far of every pivot
     monkeypatch.setattr(line_dedup, "_bands", lambda columns: F.array(F.lit(1)))
     monkeypatch.setattr(line_dedup, "SMALL", 4)
+    monkeypatch.setattr(line_dedup, "MIDDLE", middle)
     source, lines = random.Random(seed), []
     for _ in range(4):
         start = source.choices("abcdefghijklmnopqrstuvwxyz", k=160)
@@ -169,6 +172,25 @@ def test_lines_in_between_lose_no_link(spark, monkeypatch, seed):
     assert sorted(found) == sorted(expected) and 4 < sum(r[-1] for r in expected) < len(rows) - 20
 
 
+def test_bounds_are_never_below_the_similarity(spark):
+    source, lines = random.Random(5), ["", "a", "ab" * 400, "x" * 9, "x" * 30]
+    for size in (5, 12, 40, 300, 3000):
+        text = source.choices("abcdefgh ", k=size)
+        for edits in (0, 1, 3, size // 10):
+            for _ in range(edits):
+                text[source.randrange(size)] = source.choice("XYZ")
+            lines.append("".join(text))
+    texts = spark.createDataFrame(list(enumerate(lines)), "node long, normal string")
+    pairs = [(a, b) for a in range(len(lines)) for b in range(len(lines))]
+    pairs = spark.createDataFrame(pairs, "a long, b long")
+    maps = line_dedup.bit_maps(texts)
+    exact = {(r.a, r.b): r.similarity for r in line_dedup.similarities(pairs, texts).collect()}
+    bound = {(r.a, r.b): r.bound for r in line_dedup.bounds(pairs, maps).collect()}
+    assert bound.keys() == exact.keys() and all(bound[p] >= exact[p] - 1e-12 for p in exact)
+    kept = {tuple(r) for r in line_dedup.links(pairs, texts, maps, 0.8).collect()}
+    assert kept == {p for p, similarity in exact.items() if similarity >= 0.8}
+
+
 def test_documents_without_repeated_lines(spark, no_docs):
     rows = [(1, "One line of text here\n\nanother line", 9, "x"), (2, "ONE line of text here ", 9, "y"),
             (3, "fresh words\none line of text here", 9, None), (4, None, 9, "n"), (5, "", 9, ""),
