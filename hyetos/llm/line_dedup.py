@@ -40,6 +40,7 @@ BANDS = 12
 STRIDE = 4
 SMALL = 12
 MIDDLE = 1024
+TRIES = 16
 WORDS = 16  # of 64 bits in the map of a line's shingles
 MOST_BITS = 1 << 26
 
@@ -290,22 +291,31 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
     roots = components(found)
     if not rings:
         return roots
-    roots, rows = stored(roots, "line-roots"), reduce(DataFrame.union, rings)
-    possible = stored(_open_pairs(rows, roots, maps, threshold), "line-open-pairs")
-    more = links(possible, texts, maps, threshold)
-    return roots if more.isEmpty() else components(found.union(more))
-
-
-def _open_pairs(rings: DataFrame, roots: DataFrame, maps: DataFrame, threshold: float) -> DataFrame:
+    rows = stored(reduce(DataFrame.union, rings), "line-rings")
+    for tries in (TRIES, None):
+        roots = stored(roots, "line-roots")
+        possible = stored(_open_pairs(rows, roots, maps, threshold, tries), "line-open-pairs")
+        more = links(possible, texts, maps, threshold)
+        if not more.isEmpty():
+            found = found.union(more)
+            roots = components(found)
+    return roots
+
+
+def _open_pairs(
+    rings: DataFrame, roots: DataFrame, maps: DataFrame, threshold: float, tries: int | None = None
+) -> DataFrame:
     """Pairs of an open line and another of its bucket that may be links and are apart.
 
     Similarities to the pivot, the components so far and the bit maps decide inside the
     join, so rows are made of few more pairs than there are new links. Below twice the
     allowed distance the similarity may be a bound, which says nothing of two such lines.
+    With ``tries`` the other lines are at most so many of each bucket that are linked to its
+    pivot: a first turn that connects most open lines, so that the full one has few pairs.
     """
     open_bands = rings.where("open").select("band").distinct()
     rows = rings.join(open_bands, "band").join(roots, "node", "left").join(maps, "node")
-    rows = stored(rows.withColumn("root", F.coalesce("root", "node")), "line-rings")
+    rows = stored(rows.withColumn("root", F.coalesce("root", "node")), "line-open-rows")
 
     def side(end: str) -> DataFrame:
         names = [F.col(c).alias(f"{c}_{end}") for c in ("similarity", "open", "root", "size", "map")]
@@ -313,7 +323,13 @@ def _open_pairs(rings: DataFrame, roots: DataFrame, maps: DataFrame, threshold:
 
     least = 1 - 2 * (1 - threshold) - 1e-9
     apart = F.abs(F.col("similarity_a") - F.col("similarity_b"))
-    pairs = side("a").where("open_a").join(side("b"), "band").where(
+    others = side("b")
+    if tries:
+        linked = rings.where(F.col("similarity") >= threshold)
+        dealt = F.pmod(F.xxhash64("node"), F.lit(tries)).alias("share")
+        picked = linked.groupBy("band", dealt).agg(F.min("node").alias("b")).select("band", "b")
+        others = others.join(picked, ["band", "b"], "left_semi")
+    pairs = side("a").where("open_a").join(others, "band").where(
         (F.col("root_a") != F.col("root_b"))
         & ((F.greatest("similarity_a", "similarity_b") < least) | (apart <= 1 - threshold + 1e-9))
         & (~F.col("open_b") | (F.col("a") < F.col("b")))
