@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,20 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
+def text_slices(
+    batches: Iterable[pa.RecordBatch], column: int, most: int = 1 << 23
+) -> Iterator[pa.RecordBatch]:
+    """Batches whose texts in ``column`` take at most ``most`` bytes together, or single rows."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy()
+        ends, start = np.cumsum(sizes, dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = int(ends[start - 1]) if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def write_records(df: DataFrame, path: str, separator: str) -> None:
     """Write the binary column ``record`` to files, each record followed by ``separator``.
 

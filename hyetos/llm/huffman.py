@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hyetos.llm import tokens
-from hyetos.llm.common import full_text, read_files, slices, stored
+from hyetos.llm.common import full_text, read_files, stored, text_slices
 
 BLOCK = 1 << 18
 STEP = 128
@@ -194,7 +194,7 @@ def token_blocks(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
             return pa.RecordBatch.from_arrays(arrays, names=names)
 
         size = 0
-        for batch in slices(batches, 256):
+        for batch in text_slices(batches, 1):
             encoded = coder.encode(batch.column(1).to_pylist())
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 doc_ids.append(doc_id)

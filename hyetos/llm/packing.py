@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
 from hyetos.llm import tokens
-from hyetos.llm.common import full_text, slices
+from hyetos.llm.common import full_text, text_slices
 
 PIECE_DDL = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PER_BUCKET = 20_000
@@ -51,7 +51,7 @@ def token_pieces(
         coder = tokens.coder(tokenizer)
         names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-        for batch in slices(batches, 512):
+        for batch in text_slices(batches, 1):
             columns: list[list] = [[] for _ in names]
             texts = batch.column(1).to_pylist()
             for doc_id, ids in zip(batch.column(0).to_pylist(), coder.encode(texts), strict=True):

@@ -1,11 +1,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from hyetos.llm import huffman, packing, tokens
+from hyetos.llm.common import text_slices
 from hyetos.session import work_dir
 
 PATH = tokens.default_path()
@@ -101,3 +103,19 @@ def test_files_give_all_documents_back(spark, odd_docs, no_docs):
         at += len(raw) // 4
     assert sorted(map(tuple, found), key=lambda r: r[1]) == expected
     assert huffman.round_trip(no_docs, PATH, work_dir(spark, "files")).count() == 0
+
+
+def test_pieces_known_or_forgotten_give_the_same_ids(monkeypatch):
+    texts = ["a\nb cd, cd xéy\n漢 \U0001f600 a", "", "a", "a  b ", " cd cd\t漢 <|endoftext|> a", "x" * 70_000 + " a"]
+    monkeypatch.setattr(tokens, "MAX_CACHED", 2)
+    coder = tokens.WordCoder(PATH)
+    for part in (texts, texts[::-1], texts[:1], [], texts):
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in coder.encode(part)]
+        assert got == [whole(text) for text in part]
+    assert len(coder.known) > 0
+
+
+def test_slices_are_bounded_by_bytes():
+    batch = pa.RecordBatch.from_arrays([pa.array(["abc", None, "", "d" * 9, "e", "f"])], ["text"])
+    parts = [p.column(0).to_pylist() for p in text_slices([batch, batch.slice(0, 0)], 0, 4)]
+    assert parts == [["abc", None, ""], ["d" * 9], ["e", "f"]]
