@@ -1,31 +1,35 @@
 """Find benchmark passages in a corpus with a positional inverted index.
 
-A phrase is probed by its two rarest terms, by counts over the whole corpus. The index
-stores the postings of a first probe term where the list of the second, shifted by the
-distance of the two in the phrase, has the same document and place: both lists of a
-document are in one task, so this first intersection needs no shuffle and leaves few
-postings, each with the words around it. The postings meet the phrases in a join on the
-term, and the words around decide, so matches are exact.
+The index is stored in parts, each for documents of at most ``PART_BYTES`` (or one longer
+document): for every term of them, rare or frequent, the list of all its places in the
+part, documents one after the other with ``GAP`` free places between. The corpus is read
+once, to build it. A phrase is looked up in every part that has all its terms: the list of
+its rarest term, by counts over the whole corpus, is shifted by the term's place in the
+phrase and intersected with the shifted lists of the others, the next rarest first, by
+binary search. So a long list of a frequent term is probed, never walked. Without shifts
+and with a tolerance the same search finds terms that lie close together.
 
 Phrases are taken in blocks of at most ``BLOCK_WINDOWS``, so what a task holds is bounded
-whatever the benchmark's size; each block reads the corpus anew.
-
-``postings``, ``phrases_of`` and ``near`` are the same on an index with all positions of
-given terms, for phrases and for terms that lie close together.
+whatever the benchmark's size; each block reads the index, not the corpus.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hyetos.llm.common import full_text, slices, stored
+from hyetos.llm.common import full_text, slices, stored, text_slices
 
 WINDOW = 10
 BLOCK_WINDOWS = 50_000
+PART_BYTES = 1 << 22
+GAP = 64
+AT_ONCE = 1 << 20  # places of rarest terms looked up together
 #: A word: digits, letters a-z (A-Z lower-cased) and everything beyond ASCII, in UTF-8.
 _KEEP = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32
@@ -75,94 +79,158 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def term_counts(docs: DataFrame, terms: Iterable[bytes]) -> dict[bytes, int]:
+def build_index(docs: DataFrame) -> DataFrame:
+    """The index of ``keyed`` documents: one row per part, to be stored by the caller.
+
+    doc_ids, k1, k2 and lengths (words) of its documents in order; terms, how often each
+    occurs (counts), and the places of all terms in turn, as 32-bit integers.
+    """
+    names = ["doc_ids", "k1", "k2", "lengths", "terms", "counts", "places"]
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, 1, PART_BYTES):
+            texts = [t.encode().translate(_KEEP).strip() or None for t in batch.column(1).to_pylist()]
+            own = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+            lengths = pc.fill_null(pc.list_value_length(own), 0).to_numpy().astype(np.int64)
+            coded = own.flatten().dictionary_encode()
+            each = coded.indices.to_numpy()
+            places = np.arange(len(each)) + np.repeat(GAP * np.arange(1, len(lengths) + 1), lengths)
+            arrays = [
+                *(batch.column(c) for c in (0, 2, 3)), pa.array(lengths),
+                coded.dictionary.cast(pa.string()),
+                pa.array(np.bincount(each, minlength=len(coded.dictionary)).astype(np.int64)),
+            ]
+            lists = [pa.ListArray.from_arrays([0, len(a)], a) for a in arrays]
+            sorted_places = places[np.argsort(each, kind="stable")].astype("<i4").tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [*lists, pa.array([sorted_places], pa.binary())], names=names
+            )
+
+    ddl = (
+        "doc_ids array<long>, k1 array<long>, k2 array<long>, lengths array<long>, "
+        "terms array<string>, counts array<long>, places binary"
+    )
+    return docs.select("doc_id", "text", "k1", "k2").mapInArrow(post, ddl)
+
+
+def documents_of(index: DataFrame) -> DataFrame:
+    """doc_id, k1, k2 and n_words of every row that was indexed."""
+    each = F.arrays_zip("doc_ids", "k1", "k2", "lengths")
+    return index.select(F.explode(each).alias("d")).select(
+        F.col("d.doc_ids").alias("doc_id"), "d.k1", "d.k2", F.col("d.lengths").alias("n_words")
+    )
+
+
+def term_counts(index: DataFrame, terms: list[str]) -> dict[str, int]:
     """How often each of the given terms occurs in the corpus; the terms bound the result."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(terms))
+    shared = index.sparkSession.sparkContext.broadcast(terms)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted, total = shared.value, dict.fromkeys(shared.value, 0)
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                for word in filter(wanted.__contains__, words(text)):
-                    total[word] += 1
-        found = {w: n for w, n in total.items() if n}
+        wanted, total = pa.array(shared.value, pa.string()), np.zeros(len(shared.value), np.int64)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                at = pc.index_in(wanted, value_set=batch.column("terms")[row].values)
+                at = pc.fill_null(at, -1).to_numpy()
+                total[at >= 0] += batch.column("counts")[row].values.to_numpy()[at[at >= 0]]
+        found = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(found.keys(), pa.binary()), pa.array(found.values(), pa.int64())],
-            names=["term", "n"],
+            [pa.array(found), pa.array(total[found])], names=["term", "n"]
         )
 
-    counted = docs.select("text").mapInArrow(count, "term binary, n long")
-    return {bytes(r.term): r.n for r in counted.groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    counted = index.select("terms", "counts").mapInArrow(count, "term long, n long")
+    rows = counted.groupBy("term").agg(F.sum("n").alias("n")).collect()
+    return {terms[r.term]: r.n for r in rows}
 
 
-def probes(phrases: Iterable[str], counts: dict[bytes, int]) -> list[tuple]:
-    """For each phrase: phrase, words, rarest term, its place, the next one and its place."""
-    chosen = []
-    for phrase in phrases:
-        own = phrase.encode().split(b" ")
-        order = sorted(range(len(own)), key=lambda i: (counts.get(own[i], 0), own[i], i))
-        first, second = order[0], order[min(1, len(order) - 1)]
-        chosen.append((phrase, len(own), own[first].decode(), first, own[second].decode(), second))
-    return chosen
+def _plan(phrases: list[str], counts: dict[str, int], terms: list[str]) -> tuple[np.ndarray, ...]:
+    """Per phrase the numbers of its terms, the rarest first, their places in it, its size."""
+    number = {term: i for i, term in enumerate(terms)}
+    own = [phrase.split(" ") for phrase in phrases]
+    width = max(map(len, own), default=0)
+    chosen = np.full((len(own), width), -1, np.int64)
+    places = np.zeros((len(own), width), np.int64)
+    for i, words_of in enumerate(own):
+        order = sorted(range(len(words_of)), key=lambda j: (counts.get(words_of[j], 0), words_of[j].encode(), j))
+        chosen[i, : len(order)] = [number[words_of[j]] for j in order]
+        places[i, : len(order)] = order
+    return chosen, places, (chosen >= 0).sum(axis=1)
 
 
-def build_index(docs: DataFrame, chosen: list[tuple], with_lengths: bool = True) -> DataFrame:
-    """Postings of the rarest terms where the next-rarest stands at its distance.
+def _stretches(first: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of each stretch, one after the other."""
+    ends = np.cumsum(length)
+    return np.repeat(first - ends + length, length) + np.arange(ends[-1] if len(ends) else 0)
 
-    Columns doc_id, k1, k2, term, position, context (up to ``WINDOW`` - 1 words on either
-    side) and lead (words of it before the term). With lengths, each row of ``docs`` also
-    gives a row without term whose position is its number of words.
-    """
-    lists: dict[bytes, set[tuple[int, bytes]]] = {}
-    reach = WINDOW - 1
-    for _, size, first, at, second, other in chosen:
-        lists.setdefault(first.encode(), set()).add((other - at, second.encode()))
-        reach = max(reach, size - 1)
-    shared = docs.sparkSession.sparkContext.broadcast(
-        {term: tuple(pairs) for term, pairs in lists.items()}
-    )
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int32()]
-    names = ["doc_id", "k1", "k2", "term", "position", "context", "lead"]
 
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = shared.value
-        for batch in slices(batches):
-            rows: list[tuple] = []
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for doc_id, text, k1, k2 in zip(*columns, strict=True):
-                own = words(text)
-                n = len(own)
-                if with_lengths:
-                    rows.append((doc_id, k1, k2, None, n, None, None))
-                for at, word in enumerate(own):
-                    if word in pairs and any(
-                        0 <= at + gap < n and own[at + gap] == other for gap, other in pairs[word]
-                    ):
-                        low = max(0, at - reach)
-                        context = b" ".join(own[low : at + reach + 1]).decode()
-                        rows.append((doc_id, k1, k2, word.decode(), at, context, at - low))
-            arrays = zip(*rows, strict=True) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], names=names
-            )
-
-    ddl = "doc_id long, k1 long, k2 long, term string, position long, context string, lead int"
-    return docs.select("doc_id", "text", "k1", "k2").mapInArrow(post, ddl)
+def _search(
+    keys: np.ndarray, counts: np.ndarray, slots: np.ndarray, shifts: np.ndarray, slop: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Phrases (rows of ``slots``) and places where all terms stand at their shifts, give or take.
 
-
-def phrase_matches(index: DataFrame, chosen: list[tuple]) -> DataFrame:
-    """k1, k2, start, size and phrase of every occurrence: the words around a posting decide."""
-    ddl = "phrase string, size int, term string, place int, other string, other_place int"
-    listed = index.sparkSession.createDataFrame(chosen, ddl).drop("other", "other_place")
-    around = F.split("context", " ")
-    here = F.array_join(F.slice(around, F.col("lead") - F.col("place") + 1, F.col("size")), " ")
-    return (
-        index.where("term is not null")
-        .join(listed, "term")
-        .where("lead >= place")
-        .where(here == F.col("phrase"))
-        .select("k1", "k2", (F.col("position") - F.col("place")).alias("start"), "size", "phrase")
-    )
+    ``keys`` are term and place of all postings in order. Slots: -2 beyond a phrase's end.
+    """
+    begin = np.cumsum(counts) - counts
+    live = np.flatnonzero((slots != -1).all(axis=1))
+    lists = counts[slots[live, 0]]
+    cuts = np.flatnonzero(np.diff(np.cumsum(lists) // AT_ONCE)) + 1
+    for part in np.split(live, cuts):
+        size = counts[slots[part, 0]]
+        phrase = np.repeat(part, size)
+        at = keys[_stretches(begin[slots[part, 0]], size)] & 0xFFFFFFFF
+        at = at - shifts[phrase, 0]
+        for j in range(1, slots.shape[1]):
+            wanted = (slots[phrase, j] << 32) + at + shifts[phrase, j]
+            found = np.minimum(np.searchsorted(keys, wanted - slop), len(keys) - 1)
+            near = np.abs(keys[found] - wanted) <= slop
+            keep = near | (slots[phrase, j] == -2)
+            phrase, at = phrase[keep], at[keep]
+        yield phrase, at
+
+
+def occurrences(index: DataFrame, phrases: list[str], slop: int | None = None) -> DataFrame:
+    """k1, k2, start, size and phrase wherever a phrase (words with spaces between) occurs.
+
+    With ``slop`` (less than ``GAP``) its words may stand in any order: ``start`` is each
+    place of its rarest word, by counts over the corpus, then by bytes, that has every other
+    word at most so many words away; one place may serve for a word that the phrase repeats.
+    """
+    if slop is not None and not 0 <= slop < GAP:
+        raise ValueError(f"slop must lie between 0 and {GAP - 1}")
+    terms = sorted({word for phrase in phrases for word in phrase.split(" ")})
+    plan = _plan(phrases, term_counts(index, terms), terms)
+    shared = index.sparkSession.sparkContext.broadcast((phrases, terms, plan))
+    names = ["k1", "k2", "start", "size", "phrase"]
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, wanted, (chosen, places, sizes) = shared.value
+        texts, wanted = pa.array(texts, pa.string()), pa.array(wanted, pa.string())
+        shifts = places if slop is None else np.zeros_like(places)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                part = {c: batch.column(c)[row].values for c in ("k1", "k2", "lengths", "terms", "counts")}
+                counts = part["counts"].to_numpy()
+                if not len(counts) or not len(chosen):
+                    continue
+                at = pc.fill_null(pc.index_in(wanted, value_set=part["terms"]), -1).to_numpy()
+                slots = np.where(chosen < 0, -2, at[chosen].astype(np.int64))
+                keys = np.frombuffer(batch.column("places")[row].as_buffer(), "<i4").astype(np.int64)
+                keys += np.repeat(np.arange(len(counts)) << 32, counts)
+                lengths = part["lengths"].to_numpy()
+                base = np.cumsum(lengths) - lengths + GAP * np.arange(1, len(lengths) + 1)
+                for phrase, place in _search(keys, counts, slots, shifts, slop or 0):
+                    document = np.searchsorted(base, place, "right") - 1
+                    own = pa.array(document)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part["k1"].take(own), part["k2"].take(own),
+                            pa.array(place - base[document]), pa.array(sizes[phrase]),
+                            texts.take(pa.array(phrase)),
+                        ],
+                        names=names,
+                    )
+
+    ddl = "k1 long, k2 long, start long, size long, phrase string"
+    return index.select("k1", "k2", "lengths", "terms", "counts", "places").mapInArrow(look_up, ddl)
 
 
 def covered(stretches: Column) -> Column:
@@ -180,6 +248,15 @@ def covered(stretches: Column) -> Column:
     return F.aggregate(stretches, zero, step, lambda state: state["n"])
 
 
+def phrase_blocks(listed: DataFrame) -> Iterator[list[str]]:
+    """The different phrases of stored ``windows`` in blocks; one empty block if there are none."""
+    phrases = listed.select("phrase").distinct()
+    blocks = max(1, -(-phrases.count() // BLOCK_WINDOWS))
+    for block in range(blocks):
+        mine = F.pmod(F.xxhash64("phrase"), F.lit(blocks)) == block
+        yield sorted(r.phrase for r in phrases.where(mine).collect())
+
+
 def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """For every row of ``docs`` (doc_id, text) what it shares with ``items`` (item_id, text).
 
@@ -188,21 +265,12 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     empty string if there are none) and contaminated. NULL texts have no words. Repeated
     rows stay repeated; other columns are ignored.
     """
-    spark = docs.sparkSession
-    corpus = keyed(docs.select("doc_id", "text"))
+    index = stored(build_index(keyed(docs.select("doc_id", "text"))), "postings")
     listed = stored(windows(items, size), "benchmark-windows")
-    phrases = listed.select("phrase").distinct()
-    blocks = -(-phrases.count() // BLOCK_WINDOWS)
-    lengths, found = None, None
-    for block in range(max(1, blocks)):
-        mine = F.pmod(F.xxhash64("phrase"), F.lit(max(1, blocks))) == block
-        own = sorted(r.phrase for r in phrases.where(mine).collect())
-        counts = term_counts(corpus, {w for p in own for w in p.encode().split(b" ")})
-        chosen = probes(own, counts)
-        index = stored(build_index(corpus, chosen, with_lengths=block == 0), "postings")
-        matches = phrase_matches(index, chosen)
-        lengths = lengths if block else index.where("term is null")
-        found = found.unionAll(matches) if block else matches
+    found = None
+    for phrases in phrase_blocks(listed):
+        matches = occurrences(index, phrases)
+        found = matches if found is None else found.unionAll(matches)
     found = stored(found, "phrase-matches")
     hits = found.groupBy("k1", "k2").agg(
         covered(F.sort_array(F.collect_set(F.struct("start", "size")))).alias("n_hit")
@@ -213,79 +281,13 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
         .groupBy("k1", "k2")
         .agg(F.sort_array(F.collect_set("item")).alias("items"))
     )
-    joined = lengths.join(hits, ["k1", "k2"], "left").join(names, ["k1", "k2"], "left")
+    joined = documents_of(index).join(hits, ["k1", "k2"], "left").join(names, ["k1", "k2"], "left")
     ids = F.coalesce(F.array_join("items", ","), F.lit(""))
     return joined.select(
         "doc_id",
-        F.col("position").alias("n_words"),
+        "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
     )
-
-
-def postings(docs: DataFrame, terms: Iterable[str]) -> DataFrame:
-    """doc_id, k1, k2, term and all its positions in the document, for the given terms."""
-    shared = docs.sparkSession.sparkContext.broadcast(frozenset(t.encode() for t in terms))
-
-    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64())]
-        for batch in slices(batches):
-            rows = []
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for doc_id, text, k1, k2 in zip(*columns, strict=True):
-                lists: dict[bytes, list[int]] = {}
-                for at, word in enumerate(words(text)):
-                    if word in shared.value:
-                        lists.setdefault(word, []).append(at)
-                rows += [(doc_id, k1, k2, w.decode(), p) for w, p in lists.items()]
-            arrays = zip(*rows, strict=True) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)],
-                names=["doc_id", "k1", "k2", "term", "positions"],
-            )
-
-    ddl = "doc_id long, k1 long, k2 long, term string, positions array<long>"
-    return keyed(docs).select("doc_id", "text", "k1", "k2").mapInArrow(post, ddl)
-
-
-def _lists(index: DataFrame, queries: DataFrame, shift: bool) -> DataFrame:
-    """Per query and document the position lists of all terms, the shortest first."""
-    each = queries.select(
-        "query_id", F.size("terms").alias("needed"), F.posexplode("terms").alias("place", "term")
-    )
-    moved = F.transform("positions", lambda p: p - F.col("place")) if shift else F.col("positions")
-    entry = F.struct(F.size("positions").alias("n"), moved.alias("at"))
-    return (
-        index.join(each, "term")
-        .groupBy("query_id", "needed", "doc_id", "k1", "k2")
-        .agg(F.sort_array(F.collect_list(entry)).alias("lists"))
-        .where("size(lists) = needed")
-    )
-
-
-def phrases_of(index: DataFrame, queries: DataFrame) -> DataFrame:
-    """Where the terms of (query_id, terms) follow each other: query_id, doc_id, starts.
-
-    The shifted lists are intersected from the rarest term on.
-    """
-    starts = F.expr("aggregate(lists, lists[0].at, (kept, x) -> array_intersect(kept, x.at))")
-    return (
-        _lists(index, queries, True)
-        .select("query_id", "doc_id", starts.alias("starts"))
-        .where("size(starts) > 0")
-    )
-
-
-def near(index: DataFrame, queries: DataFrame, slop: int) -> DataFrame:
-    """Places of the rarest term of (query_id, terms) with every other term within ``slop`` words."""
-    close = F.expr(
-        "filter(lists[0].at, p -> forall(lists, x -> exists(x.at, q -> abs(q - p) <= "
-        f"{int(slop)})))"
-    )
-    return (
-        _lists(index, queries, False)
-        .select("query_id", "doc_id", close.alias("positions"))
-        .where("size(positions) > 0")
-    )

@@ -1,4 +1,6 @@
 import hashlib
+import random
+from collections import Counter
 
 from hyetos.llm import decontamination as d
 from tests.llm.conftest import invented
@@ -57,11 +59,54 @@ def test_blocks_change_nothing(spark, monkeypatch):
     assert all(r[2] == 14 for r in once)
 
 
-def test_phrases_and_terms_close_together(spark, make_docs):
+def found_in(docs, phrases, slop=None):
+    corpus = d.keyed(docs)
+    rows = d.occurrences(d.build_index(corpus), phrases, slop).join(corpus, ["k1", "k2"])
+    return sorted((r.phrase, r.doc_id, r.start) for r in rows.collect())
+
+
+def test_phrases_and_terms_close_together(make_docs):
     docs = make_docs(["red fox and blue fox", "blue fox red", "fox red red fox blue"])
-    index = d.postings(docs, ["red", "blue", "fox"])
-    queries = spark.createDataFrame([(1, ["blue", "fox"]), (2, ["red", "fox"])], "query_id long, terms array<string>")
-    assert sorted((r.query_id, r.doc_id, r.starts) for r in d.phrases_of(index, queries).collect()) == [
-        (1, 0, [3]), (1, 1, [0]), (2, 0, [0]), (2, 2, [2])]
-    close = d.near(index, queries.where("query_id = 1"), 1).collect()
-    assert sorted((r.doc_id, r.positions) for r in close) == [(0, [3]), (1, [0]), (2, [4])]
+    assert found_in(docs, ["blue fox", "red fox"]) == [
+        ("blue fox", 0, 3), ("blue fox", 1, 0), ("red fox", 0, 0), ("red fox", 2, 2)]
+    assert found_in(docs, ["blue fox"], 1) == [
+        ("blue fox", 0, 3), ("blue fox", 1, 0), ("blue fox", 2, 4)]
+
+
+def test_near_like_a_plain_search(make_docs, monkeypatch):
+    monkeypatch.setattr(d, "AT_ONCE", 5)
+    source = random.Random(3)
+    texts = [" ".join(source.choice("abcdefgh") for _ in range(source.randrange(30))) for _ in range(40)]
+    phrases = ["a b", "c d e", "h", "a a b", "g zz", "b c d e f"]
+    counts = Counter(" ".join(texts).split())
+    for slop in (0, 2, 63):
+        plain_rows = []
+        for doc_id, text in enumerate(texts):
+            own = text.split()
+            for phrase in phrases:
+                rarest = min(phrase.split(), key=lambda w: (counts[w], w))
+                for at, word in enumerate(own):
+                    around = own[max(0, at - slop) : at + slop + 1]
+                    if word == rarest and all(w in around for w in phrase.split()):
+                        plain_rows.append((phrase, doc_id, at))
+        assert found_in(make_docs(texts), phrases, slop) == sorted(plain_rows)
+
+
+def test_many_windows_read_the_corpus_once(spark, tmp_path, monkeypatch):
+    items = spark.createDataFrame([(i, " ".join(invented(i, 30))) for i in range(4)], "item_id long, text string")
+    monkeypatch.setattr(d, "BLOCK_WINDOWS", 7)
+    reads, real = [], d.build_index
+    monkeypatch.setattr(d, "build_index", lambda docs: reads.append(1) or real(docs))
+    docs = items.selectExpr("item_id as doc_id", "text", "1 as k1", "'x' as terms", "2 as counts")
+    rows = d.contamination(docs, items)
+    assert reads == [1] and {r.n_hit for r in rows.collect()} == {30}
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "mapInArrow" not in plan and "MapInArrow" not in plan  # all from stored tables
+
+
+def test_one_very_long_text(make_docs, spark):
+    passage = " ".join(invented(7, 12))
+    docs = make_docs([("the " * 1_500_000) + passage, None, "the"])
+    items = spark.createDataFrame([(1, passage), (2, "the the")], "item_id long, text string")
+    rows = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in d.contamination(docs, items).collect()}
+    assert rows == {0: (1_500_012, 1_500_012, 2), 1: (0, 0, 0), 2: (1, 0, 0)}
