@@ -16,6 +16,7 @@ whatever the benchmark's size; each block reads the index, not the corpus.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -257,31 +258,43 @@ def phrase_blocks(listed: DataFrame) -> Iterator[list[str]]:
         yield sorted(r.phrase for r in phrases.where(mine).collect())
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
+def _items_of(found: DataFrame, listed: DataFrame) -> DataFrame:
+    """k1, k2 and the sorted names of the items that have one of the phrases found."""
+    pairs = found.select("k1", "k2", "phrase").distinct().join(listed, "phrase")
+    return pairs.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("item")).alias("items"))
+
+
+def contamination(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW, slop: int | None = None
+) -> DataFrame:
     """For every row of ``docs`` (doc_id, text) what it shares with ``items`` (item_id, text).
 
     doc_id, n_words, n_hit (words inside an occurrence of a window), n_items (items with an
     occurring window), items_sha256 (of their ids, sorted as strings, comma-joined; of the
     empty string if there are none) and contaminated. NULL texts have no words. Repeated
-    rows stay repeated; other columns are ignored.
+    rows stay repeated; other columns are ignored. With ``slop`` also n_near: the items that
+    have a window whose words all stand, in any order, at most so many words from a place of
+    its rarest word (see ``occurrences``).
     """
     index = stored(build_index(keyed(docs.select("doc_id", "text"))), "postings")
     listed = stored(windows(items, size), "benchmark-windows")
-    found = None
+    found, close = [], []
     for phrases in phrase_blocks(listed):
-        matches = occurrences(index, phrases)
-        found = matches if found is None else found.unionAll(matches)
-    found = stored(found, "phrase-matches")
+        found.append(occurrences(index, phrases))
+        if slop is not None:
+            close.append(occurrences(index, phrases, slop))
+    found = stored(reduce(DataFrame.unionAll, found), "phrase-matches")
     hits = found.groupBy("k1", "k2").agg(
         covered(F.sort_array(F.collect_set(F.struct("start", "size")))).alias("n_hit")
     )
-    names = (
-        found.select("k1", "k2", "phrase").distinct()
-        .join(listed, "phrase")
-        .groupBy("k1", "k2")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
-    )
-    joined = documents_of(index).join(hits, ["k1", "k2"], "left").join(names, ["k1", "k2"], "left")
+    joined = documents_of(index).join(hits, ["k1", "k2"], "left")
+    joined = joined.join(_items_of(found, listed), ["k1", "k2"], "left")
+    more = []
+    if slop is not None:
+        near = _items_of(reduce(DataFrame.unionAll, close), listed)
+        near = near.select("k1", "k2", F.size("items").cast("long").alias("n_near"))
+        joined = joined.join(stored(near, "near-items"), ["k1", "k2"], "left")
+        more = [F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near")]
     ids = F.coalesce(F.array_join("items", ","), F.lit(""))
     return joined.select(
         "doc_id",
@@ -290,4 +303,5 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
         F.sha2(ids, 256).alias("items_sha256"),
         F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
+        *more,
     )

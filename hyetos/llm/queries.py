@@ -42,7 +42,7 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(
-        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), slop=20
     )
 
 
@@ -70,10 +70,27 @@ words as (
     group by 1),
 items as (
     select doc_id, count(*) n_items, string_agg(i, ',' order by i) ids
-    from (select distinct doc_id, item_id::varchar i from hits) group by 1)
+    from (select distinct doc_id, item_id::varchar i from hits) group by 1),
+places as (select id doc_id, unnest(w) word, generate_subscripts(w, 1) p from cut where kind = 'd'),
+terms as (select distinct phrase, unnest(string_split(phrase, ' ')) word from windows),
+ranked as (
+    select phrase, word, count(*) over (partition by phrase) k,
+           row_number() over (partition by phrase order by coalesce(c, 0), word) r
+    from terms left join (select word, count(*) c from places group by 1) using (word)),
+anchors as (select phrase, k, doc_id, p from ranked join places using (word) where r = 1),
+close as (
+    select distinct phrase, doc_id from (
+        select a.phrase, a.doc_id, a.p
+        from anchors a join terms t on a.phrase = t.phrase
+        join places o on o.doc_id = a.doc_id and o.word = t.word and abs(o.p - a.p) <= 20
+        group by a.phrase, a.doc_id, a.p, a.k having count(distinct t.word) = a.k)),
+near as (
+    select doc_id, count(distinct item_id) n_near from close join windows using (phrase) group by 1)
 select id doc_id, len(w)::bigint n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items,
-       sha256(coalesce(ids, '')) items_sha256, n_hit is not null contaminated
+       sha256(coalesce(ids, '')) items_sha256, n_hit is not null contaminated,
+       coalesce(n_near, 0) n_near
 from cut left join words on id = words.doc_id left join items on id = items.doc_id
+left join near on id = near.doc_id
 where kind = 'd'
 """
 

@@ -110,3 +110,11 @@ def test_one_very_long_text(make_docs, spark):
     items = spark.createDataFrame([(1, passage), (2, "the the")], "item_id long, text string")
     rows = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in d.contamination(docs, items).collect()}
     assert rows == {0: (1_500_012, 1_500_012, 2), 1: (0, 0, 0), 2: (1, 0, 0)}
+
+
+def test_items_near(spark, make_docs):
+    docs = make_docs(["x red of the fox y", "fox red", "fox " + "z " * 20 + "red", None, "red"])
+    items = spark.createDataFrame([(1, "Red fox"), (2, "red"), (2, "red fox"), (3, "gone")], "item_id long, text string")
+    rows = {r.doc_id: (r.n_items, r.n_near) for r in d.contamination(docs, items, slop=20).collect()}
+    assert rows == {0: (1, 2), 1: (1, 2), 2: (1, 1), 3: (0, 0), 4: (1, 1)}
+    assert "n_near" not in d.contamination(docs, items).columns
