@@ -5,12 +5,15 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 
 
 def configure(
@@ -25,14 +28,38 @@ def configure(
         builder.config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+        .config(PROVIDER_KEY, ROCKSDB_PROVIDER)
+        .config(CHANGELOG_KEY, "true")
     )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder
 
 
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started within keep their state in RocksDB, also in a session without :func:`configure`.
+
+    A stream takes the settings of its session when it starts, so they are put back after.
+    A provider other than Spark's default stays.
+    """
+    default = "HDFSBackedStateStoreProvider"
+    wanted = {}
+    if spark.conf.get(PROVIDER_KEY).rpartition(".")[2] == default:
+        wanted = {PROVIDER_KEY: ROCKSDB_PROVIDER, CHANGELOG_KEY: "true"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def object_store_options(
     endpoint: str | None = None,
     region: str | None = None,

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
+from hyetos.session import rocksdb_state
 from hyetos.streaming.queries import SPELLS, start_history
 
 HOUR_MS = 3_600_000
@@ -89,7 +90,7 @@ def start_spells(
     """Closed spells of fetched temperatures: name, opened, last_hour, n_hours, peak, closed_by.
 
     Hours are those of ``fetch_time``; readings later than the watermark, ``delay`` behind the
-    newest, are dropped. Needs the RocksDB state store, which ``configure`` sets.
+    newest, are dropped. The state function needs the RocksDB state store and gets it here.
     """
     timed = forecast.select("name", F.col("fetch_time").cast("timestamp").alias("fetch_time"), "temp")
     peaks = (
@@ -109,4 +110,5 @@ def start_spells(
         "peak",
         "closed_by",
     )
-    return start_history(shown, root, SPELLS, "append", **options)
+    with rocksdb_state(forecast.sparkSession):
+        return start_history(shown, root, SPELLS, "append", **options)

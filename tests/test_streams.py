@@ -22,6 +22,7 @@ from hyetos.sources.snapshots import (
 from hyetos.streaming import queries as streams
 from hyetos.streaming.spells import start_spells
 
+PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 CONDITIONS = ("Sunny", "Fog", "Rain")
 
 
@@ -263,6 +264,20 @@ def test_spells_open_last_and_close_across_restarts(spark, tmp_path):
     assert {r[-1] for r in shown} == {"calm", "quiet"}
 
 
+def test_spells_run_in_a_session_without_rocksdb(spark, tmp_path):
+    before = spark.conf.get(PROVIDER_KEY)
+    new = [("A", at(0), at(h), t) for h, t in enumerate([33.0, 28.0, 10.0, 10.0, 10.0])]
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(PROVIDER_KEY, default)
+    try:
+        run(start_spells(fetches(spark, tmp_path / "landing", new), str(tmp_path / "job"), delay="1 minute", once=True))
+        assert spark.conf.get(PROVIDER_KEY) == default  # as it was, for other streams of the session
+    finally:
+        spark.conf.set(PROVIDER_KEY, before)
+    found = read_history(spark, str(tmp_path / "job"), streams.SPELLS)
+    assert rows(found, "name", "opened", "last_hour", "closed_by") == [("A", at(0), at(1), "calm")]
+
+
 def test_one_read_serves_trend_alerts_and_damage(spark, landing, tmp_path):
     root = str(tmp_path / "job")
     (landing / "broken.json").write_text('[{"location": 3}, {"location": {"name": "C0"}}]')
