@@ -6,6 +6,7 @@ Layout under a job root::
     <root>/<kind>/history/batch_id=N     rows of batch N (Parquet)
     <root>/<kind>/manifest/batch_id=N    query id and row count of batch N (JSON)
     <root>/<kind>/segments/<name>        rows and manifest entries of many batches (Parquet)
+    <root>/<kind>/waiting/batch_id=N     what batch N leaves to the next one, where a stream keeps such rows
     <root>/<kind>/generations/gen=N      which segments there are, up to which batch (JSON)
 
 A batch counts once its manifest entry exists. It is written last, and a batch that
@@ -50,6 +51,10 @@ def checkpoint_path(root: str, kind: str) -> str:
     return f"{root}/{kind}/checkpoint"
 
 
+def waiting_path(root: str, kind: str) -> str:
+    return f"{root}/{kind}/waiting"
+
+
 def segments_path(root: str, kind: str) -> str:
     return f"{root}/{kind}/segments"
 

@@ -223,6 +223,33 @@ def test_alerts_are_withdrawn_by_later_revisions(spark, tmp_path):
     assert {r[-1] is None for r in found} == {True, False}
 
 
+def test_alerts_of_a_busy_hour_are_not_paired_with_its_revisions(spark, tmp_path):
+    root, landing = str(tmp_path / "job"), tmp_path / "landing"
+    hours = [("A", at(0), at(m / 60), t) for m in range(0, 20, 2) for t in [40.0] * 20]
+    calm = [("A", at(0), at(m / 60), t) for m in range(1, 21, 2) for t in [20.0] * 20]
+    nobody = [(None, at(0), at(0.1), 40.0), (None, at(0), at(0.2), 20.0), ("A", None, at(0.1), 40.0)]
+    slow = {"within": "30 minutes", "delay": "30 minutes", "once": True}
+
+    def go(new):
+        run(streams.start_withdrawn(fetches(spark, landing, new), root, **slow))
+
+    go(hours + calm + nobody)
+    history = read_history(spark, root, streams.WITHDRAWN)
+    assert history.count() == 200  # one row an alert, not one for each later revision
+    go([("B", at(0), at(0.3), 40.0), ("B", at(0), at(0.5), 20.0)])
+    go([("B", at(0), at(0.4), 15.0), ("A", at(0), at(0.5 / 60), 10.0)])  # late, yet before what was known
+    go([("Z", at(0), at(9), 40.0), ("Z", at(1), at(9), 20.0)])  # move the mark on
+    history = read_history(spark, root, streams.WITHDRAWN).where("name is null or name <> 'Z'")
+    assert history.count() == 200 + 1 + 1 + 20 + 2  # B; then B and the alerts of minute 0 again; those of nobody
+    found = streams.first_withdrawal(history).select("name", "fetch_time", "withdrawn_at", "temperature_then")
+    expected = {("A", at(m / 60), at((m + 1) / 60), 20.0) for m in range(2, 20, 2)}
+    expected |= {("A", at(0), at(0.5 / 60), 10.0), ("B", at(0.3), at(0.4), 15.0)}
+    expected |= {(None, at(0.1), None, None), ("A", at(0.1), None, None)}
+    assert rows(found) == sorted(expected, key=repr)
+    waiting = spark.read.parquet(f"{root}/{streams.WITHDRAWN}/waiting/batch_id=000000000003/rows")
+    assert rows(waiting, "name") == [("Z",), ("Z",)]  # what is settled does not wait
+
+
 def spells_by_hand(peaks, mark, quiet=2):
     """Closed spells of {name: {hour number: peak}} for the hours closed at ``mark``."""
     found = []
