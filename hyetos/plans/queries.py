@@ -555,10 +555,11 @@ def _run_pipeline(spark: SparkSession, sf_dir: str, label: str) -> str:
     landing = f"{root}/landing"
     docs = events.document_view(events.read_events(spark, sf_dir))
     documents.land_arrays(docs, landing, least_files=200)
+    most = _files_per_batch(spark, landing)
 
     def forecast() -> DataFrame:
         read = documents.stream_documents(
-            spark, landing, events.EVENT_DOCUMENT, arrays=True, max_files=80
+            spark, landing, events.EVENT_DOCUMENT, arrays=True, max_files=most
         )
         return flatten.flatten(read)
 
@@ -581,10 +582,14 @@ def _run_shared(spark: SparkSession, sf_dir: str, label: str) -> str:
     return root
 
 
-def _start_shared_in_batches(spark: SparkSession, root: str, landing: str, batches: int = 3) -> None:
-    """Read what has landed in about so many batches, whatever the number of files."""
+def _files_per_batch(spark: SparkSession, landing: str, batches: int = 3) -> int:
+    """As many files as give about so many batches, whatever the number of files."""
     n_files = sum(1 for _ in names_descending(spark, f"{landing}/part-*"))
-    most = max(1, -(-n_files // batches))
+    return max(1, -(-n_files // batches))
+
+
+def _start_shared_in_batches(spark: SparkSession, root: str, landing: str) -> None:
+    most = _files_per_batch(spark, landing)
     judged = documents.stream_judged(spark, landing, events.EVENT_DOCUMENT, max_files=most)
     streams.await_all([streams.start_shared(judged, root, TREND, once=True)])
 

@@ -9,6 +9,8 @@ from hyetos.operators.flatten import current_conditions, flatten
 from hyetos.plans import queries
 from hyetos.sources import documents
 from hyetos.sources.events import EVENT_DOCUMENT, LEAD_HOURS, document_view, forecast_view
+from hyetos.sources.snapshots import read_manifest
+from hyetos.streaming import queries as streams
 
 DDL = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
@@ -55,3 +57,13 @@ def test_hot_timestamp_lands_in_bounded_files(spark, tmp_path, monkeypatch):
     found = documents.read_documents(spark, f"{tmp_path}/landing", EVENT_DOCUMENT, arrays=True)
     flat = lambda rows: sorted(map(repr, flatten(rows, hour_extra=("event_id",)).collect()))
     assert flat(found) == flat(docs)
+
+
+def test_batches_of_the_main_path_do_not_grow_with_its_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(documents, "MOST_DOCUMENTS", 1)
+    table = events(spark, [f'{{"k": {i % 90}}}' for i in range(330)]).coalesce(1)
+    table.write.parquet(f"{tmp_path}/events.parquet")
+    root = queries._run_pipeline(spark, str(tmp_path), "many")
+    assert len(lengths(f"{root}/landing")) == 330
+    for kind in (streams.TRENDS, streams.EXTREME):
+        assert read_manifest(spark, root, kind).count() == 3
