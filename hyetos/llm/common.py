@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hyetos.session import work_dir
+from hyetos.session import shuffles_removed, work_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     """``df`` written once under the shared work folder and read back.
 
-    Cuts the lineage: lost executors cost a new read, not a new computation.
+    Cuts the lineage: lost executors cost a new read, not a new computation. The shuffle
+    files of the write go when it is done.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
-    df.write.option("compression", codec).parquet(path)
+    with shuffles_removed(spark):
+        df.write.option("compression", codec).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

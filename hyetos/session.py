@@ -14,6 +14,7 @@ ROCKSDB_PROVIDER = (
 )
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def configure(
@@ -91,6 +92,24 @@ def object_store_options(
     return options
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries that start within remove their shuffle files when they end.
+
+    Otherwise the files stay until the driver's garbage collector finds the query, so that
+    those of a chain of written tables add up. Meant for writes, which nothing reads twice.
+    """
+    before = spark.conf.get(CLEANUP_KEY, None)
+    spark.conf.set(CLEANUP_KEY, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP_KEY)
+        else:
+            spark.conf.set(CLEANUP_KEY, before)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder path for written tables and checkpoints.
 
