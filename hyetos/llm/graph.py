@@ -32,12 +32,13 @@ def components(edges: DataFrame) -> DataFrame:
             links.select("lo", "hi")
         )
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        large = large.where("hi <> lo").distinct()
+        least = least.select(F.col("u").alias("lo"), F.least("u", "m").alias("m"))
+        # one row for each link, written so that its two uses do not compute it twice
+        large = stored(links.join(least, "lo").select("hi", F.col("m").alias("lo")), "links")
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        moved = large.join(least, "hi").where("lo <> m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-        links = stored(moved.union(least.select("hi", "m")).distinct(), "links")
+        moved = F.when(F.col("lo") == F.col("m"), F.col("hi")).otherwise(F.col("lo"))
+        small = large.join(least, "hi").select(moved.alias("hi"), F.col("m").alias("lo"))
+        links = stored(small.distinct(), "links")
         before, state = state, _state(links)
         if state == before:
             break

@@ -296,9 +296,8 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         roots = stored(roots, "line-roots")
         possible = stored(_open_pairs(rows, roots, maps, threshold, tries), "line-open-pairs")
         more = links(possible, texts, maps, threshold)
-        if not more.isEmpty():
-            found = found.union(more)
-            roots = components(found)
+        if not more.isEmpty():  # the stars found so far stand for their links
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     return roots
 
 

@@ -46,6 +46,41 @@ def test_components(spark):
     assert graph.components(frame.limit(0)).count() == 0
 
 
+def test_a_round_of_components_has_few_tasks(spark, monkeypatch):
+    """Where partitions are not merged, a round takes little more than three tasks for each of them."""
+    wide = {
+        "spark.sql.shuffle.partitions": "64",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before, states = {key: spark.conf.get(key) for key in wide}, []
+    state = graph._state
+    monkeypatch.setattr(graph, "_state", lambda links: states.append(state(links)) or states[-1])
+    source = random.Random(3)
+    edges = [(source.randrange(900), source.randrange(900)) for _ in range(700)]
+    frame = spark.createDataFrame(edges, "a long, b long").repartition(4).persist()
+    frame.count()
+    context = spark.sparkContext
+    try:
+        for key, value in wide.items():
+            spark.conf.set(key, value)
+        context.setJobGroup("components", "components")
+        found = {r.node: r.root for r in graph.components(frame).collect()}
+    finally:
+        context._jsc.clearJobGroup()
+        for key, value in before.items():
+            spark.conf.set(key, value)
+        frame.unpersist()
+    linked = {frozenset(edge) for edge in edges}
+    roots = groups(900, lambda a, b: frozenset((a, b)) in linked)
+    ends = {end for edge in edges if edge[0] != edge[1] for end in edge}
+    assert found == {end: roots[end] for end in ends}
+    tracker = context.statusTracker()
+    stages = {s for job in tracker.getJobIdsForGroup("components") for s in tracker.getJobInfo(job).stageIds}
+    tasks = sum(tracker.getStageInfo(s).numCompletedTasks for s in stages if tracker.getStageInfo(s))
+    assert tasks < (len(states) + 1) * 64 * 5
+
+
 @pytest.mark.parametrize("small", [48, 6])
 def test_join_like_all_pairs(spark, make_docs, odd_docs, monkeypatch, small):
     monkeypatch.setattr(similarity_join, "SMALL", small)
