@@ -38,6 +38,7 @@ HASHES = 32
 ROWS = 4
 BANDS = 12
 STRIDE = 4
+PART = 8  # shingles hashed in one row
 SMALL = 12
 MIDDLE = 1024
 TRIES = 16
@@ -111,7 +112,12 @@ def signatures(lines: DataFrame) -> DataFrame:
 
 
 def thinned(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """The rows whose ``column`` may be a value of ``wanted``; all that are pass.
+    """The rows whose ``column`` may be a value of ``wanted``; all that are pass."""
+    return marked(rows, column, wanted).where("may").drop("may")
+
+
+def marked(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows and ``may``: false only if ``column`` is certainly no value of ``wanted``.
 
     The broadcast bit map has at most ``MOST_BITS`` bits whatever the input.
     """
@@ -124,24 +130,34 @@ def thinned(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
         .groupBy("word")
         .agg(F.bit_or("bit").alias("mask"))
     )
-    marked = rows.withColumn("slot", slot).withColumn("word", F.expr("slot div 64"))
-    kept = marked.join(F.broadcast(words), "word").where("bit_get(mask, int(slot % 64)) = 1")
-    return kept.select(*rows.columns)
-
-
-def shingle_set(text: str) -> Column:
-    """The distinct shingle hashes of a column of normal lines."""
-    # the outer transform makes the units once for all places
-    return F.expr(
-        f"transform(array(encode({text}, 'UTF-16BE')), u -> array_distinct(transform("
-        f"sequence(0, greatest(length(u) div 2 - {SHINGLE}, 0)), "
-        f"i -> xxhash64(substring(u, 2 * i + 1, {2 * SHINGLE})))))[0]"
-    )
+    slotted = rows.withColumn("slot", slot).withColumn("word", F.expr("slot div 64"))
+    may = F.expr("coalesce(bit_get(mask, int(slot % 64)) = 1, false)").alias("may")
+    return slotted.join(F.broadcast(words), "word", "left").select(*rows.columns, may)
+
+
+def shingle_sets(rows: DataFrame, keys: list[str], *texts: str) -> DataFrame:
+    """keys, which name one row each, and pieces: the distinct shingle hashes of its ``texts`` together.
+
+    Pieces are made ``PART`` at a time, which is compiled code, not a lambda for each. Rows dealt
+    by one of the keys meet again without a shuffle of their pieces.
+    """
+    ready = rows.select(*keys, *[F.encode(t, "UTF-16BE").alias(f"units {t}") for t in texts])
+    ends = [F.expr(f"greatest(length(`units {t}`) div 2 - {SHINGLE}, 0)").alias(f"last {t}") for t in texts]
+    last, step = reduce(F.greatest, [F.lit(0), *[F.col(f"last {t}") for t in texts]]), PART // len(texts)
+    spread = ready.select("*", *ends).withColumn("at", F.explode(F.sequence(F.lit(0), last, F.lit(step))))
+    hashes = [
+        F.xxhash64(F.expr(f"substring(`units {t}`, 2 * least(at + {i}, `last {t}`) + 1, {2 * SHINGLE})"))
+        for t in texts
+        for i in range(step)
+    ]
+    parts = spread.select(*keys, F.array(*hashes).alias("part"))
+    whole = parts.groupBy(*keys).agg(F.collect_list("part").alias("parts"))
+    return whole.select(*keys, F.array_distinct(F.flatten("parts")).alias("pieces"))
 
 
 def bit_maps(texts: DataFrame) -> DataFrame:
     """node, size (distinct shingles) and map (a bit for each shingle's hash) of every text."""
-    pieces = texts.select("node", shingle_set("normal").alias("pieces"))
+    pieces = shingle_sets(texts.repartition("node"), ["node"], "normal")
     spread = pieces.select("node", F.size("pieces").alias("size"), F.explode("pieces").alias("piece"))
     slot = F.pmod("piece", F.lit(64 * WORDS))
     slotted = spread.select(
@@ -157,19 +173,27 @@ def bit_maps(texts: DataFrame) -> DataFrame:
     )
 
 
-def _most_shared() -> str:
-    """The most shingles that lines a and b can share: a bit of one map only is one that differs."""
+def _most_shared(words: int = WORDS) -> str:
+    """The most shingles that lines a and b can share, by the first ``words`` of their maps.
+
+    A bit of one map only is one that differs.
+    """
     def alone(one: str, other: str) -> str:
-        return " + ".join(f"bit_count(map_{one}[{i}] & ~map_{other}[{i}])" for i in range(WORDS))
+        return " + ".join(f"bit_count(map_{one}[{i}] & ~map_{other}[{i}])" for i in range(words))
 
     return f"least(size_a - ({alone('a', 'b')}), size_b - ({alone('b', 'a')}))"
 
 
 def _may_reach(threshold: float) -> Column:
-    """False only for pairs whose Jaccard similarity is certainly below the threshold."""
-    return F.expr(
-        f"{_most_shared()} * {1 + threshold}D >= {threshold}D * (size_a + size_b) - 1e-6D"
-    )
+    """False only for pairs whose Jaccard similarity is certainly below the threshold.
+
+    Sizes alone, then a quarter of the maps, exclude most such pairs before the whole maps do.
+    """
+    def enough(shared: str) -> str:
+        return f"{shared} * {1 + threshold}D >= {threshold}D * (size_a + size_b) - 1e-6D"
+
+    bounds_in_turn = ("least(size_a, size_b)", _most_shared(WORDS // 4), _most_shared())
+    return F.expr(" and ".join(f"({enough(shared)})" for shared in bounds_in_turn))
 
 
 def _side(rows: DataFrame, end: str) -> DataFrame:
@@ -179,33 +203,42 @@ def _side(rows: DataFrame, end: str) -> DataFrame:
     )
 
 
+def _sized(pairs: DataFrame, maps: DataFrame) -> DataFrame:
+    """The pairs with size and map of both ends."""
+    return pairs.join(_side(maps, "a"), "a").join(_side(maps, "b"), "b")
+
+
 def bounds(pairs: DataFrame, maps: DataFrame) -> DataFrame:
-    """a, b and bound: the similarity they have at most."""
-    both = pairs.join(_side(maps, "a"), "a").join(_side(maps, "b"), "b")
-    shared = both.select("a", "b", (F.col("size_a") + F.col("size_b")).alias("sizes"), F.expr(_most_shared()).alias("shared"))
-    return shared.select("a", "b", F.expr("shared / (sizes - shared)").alias("bound"))
+    """a, b, size_a, size_b and bound: the similarity they have at most."""
+    shared = _sized(pairs, maps).select("a", "b", "size_a", "size_b", F.expr(_most_shared()).alias("shared"))
+    bound = F.expr("shared / (size_a + size_b - shared)")
+    return shared.select("a", "b", "size_a", "size_b", bound.alias("bound"))
 
 
 def links(pairs: DataFrame, texts: DataFrame, maps: DataFrame, threshold: float) -> DataFrame:
     """The pairs whose similarity is at least the threshold; written, for sets are built once so."""
-    possible = pairs.join(_side(maps, "a"), "a").join(_side(maps, "b"), "b").where(_may_reach(threshold))
-    scored = stored(similarities(possible.select("a", "b"), texts), "line-scores")
+    possible = _sized(pairs, maps).where(_may_reach(threshold))
+    exact = similarities(possible.select("a", "b", "size_a", "size_b"), texts)
+    scored = stored(exact, "line-scores")
     return scored.where(F.col("similarity") >= threshold).select("a", "b")
 
 
 def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b and the exact Jaccard similarity of their lines; texts are (node, normal)."""
-    sets = (
-        pairs.join(texts.select(F.col("node").alias("a"), F.col("normal").alias("line_a")), "a")
+    """a, b and the exact Jaccard similarity of their lines; texts are (node, normal).
+
+    Pairs may bring their lines' size_a and size_b, the numbers of distinct shingles; with those
+    of both together they give the shared ones, so one set is built for a pair.
+    """
+    if "size_a" not in pairs.columns:
+        pairs = _sized(pairs, bit_maps(texts))
+    keys = ["a", "b", "size_a", "size_b"]
+    lines = (
+        pairs.select(*keys)
+        .join(texts.select(F.col("node").alias("a"), F.col("normal").alias("line_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("normal").alias("line_b")), "b")
-        .withColumn("set_a", shingle_set("line_a"))
-        .withColumn("set_b", shingle_set("line_b"))
-    )
-    similarity = F.expr(
-        "transform(array(size(array_intersect(set_a, set_b))), "
-        "n -> n / (size(set_a) + size(set_b) - n))[0]"
     )
-    return sets.select("a", "b", similarity.alias("similarity"))
+    both = shingle_sets(lines, keys, "line_a", "line_b").select(*keys, F.size("pieces").alias("either"))
+    return both.select("a", "b", F.expr("(size_a + size_b - either) / either").alias("similarity"))
 
 
 def _listed(rows: DataFrame) -> DataFrame:
@@ -243,7 +276,8 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         signed.select("node", "first_doc"), "node"
     )
     wanted = stored(wanted, "line-candidates")
-    own = nodes(lines).withColumn("doc", F.col("doc_id"))
+    first = thinned(lines, "doc_id", wanted.select(F.col("first_doc").alias("doc_id")).distinct())
+    own = nodes(first).withColumn("doc", F.col("doc_id"))
     same = wanted.select(F.col("node").alias("w"), "first_doc")
     fits = (F.col("node") == F.col("w")) & F.col("doc").eqNullSafe(F.col("first_doc"))
     texts = stored(
@@ -260,7 +294,7 @@ def connected(signed: DataFrame, lines: DataFrame, threshold: float) -> DataFram
         starred = stored(starred.where("node <> pivot"), "line-stars")
         stars = starred.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         bounded = stored(bounds(stars, maps), "line-bounds")
-        exact = similarities(bounded.where(F.col("bound") >= least).select("a", "b"), texts)
+        exact = similarities(bounded.where(F.col("bound") >= least).drop("bound"), texts)
         scored = stored(exact, "line-scores")
         found = found.union(scored.where(F.col("similarity") >= threshold).select("a", "b"))
         near = bounded.join(scored, ["a", "b"], "left").select(
@@ -362,7 +396,7 @@ def _parted(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     the fewest lines of the bucket have; each of those first pieces is a finer bucket.
     """
     nodes_in = rows.select("node").distinct().join(texts, "node")
-    pieces = stored(nodes_in.select("node", shingle_set("normal").alias("pieces")), "line-pieces")
+    pieces = stored(shingle_sets(nodes_in, ["node"], "normal"), "line-pieces")
     spread = rows.join(pieces, "node").select("band", "node", "copies", F.explode("pieces").alias("piece"))
     shared = spread.groupBy("band", "piece").agg(F.count("*").alias("lines")).where("lines > 1")
     ranked = (
@@ -391,13 +425,16 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     rooted = signed.select("node", "first_doc").join(roots, "node")
     firsts = rooted.groupBy("root").agg(F.min("first_doc").alias("class_doc"))
     grouped = stored(rooted.join(firsts, "root").select("node", "root", "class_doc"), "line-roots")
-    own = nodes(lines).select("doc_id", "line_no", "node")
-    single = signed.select("node", F.col("first_doc").alias("node_doc")).join(grouped, "node", "left")
-    named = single.select(
+    single = signed.select("node", F.col("first_doc").alias("node_doc"), "copies").join(grouped, "node", "left")
+    named = single.where("copies > 1 or root is not null").select(
         "node", F.coalesce("root", "node").alias("root"),
-        F.coalesce("class_doc", "node_doc").alias("class_doc"),
+        F.when(F.col("root").isNull(), F.col("node_doc")).otherwise(F.col("class_doc")).alias("class_doc"),
     )
-    placed = stored(own.join(named, "node").drop("node"), "line-places")
+    named = stored(named, "line-names")
+    own = nodes(lines).select("doc_id", "line_no", "node")
+    own = stored(marked(own, "node", named.select("node")), "line-own")
+    some = stored(own.where("may").drop("may").join(named, "node", "left"), "line-places")
+    placed = some.where("root is not null").drop("node")
     heads = (
         placed.where(F.col("doc_id").eqNullSafe(F.col("class_doc")))
         .groupBy("root")
@@ -405,7 +442,11 @@ def line_classes(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     )
     result = placed.join(heads, "root")
     kept = F.col("doc_id").eqNullSafe(F.col("class_doc")) & (F.col("line_no") == F.col("class_line"))
-    return result.select("doc_id", "line_no", "class_doc", "class_line", kept.alias("kept"))
+    alone = own.where("not may").union(some.where("root is null").select("doc_id", "line_no", "node", F.lit(True)))
+    # a line that comes once and has no link is a class of its own
+    alone = alone.select("doc_id", "line_no", F.col("doc_id").alias("class_doc"),
+                         F.col("line_no").alias("class_line"), F.lit(True).alias("kept"))
+    return result.select("doc_id", "line_no", "class_doc", "class_line", kept.alias("kept")).union(alone)
 
 
 def deduplicated(docs: DataFrame, threshold: float = 0.8) -> DataFrame:

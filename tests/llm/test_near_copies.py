@@ -226,6 +226,39 @@ def test_bounds_are_never_below_the_similarity(spark):
     assert kept == {p for p, similarity in exact.items() if similarity >= 0.8}
 
 
+def test_sets_are_built_once_without_lambdas_or_shuffled_pieces(spark):
+    texts = spark.createDataFrame([(1, "abc" * 30), (2, "abc" * 30 + "x"), (3, "short")], "node long, normal string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    maps = line_dedup.bit_maps(texts)
+    sized = line_dedup.bounds(pairs, maps)
+    assert {r.node: r.size for r in maps.collect()} == {1: 3, 2: 4, 3: 1}
+    assert {(r.a, r.b): r.similarity for r in line_dedup.similarities(sized, texts).collect()} == {
+        (1, 2): 3 / 4, (1, 3): 0.0, (2, 3): 0.0}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for df in (maps, line_dedup.similarities(sized, texts)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "lambda" not in plan and "array_intersect" not in plan
+            assert not [x for x in plan.splitlines() if "Exchange" in x and "part" in x.split("hashpartitioning")[0]]
+        plan = line_dedup.similarities(sized, texts)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[: plan.index("Generate")]  # above the pieces
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_lines_that_meet_others_are_joined(spark):
+    rows = [(1, "a line of its own\nthe same line\n"), (2, "THE same line \nanother that comes once"), (None, "nobody's line"),
+            (3, "twice here\ntwice here"), (4, "row twice"), (4, "row twice")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in line_dedup.line_classes(docs).collect()]
+    assert sorted(found, key=repr) == sorted(line_expectation(rows), key=repr)
+    lines = line_dedup.nodes(line_dedup.split_lines(docs))
+    wanted = lines.groupBy("node").count().where("count > 1")
+    kept = {(r.doc_id, r.line_no) for r in line_dedup.marked(lines, "node", wanted).where("may").collect()}
+    assert kept >= {(1, 1), (2, 0), (3, 0), (3, 1), (4, 0)} and len(kept) < 8
+    assert line_dedup.marked(lines, "node", wanted).count() == lines.count()
+
+
 def test_documents_without_repeated_lines(spark, no_docs):
     rows = [(1, "One line of text here\n\nanother line", 9, "x"), (2, "ONE line of text here ", 9, "y"),
             (3, "fresh words\none line of text here", 9, None), (4, None, 9, "n"), (5, "", 9, ""),
