@@ -135,29 +135,38 @@ def marked(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     return slotted.join(F.broadcast(words), "word", "left").select(*rows.columns, may)
 
 
-def shingle_sets(rows: DataFrame, keys: list[str], *texts: str) -> DataFrame:
-    """keys, which name one row each, and pieces: the distinct shingle hashes of its ``texts`` together.
+def shingle_sets(texts: DataFrame) -> DataFrame:
+    """node and pieces, the distinct shingle hashes, of every text (node, normal).
 
-    Pieces are made ``PART`` at a time, which is compiled code, not a lambda for each. Rows dealt
-    by one of the keys meet again without a shuffle of their pieces.
+    Pieces are made ``PART`` at a time, which is compiled code, not a lambda for each. Texts dealt
+    by node meet again without a shuffle of their pieces.
     """
-    ready = rows.select(*keys, *[F.encode(t, "UTF-16BE").alias(f"units {t}") for t in texts])
-    ends = [F.expr(f"greatest(length(`units {t}`) div 2 - {SHINGLE}, 0)").alias(f"last {t}") for t in texts]
-    last, step = reduce(F.greatest, [F.lit(0), *[F.col(f"last {t}") for t in texts]]), PART // len(texts)
-    spread = ready.select("*", *ends).withColumn("at", F.explode(F.sequence(F.lit(0), last, F.lit(step))))
+    ready = texts.select("node", F.encode("normal", "UTF-16BE").alias("units")).withColumn(
+        "last", F.expr(f"greatest(length(units) div 2 - {SHINGLE}, 0)")
+    )
+    spread = ready.withColumn("at", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(PART))))
     hashes = [
-        F.xxhash64(F.expr(f"substring(`units {t}`, 2 * least(at + {i}, `last {t}`) + 1, {2 * SHINGLE})"))
-        for t in texts
-        for i in range(step)
+        F.xxhash64(F.expr(f"substring(units, 2 * least(at + {i}, last) + 1, {2 * SHINGLE})"))
+        for i in range(PART)
     ]
-    parts = spread.select(*keys, F.array(*hashes).alias("part"))
-    whole = parts.groupBy(*keys).agg(F.collect_list("part").alias("parts"))
-    return whole.select(*keys, F.array_distinct(F.flatten("parts")).alias("pieces"))
+    parts = spread.select("node", F.array(*hashes).alias("part"))
+    whole = parts.groupBy("node").agg(F.collect_list("part").alias("parts"))
+    return whole.select("node", F.array_distinct(F.flatten("parts")).alias("pieces"))
+
+
+def _pieces(text: str) -> str:
+    """The shingle hashes of a column of normal lines, without rows for them; some may come twice."""
+    # the outer transform makes the units once for all places
+    return (
+        f"transform(array(encode({text}, 'UTF-16BE')), u -> transform("
+        f"sequence(1, 2 * greatest(length(u) div 2 - {SHINGLE}, 0) + 1, 2), "
+        f"i -> xxhash64(substring(u, i, {2 * SHINGLE}))))[0]"
+    )
 
 
 def bit_maps(texts: DataFrame) -> DataFrame:
     """node, size (distinct shingles) and map (a bit for each shingle's hash) of every text."""
-    pieces = shingle_sets(texts.repartition("node"), ["node"], "normal")
+    pieces = shingle_sets(texts.repartition("node"))
     spread = pieces.select("node", F.size("pieces").alias("size"), F.explode("pieces").alias("piece"))
     slot = F.pmod("piece", F.lit(64 * WORDS))
     slotted = spread.select(
@@ -237,8 +246,12 @@ def similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .join(texts.select(F.col("node").alias("a"), F.col("normal").alias("line_a")), "a")
         .join(texts.select(F.col("node").alias("b"), F.col("normal").alias("line_b")), "b")
     )
-    both = shingle_sets(lines, keys, "line_a", "line_b").select(*keys, F.size("pieces").alias("either"))
-    return both.select("a", "b", F.expr("(size_a + size_b - either) / either").alias("similarity"))
+    # the outer transform makes the set once for both of its uses
+    similarity = F.expr(
+        f"transform(array(size(array_union({_pieces('line_a')}, {_pieces('line_b')}))), "
+        "either -> (size_a + size_b - either) / either)[0]"
+    )
+    return lines.select("a", "b", similarity.alias("similarity"))
 
 
 def _listed(rows: DataFrame) -> DataFrame:
@@ -396,7 +409,7 @@ def _parted(rows: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     the fewest lines of the bucket have; each of those first pieces is a finer bucket.
     """
     nodes_in = rows.select("node").distinct().join(texts, "node")
-    pieces = stored(shingle_sets(nodes_in, ["node"], "normal"), "line-pieces")
+    pieces = stored(shingle_sets(nodes_in), "line-pieces")
     spread = rows.join(pieces, "node").select("band", "node", "copies", F.explode("pieces").alias("piece"))
     shared = spread.groupBy("band", "piece").agg(F.count("*").alias("lines")).where("lines > 1")
     ranked = (
