@@ -17,16 +17,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
+def stored(
+    df: DataFrame, label: str, codec: str = "zstd", group_bytes: int | None = None
+) -> DataFrame:
     """``df`` written once under the shared work folder and read back.
 
     Cuts the lineage: lost executors cost a new read, not a new computation. The shuffle
-    files of the write go when it is done.
+    files of the write go when it is done. With ``group_bytes`` a row group ends before it
+    has more bytes, or with its first row: Parquet's writer and Spark's reader hold a whole
+    group, and the writer else looks at its size only after 100 rows, however long.
     """
     spark = df.sparkSession
     path = work_dir(spark, label)
+    writer = df.write.option("compression", codec)
+    if group_bytes is not None:
+        writer = writer.option("parquet.block.size", group_bytes)
+        writer = writer.option("parquet.page.size.row.check.min", 1)
     with shuffles_removed(spark):
-        df.write.option("compression", codec).parquet(path)
+        writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -10,7 +10,9 @@ binary search. So a long list of a frequent term is probed, never walked. Withou
 and with a tolerance the same search finds terms that lie close together.
 
 Phrases are taken in blocks of at most ``BLOCK_WINDOWS``, so what a task holds is bounded
-whatever the benchmark's size; each block reads the index, not the corpus.
+whatever the benchmark's size; each block reads the index, not the corpus. A row group of
+the index has about ``PART_BYTES``, and parts go to Python one by one, so a task holds about
+one of them, however many its file has.
 """
 
 from __future__ import annotations
@@ -25,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hyetos.llm.common import full_text, slices, stored, text_slices
+from hyetos.session import arrow_batches
 
 WINDOW = 10
 BLOCK_WINDOWS = 50_000
 PART_BYTES = 1 << 22
 GAP = 64
-AT_ONCE = 1 << 20  # places of rarest terms looked up together
+AT_ONCE = 1 << 18  # places of rarest terms looked up together
 #: A word: digits, letters a-z (A-Z lower-cased) and everything beyond ASCII, in UTF-8.
 _KEEP = bytes(
     b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else b + 32 if 65 <= b <= 90 else 32
@@ -88,24 +91,30 @@ def build_index(docs: DataFrame) -> DataFrame:
     """
     names = ["doc_ids", "k1", "k2", "lengths", "terms", "counts", "places"]
 
+    def part_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = [t.encode().translate(_KEEP).strip() or None for t in batch.column(1).to_pylist()]
+        own = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
+        lengths = pc.fill_null(pc.list_value_length(own), 0).to_numpy().astype(np.int64)
+        coded = own.flatten().dictionary_encode()
+        del texts, own
+        each = coded.indices.to_numpy()
+        places = np.repeat(GAP * np.arange(1, len(lengths) + 1, dtype="<i4"), lengths)
+        places += np.arange(len(each), dtype="<i4")
+        arrays = [
+            *(batch.column(c) for c in (0, 2, 3)), pa.array(lengths),
+            coded.dictionary.cast(pa.string()),
+            pa.array(np.bincount(each, minlength=len(coded.dictionary)).astype(np.int64)),
+        ]
+        lists = [pa.ListArray.from_arrays([0, len(a)], a) for a in arrays]
+        sorted_places = places[np.argsort(each, kind="stable")].tobytes()
+        return pa.RecordBatch.from_arrays(
+            [*lists, pa.array([sorted_places], pa.binary())], names=names
+        )
+
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, 1, PART_BYTES):
-            texts = [t.encode().translate(_KEEP).strip() or None for t in batch.column(1).to_pylist()]
-            own = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).cast(pa.large_string()))
-            lengths = pc.fill_null(pc.list_value_length(own), 0).to_numpy().astype(np.int64)
-            coded = own.flatten().dictionary_encode()
-            each = coded.indices.to_numpy()
-            places = np.arange(len(each)) + np.repeat(GAP * np.arange(1, len(lengths) + 1), lengths)
-            arrays = [
-                *(batch.column(c) for c in (0, 2, 3)), pa.array(lengths),
-                coded.dictionary.cast(pa.string()),
-                pa.array(np.bincount(each, minlength=len(coded.dictionary)).astype(np.int64)),
-            ]
-            lists = [pa.ListArray.from_arrays([0, len(a)], a) for a in arrays]
-            sorted_places = places[np.argsort(each, kind="stable")].astype("<i4").tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [*lists, pa.array([sorted_places], pa.binary())], names=names
-            )
+            yield part_of(batch)
+            pa.default_memory_pool().release_unused()
 
     ddl = (
         "doc_ids array<long>, k1 array<long>, k2 array<long>, lengths array<long>, "
@@ -229,6 +238,7 @@ def occurrences(index: DataFrame, phrases: list[str], slop: int | None = None) -
                         ],
                         names=names,
                     )
+                pa.default_memory_pool().release_unused()
 
     ddl = "k1 long, k2 long, start long, size long, phrase string"
     return index.select("k1", "k2", "lengths", "terms", "counts", "places").mapInArrow(look_up, ddl)
@@ -276,24 +286,29 @@ def contamination(
     have a window whose words all stand, in any order, at most so many words from a place of
     its rarest word (see ``occurrences``).
     """
-    index = stored(build_index(keyed(docs.select("doc_id", "text"))), "postings")
+    with arrow_batches(docs.sparkSession, size=PART_BYTES):
+        built = build_index(keyed(docs.select("doc_id", "text")))
+        index = stored(built, "postings", group_bytes=PART_BYTES)
     listed = stored(windows(items, size), "benchmark-windows")
-    found, close = [], []
-    for phrases in phrase_blocks(listed):
-        found.append(occurrences(index, phrases))
+    found, close, near = [], [], None
+    with arrow_batches(docs.sparkSession, rows=1):
+        for phrases in phrase_blocks(listed):
+            found.append(occurrences(index, phrases))
+            if slop is not None:
+                close.append(occurrences(index, phrases, slop))
+        found = stored(reduce(DataFrame.unionAll, found), "phrase-matches")
         if slop is not None:
-            close.append(occurrences(index, phrases, slop))
-    found = stored(reduce(DataFrame.unionAll, found), "phrase-matches")
+            near = _items_of(reduce(DataFrame.unionAll, close), listed)
+            near = near.select("k1", "k2", F.size("items").cast("long").alias("n_near"))
+            near = stored(near, "near-items")
     hits = found.groupBy("k1", "k2").agg(
         covered(F.sort_array(F.collect_set(F.struct("start", "size")))).alias("n_hit")
     )
     joined = documents_of(index).join(hits, ["k1", "k2"], "left")
     joined = joined.join(_items_of(found, listed), ["k1", "k2"], "left")
     more = []
-    if slop is not None:
-        near = _items_of(reduce(DataFrame.unionAll, close), listed)
-        near = near.select("k1", "k2", F.size("items").cast("long").alias("n_near"))
-        joined = joined.join(stored(near, "near-items"), ["k1", "k2"], "left")
+    if near is not None:
+        joined = joined.join(near, ["k1", "k2"], "left")
         more = [F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near")]
     ids = F.coalesce(F.array_join("items", ","), F.lit(""))
     return joined.select(

@@ -15,6 +15,8 @@ ROCKSDB_PROVIDER = (
 PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 CHANGELOG_KEY = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
 CLEANUP_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BYTES_KEY = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def configure(
@@ -110,6 +112,30 @@ def shuffles_removed(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(CLEANUP_KEY, before)
 
 
+@contextmanager
+def arrow_batches(
+    spark: SparkSession, rows: int | None = None, size: int | None = None
+) -> Iterator[None]:
+    """Queries that start within send Python at most ``rows`` rows at a time.
+
+    A batch that has ``size`` bytes gets no more rows. The JVM holds a batch several times
+    while it is sent, once for each task, so batches of long rows want to be short.
+    """
+    wanted = {BATCH_ROWS_KEY: rows, BATCH_BYTES_KEY: size}
+    wanted = {key: str(value) for key, value in wanted.items() if value is not None}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    try:
+        for key, value in wanted.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder path for written tables and checkpoints.
 

@@ -1,5 +1,6 @@
 import time
 
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from hyetos.llm import common
@@ -26,3 +27,14 @@ def test_a_stored_table_leaves_no_shuffle_files(spark):
     assert table.agg(F.sum("count"), F.sum("n")).first() == (1000, 1000)
     # a frame that was written can still be used, and written again
     assert common.stored(rows, "again").count() == rows.count() == 7
+
+
+def test_long_rows_end_their_row_group(spark):
+    numbers = F.transform(F.sequence(F.lit(1), F.lit(2000)), lambda i: i + F.col("id"))
+    pieces = F.transform(numbers, lambda i: F.sha2(i.cast("string"), 256))
+    rows = spark.range(0, 12, 1, 1).select("id", F.concat_ws("", pieces).alias("text"))
+    for group_bytes, groups in ((1 << 16, 12), (1 << 24, 1), (None, 1)):
+        table = common.stored(rows, "groups", group_bytes=group_bytes)
+        files = [pq.ParquetFile(f.replace("file://", "", 1)) for f in table.inputFiles()]
+        assert [f.num_row_groups for f in files] == [groups]
+        assert table.exceptAll(rows).count() == 0 and table.count() == 12

@@ -2,7 +2,10 @@ import hashlib
 import random
 from collections import Counter
 
+import pyarrow.parquet as pq
+
 from hyetos.llm import decontamination as d
+from hyetos.session import BATCH_BYTES_KEY, BATCH_ROWS_KEY
 from tests.llm.conftest import invented
 
 
@@ -118,3 +121,26 @@ def test_items_near(spark, make_docs):
     rows = {r.doc_id: (r.n_items, r.n_near) for r in d.contamination(docs, items, slop=20).collect()}
     assert rows == {0: (1, 2), 1: (1, 2), 2: (1, 1), 3: (0, 0), 4: (1, 1)}
     assert "n_near" not in d.contamination(docs, items).columns
+
+
+def test_a_task_holds_one_part_at_a_time(spark, make_docs, monkeypatch):
+    stored, seen = {}, {}
+    real = d.stored
+
+    def store(df, label, **options):
+        seen[label] = [spark.conf.get(key, None) for key in (BATCH_ROWS_KEY, BATCH_BYTES_KEY)]
+        stored[label] = real(df, label, **options)
+        return stored[label]
+
+    passage = " ".join(invented(9, 12))
+    docs = make_docs([" ".join(invented(i, 700_000)) for i in range(3)] + [passage]).coalesce(1)
+    items = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    before = [spark.conf.get(key, None) for key in (BATCH_ROWS_KEY, BATCH_BYTES_KEY)]
+    monkeypatch.setattr(d, "stored", store)
+    rows = {r.doc_id: (r.n_hit, r.n_near) for r in d.contamination(docs, items, slop=20).collect()}
+    assert rows == {0: (0, 0), 1: (0, 0), 2: (0, 0), 3: (12, 1)}
+    (index,) = [pq.ParquetFile(f.replace("file://", "", 1)) for f in stored["postings"].inputFiles()]
+    assert index.num_row_groups >= 3  # long texts are parts and groups of their own
+    assert seen["postings"][1] == str(d.PART_BYTES)
+    assert seen["phrase-matches"][0] == seen["near-items"][0] == "1"
+    assert [spark.conf.get(key, None) for key in (BATCH_ROWS_KEY, BATCH_BYTES_KEY)] == before

@@ -1,7 +1,15 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import SparkSession
 
-from hyetos.session import configure, object_store_options, work_dir
+from hyetos.session import (
+    BATCH_BYTES_KEY,
+    BATCH_ROWS_KEY,
+    arrow_batches,
+    configure,
+    object_store_options,
+    work_dir,
+)
 
 
 def test_settings(spark):
@@ -30,6 +38,22 @@ def test_work_dir_is_new_and_under_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_arrow_batches_are_short_and_settings_come_back(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    counted = spark.range(0, 7, 1, 1).selectExpr("repeat('x', 1000) as text").mapInArrow(sizes, "n long")
+    before = [spark.conf.get(key, None) for key in (BATCH_ROWS_KEY, BATCH_BYTES_KEY)]
+    assert [r.n for r in counted.collect()] == [7]
+    with arrow_batches(spark, rows=1):
+        assert [r.n for r in counted.select("n").collect()] == [1] * 7
+    with pytest.raises(ValueError), arrow_batches(spark, size=2500):
+        assert [r.n for r in counted.select("n").collect()] == [3, 3, 1]
+        raise ValueError
+    assert [spark.conf.get(key, None) for key in (BATCH_ROWS_KEY, BATCH_BYTES_KEY)] == before
+
+
 class _Cluster:
     """A session on a cluster that names no shared folder."""
 
